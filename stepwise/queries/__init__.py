@@ -1,6 +1,6 @@
 """All runnable queries; importing a module registers its queries."""
 
-from stepwise.queries import ordered, merges  # noqa: F401
+from stepwise.queries import claims, merges, ordered  # noqa: F401
 from stepwise.queries.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -69,7 +69,7 @@ def merge_flags(t):
 
 
 def _suppliers(t):
-    return t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(
+    return t.supplier.filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("nation")).agg(
         F.count(F.lit(1)).alias("parties"), F.max("s_acctbal").alias("best"), F.min("s_suppkey").alias("first_supplier")
     )
 
@@ -78,9 +78,9 @@ def _suppliers(t):
     "merge_overlay",
     """
     WITH a AS (SELECT c_nationkey AS nation, count(*) AS parties, max(c_acctbal) AS best, min(c_custkey) AS first_customer
-                 FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_nationkey > 5 GROUP BY 1),
+                 FROM customer WHERE c_acctbal > 9900 GROUP BY 1),
          b AS (SELECT s_nationkey AS nation, count(*) AS parties, CASE WHEN max(s_acctbal) > 9000 THEN max(s_acctbal) END AS best,
-                 min(s_suppkey) AS first_supplier FROM supplier GROUP BY 1)
+                 min(s_suppkey) AS first_supplier FROM supplier WHERE s_acctbal > 5000 GROUP BY 1)
     SELECT coalesce(a.nation, b.nation) AS nation, CASE WHEN b.nation IS NOT NULL THEN b.parties ELSE a.parties END AS parties,
       CASE WHEN b.nation IS NOT NULL THEN b.best ELSE a.best END AS best, first_customer, first_supplier
     FROM a FULL JOIN b ON a.nation = b.nation
@@ -88,7 +88,7 @@ def _suppliers(t):
 )
 def merge_overlay(t):
     """A matched NULL on the right overwrites the left value."""
-    left = t.customer.filter("c_mktsegment <> 'BUILDING' OR c_nationkey > 5").groupBy(F.col("c_nationkey").alias("nation")).agg(
+    left = t.customer.filter("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("nation")).agg(
         F.count(F.lit(1)).alias("parties"), F.max("c_acctbal").alias("best"), F.min("c_custkey").alias("first_customer")
     )
     right = _suppliers(t).withColumn("best", F.when(F.col("best") > 9000, F.col("best")))
