@@ -179,7 +179,7 @@ def iterate(
     steps = F.when(count >= 1, F.sequence(F.lit(1), count.cast("int"))).otherwise(F.array().cast("array<int>"))
     kind = T.ArrayType(fields)
     trail = F.aggregate(steps, F.array(pack(F.lit(0), first)).cast(kind), lambda a, i: merge(a, i).cast(kind))
-    rows = df.select("*", F.explode(F.slice(trail, 2, 2147483647)).alias("__s"))
+    rows = df.select("*", F.explode(F.slice(trail, F.lit(2), F.greatest(count, F.lit(0)).cast("int"))).alias("__s"))
     kept = [c for c in df.columns if c not in names and c != index]
     return rows.select(*kept, *[F.col(f"__s.{c}").alias(c) for c in [index, *names]])
 
