@@ -132,8 +132,12 @@ def load_formats(spark: SparkSession, path: str) -> FormatRegistry:
     """
     names = ["fmtname", "start", "end", "label", "type"]
     frame = spark.read.option("header", True).csv(path)
-    frame = frame.select(*[F.col(c).alias(c.lower()) for c in frame.columns]).select(*names)
-    rows = frame.limit(CATALOGUE_LIMIT + 1).collect()
+    return registry_from(frame.select(*[F.col(c).alias(c.lower()) for c in frame.columns]).select(*names))
+
+
+def registry_from(catalogue: DataFrame) -> FormatRegistry:
+    """Registry of a catalogue table, after a check of its size."""
+    rows = catalogue.limit(CATALOGUE_LIMIT + 1).collect()
     if len(rows) > CATALOGUE_LIMIT:
         raise ValueError("format catalogue too large for the driver; join it with classify()")
     return build_formats(rows)

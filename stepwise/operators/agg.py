@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stepwise.operators.bygroup import retain_sum, row_index
 from stepwise.operators.ordering import as_list, sort_columns
+from stepwise.session import stored
 
 STATS = {
     "n": F.count,
@@ -55,10 +56,10 @@ def means(
     return out.select(*class_, *[f"{v}_{s}" for v in var for s in stats])
 
 
-def _null_safe_left(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe_left(a: DataFrame, b: DataFrame, keys: Sequence[str], profile: DataFrame | None = None) -> DataFrame:
     from stepwise.operators.skew import salted_join
 
-    return salted_join(a, b, keys, "left", null_safe=True)
+    return salted_join(a, b, keys, "left", null_safe=True, profile_left=profile, unique_right=True)
 
 
 def exact_quantile(df: DataFrame, class_: Sequence[str], var: str, q: float, out: str) -> DataFrame:
@@ -69,11 +70,13 @@ def exact_quantile(df: DataFrame, class_: Sequence[str], var: str, q: float, out
     value of a group in one buffer, which a heavy class would overflow.
     """
     class_ = list(class_)
-    counts = df.filter(F.col(var).isNotNull()).groupBy(*class_, var).agg(F.count(F.lit(1)).alias("__c"))
-    upto = retain_sum(counts, class_, [var], {"__upto": "__c"}, class_[-1] if class_ else None)
-    sizes = counts.groupBy(*class_).agg(((F.sum("__c") - 1) * F.lit(float(q))).alias("__pos"))
+    rows = df.filter(F.col(var).isNotNull()).select(*class_, var)
+    counts = rows.groupBy(*class_, var).agg(F.count(F.lit(1)).alias("__c"))
+    # Rows per class bound its distinct values and are cheaper to count.
+    upto = retain_sum(counts, class_, [var], {"__upto": "__c"}, class_[-1] if class_ else None, profile=rows)
+    sizes = rows.groupBy(*class_).agg(((F.count(F.lit(1)) - 1) * F.lit(float(q))).alias("__pos"))
     if class_:
-        placed = _null_safe_left(upto, sizes, class_)
+        placed = _null_safe_left(upto, sizes, class_, rows)
     else:
         placed = upto.withColumn("__pos", sizes.select("__pos").scalar())
     below = F.col("__upto") - F.col("__c")
@@ -146,7 +149,8 @@ def summary(
 def freq(df: DataFrame, col: str, missing: bool = False, weight: str | None = None) -> DataFrame:
     """One-way frequencies with percent and cumulative figures, in value order."""
     rows = df if missing else df.filter(F.col(col).isNotNull())
-    counts = rows.groupBy(col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("count"))
+    # Stored once: the total, the cumulative figures and their skew check all read it.
+    counts = stored(rows.groupBy(col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("count")), "freq")
     total = counts.select(F.sum("count")).scalar()
     running = retain_sum(counts, None, [col], {"cum_count": "count"})
     return running.select(
@@ -191,12 +195,24 @@ def tabulate(
     ``total`` a grand row of that label is added.
     """
     rows = as_list(rows)
-    wide = _pivot_stats(df.groupBy(*rows), cols, var, stats, values)
     if total is None:
-        return wide
-    grand = _pivot_stats(df.groupBy(), cols, var, stats, values)
-    labels = [F.lit(total if i == 0 else None).cast(df.schema[r].dataType).alias(r) for i, r in enumerate(rows)]
-    return wide.unionByName(grand.select(*labels, *grand.columns))
+        return _pivot_stats(df.groupBy(*rows), cols, var, stats, values)
+    # Reduced first, then every combination counts once for its row and once for the total.
+    base = df.groupBy(*rows, cols).agg(
+        F.sum(var).alias("sum"), F.count(var).alias("n"), F.min(var).alias("min"), F.max(var).alias("max")
+    )
+    again = {
+        "sum": F.sum("sum"), "n": F.sum("n"), "min": F.min("min"), "max": F.max("max"), "mean": F.try_divide(F.sum("sum"), F.sum("n")),
+    }
+    unknown = [st for st in stats if st not in again]
+    if unknown:
+        raise ValueError(f"tabulate cannot total {unknown}")
+    own = F.struct(*[F.col(r).alias(r) for r in rows])
+    grand = F.struct(*[F.lit(total if i == 0 else None).cast(df.schema[r].dataType).alias(r) for i, r in enumerate(rows)])
+    both = base.select(F.explode(F.array(own, grand)).alias("__row"), cols, "sum", "n", "min", "max").select("__row.*", cols, "sum", "n", "min", "max")
+    grouped = both.groupBy(*rows)
+    pivoted = grouped.pivot(cols, list(values)) if values is not None else grouped.pivot(cols)
+    return pivoted.agg(*[again[st].alias(st) for st in stats])
 
 
 def _pivot_stats(grouped, cols, var, stats, values):

@@ -78,11 +78,14 @@ def group_size(
 ) -> DataFrame:
     """Row count of the group on every row. Heavy groups take the counted literal."""
     by = as_list(by)
-    split = split_groups(df, by, by[-1:], profile)
-    size = F.count(F.lit(1)).over(Window.partitionBy(*by, *_salt(split)))
-    if split.hot:
-        size = F.coalesce(F.col(GROUP_ROWS), size)
-    return split.done(split.df.withColumn(out, size))
+    split = split_groups(df, by, by[-1:], profile, spread=False)
+    if not split.hot:
+        return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    columns = [c for c in split.df.columns if c not in (CHUNK, GROUP_ROWS)]
+    salt = F.when(F.col(CHUNK).isNotNull(), F.pmod(F.xxhash64(*columns), F.lit(4096)))
+    rows = split.df.withColumn("__salt", salt).repartition(*by, "__salt")
+    size = F.count(F.lit(1)).over(Window.partitionBy(*by, "__salt"))
+    return split.done(rows.withColumn(out, F.coalesce(F.col(GROUP_ROWS), size)).drop("__salt"))
 
 
 def dup_flag(
@@ -97,14 +100,6 @@ def dup_flag(
     return sized.withColumn(out, F.when(F.col("__size") > 1, labels[0]).otherwise(labels[1])).drop("__size")
 
 
-def _salt(split) -> list[Column]:
-    """Spread the rows of heavy groups by value; other groups stay whole."""
-    if not split.hot:
-        return []
-    columns = [c for c in split.df.columns if c not in (CHUNK, GROUP_ROWS)]
-    return [F.when(F.col(CHUNK).isNotNull(), F.pmod(F.xxhash64(*columns), F.lit(512)))]
-
-
 def retain_sum(
     df: DataFrame,
     by: Sequence[str] | str | None,

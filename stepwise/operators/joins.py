@@ -192,7 +192,7 @@ def prior_within(
     frame = Window.partitionBy(*keys).orderBy(n).rangeBetween(-days, -1)
     prior = daily.select(*keys, n, F.first("__first").over(frame).alias("__prior"))
     found = prior.filter(F.col("__prior").isNotNull())
-    joined = salted_join(numbered, found, [*keys, n], "left")
+    joined = salted_join(numbered, found, [*keys, n], "left", unique_right=True)
     return joined.select(
         *df.columns,
         F.col(f"__prior.{id_}").alias(prior_id),
@@ -266,7 +266,7 @@ def index_pick(
     right = numbered.select(*within, "__pick", *[F.col(c).alias(f"__p_{c}") for c in names])
     if within:
         sizes = pool.groupBy(*within).agg(F.count(F.lit(1)).alias("__pool"))
-        left = salted_join(df, sizes, within, "left")
+        left = salted_join(df, sizes, within, "left", unique_right=True)
     else:
         left = df.withColumn("__pool", pool.select(F.count(F.lit(1))).scalar())
     left = left.withColumn("__pick", F.when(F.col("__pool") > 0, F.pmod(index.cast("long"), F.col("__pool"))))

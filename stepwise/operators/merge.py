@@ -40,12 +40,14 @@ def merge_by(
     order_left: Sequence[str] | None = None,
     order_right: Sequence[str] | None = None,
     overlay: str = "right",
+    profile_left: DataFrame | None = None,
 ) -> DataFrame:
     """Merge two tables. ``flags`` names the two 0/1 contribution columns, if wanted.
 
     ``pairing="join"`` pairs all rows of a key, right for one-to-many keys.
     ``pairing="sequential"`` pairs row by row in the given orders and repeats the last
     row of the shorter side, which is what a record-by-record merge does.
+    ``profile_left`` is a cheaper frame with the BY columns to look for heavy keys in.
     """
     by = as_list(by)
     if keep not in KEEP:
@@ -65,7 +67,7 @@ def merge_by(
     common = [c for c in left.columns if c in right.columns and c not in by]
     l = left.select(*by, *[F.col(c).alias(f"__l_{c}") if c in common else F.col(c) for c in left.columns if c not in by], F.lit(1).alias("__in_a"))
     r = right.select(*by, *[F.col(c).alias(f"__b_{c}") if c in common else F.col(c) for c in right.columns if c not in by], F.lit(1).alias("__in_b"))
-    joined = salted_join(l, r, by, how, null_safe=True)
+    joined = salted_join(l, r, by, how, null_safe=True, profile_left=profile_left)
     return _shape(joined, left, right, by, common, flags, overlay)
 
 
@@ -107,15 +109,17 @@ def _sequential(left, right, by, how, flags, order_left, order_right, overlay) -
     l_sizes = left.groupBy(*by).agg(F.count(F.lit(1)).alias("__other"))
     r_sizes = right.groupBy(*by).agg(F.count(F.lit(1)).alias("__other"))
 
-    ahead = salted_join(l, r_sizes, by, "left", null_safe=True)
+    ahead = salted_join(l, r_sizes, by, "left", null_safe=True, unique_right=True)
     ahead = ahead.withColumn("__at", F.least("__lrn", "__other"))
     partner = r.withColumn("__at", F.col("__rrn"))
-    a_part = salted_join(ahead, partner, [*by, "__at"], "inner" if how in ("inner", "right") else "left", null_safe=True)
+    a_how = "inner" if how in ("inner", "right") else "left"
+    a_part = salted_join(ahead, partner, [*by, "__at"], a_how, null_safe=True, unique_right=True)
 
-    rest = salted_join(r, l_sizes, by, "left", null_safe=True)
+    rest = salted_join(r, l_sizes, by, "left", null_safe=True, unique_right=True)
     rest = rest.filter(F.col("__rrn") > F.coalesce(F.col("__other"), F.lit(0))).withColumn("__at", F.col("__other"))
     last_left = l.filter(F.col("__lrn") == F.col("__ln")).withColumn("__at", F.col("__lrn"))
-    b_part = salted_join(rest, last_left, [*by, "__at"], "inner" if how in ("inner", "left") else "left", null_safe=True)
+    b_how = "inner" if how in ("inner", "left") else "left"
+    b_part = salted_join(rest, last_left, [*by, "__at"], b_how, null_safe=True, unique_right=True)
 
     # Of a common column, the side read last for the pair has its say: the left one
     # once the right side has run out, the right one otherwise.

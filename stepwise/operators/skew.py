@@ -105,12 +105,15 @@ def split_groups(
     by: Sequence[str] | str | None,
     order: Sequence[str] | str,
     profile: DataFrame | None = None,
+    spread: bool = True,
 ) -> Split:
     """Detect heavy BY groups of ``df`` and cut them into chunks along ``order``.
 
     ``profile`` may be a cheaper frame with the same keys (for instance the table
     before its dimension joins) to take the statistics from. An empty ``by`` means
-    the whole table is one group.
+    the whole table is one group. With ``spread`` a split frame is repartitioned by
+    (group, chunk): an input already partitioned by the group would otherwise satisfy
+    the window and keep all chunks of a heavy group in one task.
     """
     by = as_list(by)
     keys = order_keys(order)
@@ -166,7 +169,8 @@ def split_groups(
         )
     position = search_sorted(F.col(lead), F.col("__cuts").cast(T.ArrayType(lead_type)), longest)
     chunk = F.when(F.col("__cuts").isNotNull(), -position if descending else position)
-    return Split(tagged.withColumn(CHUNK, chunk).drop("__cuts"), by, order, hot=True)
+    tagged = tagged.withColumn(CHUNK, chunk).drop("__cuts")
+    return Split(tagged.repartition(*by, CHUNK) if spread else tagged, by, order, hot=True)
 
 
 def with_halo(split: Split, before: int, after: int) -> DataFrame:
@@ -207,24 +211,40 @@ def with_halo(split: Split, before: int, after: int) -> DataFrame:
 def salted_join(
     left: DataFrame,
     right: DataFrame,
-    on: Sequence[str],
+    on: Sequence[str] | str,
     how: str = "inner",
     null_safe: bool = False,
     salts: int = 64,
+    profile_left: DataFrame | None = None,
+    profile_right: DataFrame | None = None,
+    unique_left: bool = False,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Equi-join that survives a key with a large share of either side.
 
-    Heavy keys are looked up first. Without any, this is the plain join. With some,
-    their rows are joined apart: the heavy side is spread over ``salts`` partitions
-    and the other side's rows of just those keys are repeated once per salt. A heavy
-    key is present on its own side, so only that side can be preserved by an outer
-    join there. Columns of ``on`` appear once in the result.
+    Adaptive execution splits a skewed partition of the side an outer join preserves,
+    and of either side of an inner join; the other cases are handled here. Heavy keys of
+    a side are looked up where Spark cannot split it, or where a ``profile`` frame (with
+    the key columns, cheaper than the side itself) is given. ``unique_*`` says a side has
+    one row per key. Without heavy keys this is the plain join. With some, their rows are
+    joined apart: the heavy side is spread over ``salts`` partitions and the other side's
+    rows of just those keys are repeated once per salt. A heavy key is present on its own
+    side, so only that side can be preserved by an outer join there. Columns of ``on``
+    appear once in the result.
     """
     on = as_list(on)
-    hot_left, hot_right = heavy_keys(left, on), heavy_keys(right, on)
-    if not null_safe:
-        hot_left = [r for r in hot_left if all(r[k] is not None for k in on)]
-        hot_right = [r for r in hot_right if all(r[k] is not None for k in on)]
+    if how in ("left_semi", "left_anti"):
+        # Only existence counts; the reduced side keeps the join's partitioning.
+        right, unique_right = right.select(*on).distinct(), True
+
+    def heavy(side, profile, unique, splittable):
+        if unique or (splittable and profile is None):
+            return []
+        rows = heavy_keys(side if profile is None else profile, on)
+        return rows if null_safe else [r for r in rows if all(r[k] is not None for k in on)]
+
+    hot_left = heavy(left, profile_left, unique_left, how in ("inner", "left", "left_semi", "left_anti"))
+    hot_right = heavy(right, profile_right, unique_right, how in ("inner", "right"))
     if not hot_left and not hot_right:
         return _join_once(left, right, on, how, null_safe)
 
@@ -259,21 +279,14 @@ def salted_join(
         return F.pmod(F.xxhash64(*side.columns), F.lit(salts)).cast("int")
 
     repeat = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    kept = {"l": {"left", "full", "left_anti"}, "r": {"right", "full"}}
+    kept = {"l": {"left", "full"}, "r": {"right", "full"}}
     for side in ("l", "r"):
+        if not any(s == side for _, s in weight.values()):
+            continue
         l_side = lt.filter(F.col("__side") == side).drop("__side")
         r_side = rt.filter(F.col("__side") == side).drop("__side")
         outer = {"l": "left", "r": "right"}[side] if how in kept[side] else "inner"
-        if how in ("left_semi", "left_anti"):
-            if side == "r":
-                # The key exists on the right, so every left row of it has a match.
-                if how == "left_semi":
-                    parts.append(l_side)
-                continue
-            l_part = l_side.withColumn("__salt", spread(l_side))
-            r_part = r_side.select(*on).distinct().withColumn("__salt", repeat)
-            parts.append(_join_once(l_part, r_part, [*on, "__salt"], how, null_safe).drop("__salt"))
-            continue
+        outer = how if how in ("left_semi", "left_anti") else outer
         l_part = l_side.withColumn("__salt", spread(l_side) if side == "l" else repeat)
         r_part = r_side.withColumn("__salt", repeat if side == "l" else spread(r_side))
         parts.append(_join_once(l_part, r_part, [*on, "__salt"], outer, null_safe).drop("__salt"))

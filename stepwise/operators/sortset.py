@@ -44,7 +44,7 @@ def diff(a: DataFrame, b: DataFrame, keys: Sequence[str] | str, tolerance: float
     values = [c for c in a.columns if c not in keys and c in b.columns]
     left = a.select(*keys, F.struct(*[F.col(c) for c in values], F.lit(1).alias("__x")).alias("__a"))
     right = b.select(*keys, F.struct(*[F.col(c) for c in values], F.lit(1).alias("__x")).alias("__b"))
-    joined = salted_join(left, right, keys, "full", null_safe=True)
+    joined = salted_join(left, right, keys, "full", null_safe=True, unique_left=True, unique_right=True)
     numeric = {f.name for f in a.schema.fields if f.dataType.typeName() in ("double", "float", "integer", "long", "decimal", "short", "byte")}
 
     def same(c: str) -> Column:

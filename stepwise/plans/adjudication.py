@@ -18,7 +18,7 @@ DIAGNOSIS = ValueFormat(
 
 def eligibility(claims: DataFrame, members: DataFrame) -> DataFrame:
     """Y when the service date lies in the member's span; unknown members are N."""
-    joined = merge_by(claims, members.select("member_id", "eff_date", "term_date"), "member_id", "a")
+    joined = merge_by(claims, members.select("member_id", "eff_date", "term_date"), "member_id", "a", profile_left=claims)
     inside = between(F.col("service_date"), F.col("eff_date"), F.col("term_date"))
     return joined.withColumn("elig_flag", F.when(inside, "Y").otherwise("N"))
 
@@ -34,7 +34,7 @@ def adjudicate(
     rows = eligibility(claims, members)
     rows = rows.join(providers.select("provider_id", "network_status", "specialty"), "provider_id", "left")
     rows = dup_flag(rows, ["member_id", "provider_id", "service_date", "proc_code"], profile=claims)
-    rows = merge_by(rows, plans, "plan_id", "a")
+    rows = merge_by(rows, plans, "plan_id", "a", profile_left=claims)
     rows = running_limit(
         rows, "member_id", ["service_date", "claim_id"], "billed_amount", "annual_limit",
         total="ytd_paid", flag="limit_exceeded", profile=claims,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.scalars import catx, cats, date_literal, substr, today
 from stepwise.operators.agg import category_score, with_total
-from stepwise.operators.joins import prior_within
+from stepwise.operators.joins import one_match, prior_within
 from stepwise.operators.project import case_last, melt_array, missing_reasons, route_tagged
 
 REQUIRED = ["member_id", "provider_npi", "claim_date", "diag_code1", "procedure_code"]
@@ -79,6 +79,8 @@ def decide(priced: DataFrame) -> DataFrame:
         priced, ["member_id", "provider_npi", "procedure_code"], "claim_date", "claim_id", DUPLICATE_DAYS,
         prior_id="prior_claim_id", prior_day="prior_claim_date",
     )
+    # A claim under several spans or fees counts once.
+    rows = one_match(rows, "claim_id", ["prior_claim_date", "prior_claim_id", "coverage_start_date", "coverage_end_date", "plan_id"])
     high, dup = F.col("high_dollar_flag") == 1, F.col("duplicate_flag") == 1
     unlisted = F.col("fee_schedule_allowed").isNull()
     rows = rows.withColumn(

@@ -75,11 +75,11 @@ def format_lookup(t):
 )
 def format_registry(t):
     """Formats built from catalogue rows; the nation list is read from its table."""
-    rows = t.nation.select(
+    catalogue = t.nation.select(
         F.lit("nation").alias("fmtname"), F.col("n_nationkey").cast("string").alias("start"), F.lit("").alias("end"),
         F.col("n_name").alias("label"), F.lit("N").alias("type"),
-    ).limit(fm.CATALOGUE_LIMIT).collect()
-    names = fm.build_formats(rows)
+    )
+    names = fm.registry_from(catalogue)
     names.add(fm.ValueFormat("balance", ranges=(fm.Range(None, 0, "Owing", high_open=True), fm.Range(0, 5000, "Normal")), other="Rich"))
     return t.customer.select("c_custkey", names.put("c_nationkey", "nation").alias("nation"), names.put("c_acctbal", "balance").alias("balance"))
 
