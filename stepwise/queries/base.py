@@ -16,13 +16,15 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """Tables of a data folder as attributes; each one is a lazy parquet scan."""
+    """Tables of a data folder as attributes; each one is a lazy parquet scan, opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_driver_table(self.spark, self.folder, name)
+        frame = read_driver_table(self.spark, self.folder, name)
+        setattr(self, name, frame)
+        return frame
 
 
 def query(name: str, sql: str | None = None):

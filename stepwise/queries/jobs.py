@@ -292,8 +292,8 @@ def customer_value(t):
 @query(
     "customer_stats",
     _SALES
-    + """SELECT value_tier, churn_risk, count(*) AS customer_count, CAST(sum(CAST(TotalRevenue AS DECIMAL(28,2))) AS DOUBLE) AS tier_revenue,
-      CAST(sum(CAST(TotalRevenue AS DECIMAL(28,2))) AS DOUBLE) / count(*) AS avg_customer_revenue, round(avg(OrderCount), 6) AS avg_orders_per_customer FROM k GROUP BY 1, 2""",
+    + """SELECT value_tier, churn_risk, count(*) AS customer_count, CAST(sum(CAST(TotalRevenue AS DECIMAL(28,6))) AS DOUBLE) AS tier_revenue,
+      CAST(sum(CAST(TotalRevenue AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS avg_customer_revenue, round(avg(OrderCount), 6) AS avg_orders_per_customer FROM k GROUP BY 1, 2""",
 )
 def customer_stats(t):
     return sales.statistics(sales_classified(t)).withColumn("avg_orders_per_customer", F.round("avg_orders_per_customer", 6))
