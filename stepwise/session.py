@@ -43,15 +43,13 @@ def hot_rows(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the storage all executors share.
 
-    Only a session without that setting (tests, a laptop) gets a temporary folder,
-    which is then set so that later calls and ``checkpoint()`` use the same root.
+    Only a session without any checkpoint folder (tests, a laptop) gets a temporary one,
+    which later calls and ``checkpoint()`` then use as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="stepwise-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/stepwise/{name}-{uuid.uuid4().hex}"
 
 
