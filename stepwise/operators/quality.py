@@ -36,7 +36,7 @@ def expect(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
 def expect_or_drop(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
     """Drop: violating rows go, counted before they do."""
     observed, seen = violations(df, rules)
-    return observed.filter(all_ok(rules)), seen
+    return keep_ok(observed, rules), seen
 
 
 def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:
@@ -49,11 +49,12 @@ def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(guard.isNull()) if guard is not None else df
 
 
-def all_ok(rules: Rules) -> Column:
-    cond = F.lit(True)
+def keep_ok(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows that meet every rule. A filter drops unknown conditions by itself, so the
+    rules stay bare and reach the scan."""
     for rule in rules.values():
-        cond = cond & _ok(rule)
-    return cond
+        df = df.filter(rule)
+    return df
 
 
 def tag(df: DataFrame, rules: Rules, reason: str = "edit_reason", flag: str = "edit_flag") -> DataFrame:

@@ -15,7 +15,7 @@ from stepwise.operators.agg import share_of_total, top_n_other
 from stepwise.operators.joins import pick_top_join
 from stepwise.operators.metrics import Measure, MetricView, baseline_status
 from stepwise.operators.project import case_of
-from stepwise.operators.quality import all_ok
+from stepwise.operators.quality import keep_ok
 
 # The business thresholds.
 BASELINE_WEEKLY = 2_500_000.0
@@ -64,7 +64,7 @@ def enrich_claims(
     ``claim_state``. Rows that fail the silver rules are dropped before the joins, so the
     filters reach the scan.
     """
-    good = claims.filter(all_ok({k: r for k, r in SILVER_RULES.items()}))
+    good = keep_ok(claims, SILVER_RULES)
     if "state" in good.columns:
         good = good.withColumnRenamed("state", "claim_state")
     good = good.drop("severity")

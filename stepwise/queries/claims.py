@@ -14,7 +14,7 @@ from stepwise.plans import claims as job
 from stepwise.queries.base import money, query
 
 BASELINE = 11_000_000.0
-LINE_BASELINE = 8_000_000.0
+LINE_BASELINE = 8_500_000.0
 BATCH_PLANT = "Supplier#000000003"
 
 
@@ -28,7 +28,7 @@ def bind(t):
         F.col("l_suppkey").alias("appliance_batch_id"),
         F.to_date("l_shipdate").alias("claim_date"),
         kind.alias("claim_type"),
-        (money("l_extendedprice") / 10).cast("decimal(18,3)").alias("claim_amount_usd"),
+        money("l_extendedprice").alias("claim_amount_usd"),
         F.col("l_linestatus").alias("state"),
     )
     nations = t.nation.select("n_nationkey", "n_name")
@@ -61,7 +61,7 @@ SILVER = f"""
       SELECT printf('CLM-%d-%d', l_orderkey, l_linenumber) AS claim_id, o_custkey AS policy_id, l_partkey AS appliance_id,
         l_suppkey AS appliance_batch_id, CAST(l_shipdate AS DATE) AS claim_date,
         CASE l_returnflag WHEN 'R' THEN 'water_damage' WHEN 'A' THEN 'fire' ELSE 'other' END AS claim_type,
-        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(18,3)) AS amt, l_linestatus AS claim_state
+        CAST(l_extendedprice AS DECIMAL(18,2)) AS amt, l_linestatus AS claim_state
       FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
     silver AS (
       SELECT c.*, n_name AS state, c_mktsegment AS city, c_name AS policyholder_name, p_name AS model_name, p_brand AS manufacturer,

@@ -8,7 +8,8 @@ from stepwise.functions import formats as fm
 from stepwise.functions import scalars as sc
 from stepwise.queries.base import query
 from stepwise.sources import lines as ln
-from stepwise.sources.readers import contents
+from stepwise.session import shared_dir
+from stepwise.sources.readers import contents, read_files
 
 PRIORITY = fm.ValueFormat("prio", {"1-URGENT": "Urgent", "2-HIGH": "High", "5-LOW": "Low"})
 PRIORITY_OTHER = fm.ValueFormat("prioo", {"1-URGENT": "Urgent", "2-HIGH": "High"}, missing="None", other="OTHER")
@@ -219,6 +220,13 @@ SPEC = ln.LineSpec(
 
 
 def _event_lines(t):
+    """Delimited text files made from the events."""
+    path = shared_dir(t.spark, "lines")
+    _as_text(t).write.text(path)
+    return read_files(t.spark, path, "text")
+
+
+def _as_text(t):
     day = F.date_format("ts", "MM/dd/yyyy")
     kind = F.when(F.col("event_type") == "error", ".").otherwise(F.concat(F.lit("'"), F.col("event_type"), F.lit(", x'")))
     value = F.when(F.col("value") > 300, "n/a").otherwise(F.format_string("%.2f", "value"))

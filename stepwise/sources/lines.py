@@ -40,17 +40,27 @@ class LineSpec:
         return any(f.start is not None for f in self.fields)
 
 
-def _tokens(line: Column, spec: LineSpec) -> Column:
-    q = spec.quote
-    if spec.delimiter is None:
-        found = F.regexp_extract_all(line, F.lit(f"({q}[^{q}]*{q}|[^\\s{q}]\\S*)"), F.lit(1))
-    else:
-        d = "\\x{:02x}".format(ord(spec.delimiter))
-        # A leading delimiter makes every field, the first one too, follow a delimiter.
-        found = F.regexp_extract_all(
-            F.concat(F.lit(spec.delimiter), line), F.lit(f"{d}(\\s*{q}[^{q}]*{q}\\s*|[^{d}]*)"), F.lit(1)
-        )
-    return F.transform(found, lambda t: F.regexp_replace(F.trim(t), f"^{q}(.*){q}$", "$1"))
+def _blank_tokens(line: Column, quote: str) -> Column:
+    found = F.regexp_extract_all(line, F.lit(f"({quote}[^{quote}]*{quote}|[^\\s{quote}]\\S*)"), F.lit(1))
+    return F.transform(found, lambda t: F.regexp_replace(t, f"^{quote}(.*){quote}$", "$1"))
+
+
+def _csv_tokens(line: Column, spec: LineSpec) -> Column:
+    """The values of one delimited line; the struct's ``__bad`` holds a line that does not fit."""
+    names = [f"__t{i}" for i in range(len(spec.fields))]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "__bad"]])
+    options = {
+        "sep": spec.delimiter, "quote": spec.quote, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad",
+        "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+    }
+    return F.from_csv(line, schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+
+
+def _once(df: DataFrame, struct: Column) -> DataFrame:
+    """Add a struct's fields as columns through a generator. The optimizer copies a plain
+    expression into every filter and column that uses it; a generator it leaves alone, so
+    each line is taken apart once."""
+    return df.select("*", F.inline(F.array(struct)))
 
 
 def _typed(raw: Column, f: Field) -> Column:
@@ -73,23 +83,28 @@ def parse_lines(lines: DataFrame, spec: LineSpec, value: str = "value") -> tuple
     kept = lines.filter(trimmed != "")
     for mark in spec.comment:
         kept = kept.filter(~trimmed.startswith(mark))
+    n = len(spec.fields)
     if spec.fixed:
-        raw = [F.trim(F.substring(F.col(value), f.start, f.width)) for f in spec.fields]
-        parsed = kept.select("*", F.array(*raw).alias("__t"))
+        parsed = kept.select("*", F.array(*[F.trim(F.substring(F.col(value), f.start, f.width)) for f in spec.fields]).alias("__t"))
+        raws = [F.get(F.col("__t"), F.lit(i)) for i in range(n)]
         too_short = F.length(F.rtrim(F.col(value))) < min(f.start for f in spec.fields)
         width = F.when(too_short, F.lit("line too short"))
     else:
-        parsed = kept.select("*", _tokens(F.col(value) if spec.delimiter else trimmed, spec).alias("__t"))
-        found = F.size("__t")
-        width = F.when(
-            found != len(spec.fields),
-            F.concat(F.lit(f"expected {len(spec.fields)} values, found "), found.cast("string")),
-        )
-    raws = [F.get(F.col("__t"), F.lit(i)) for i in range(len(spec.fields))]
+        if spec.delimiter is None:
+            parsed = _once(kept, F.struct(_blank_tokens(trimmed, spec.quote).alias("__t")))
+            raws, found = [F.get(F.col("__t"), F.lit(i)) for i in range(n)], F.size("__t")
+            misfit = found != n
+        else:
+            parsed = _once(kept, _csv_tokens(F.col(value), spec))
+            raws, misfit = [F.col(f"__t{i}") for i in range(n)], F.col("__bad").isNotNull()
+            # Counted for misfits only: delimiters outside quotes, plus one.
+            bare = F.regexp_replace(F.col(value), f"{spec.quote}[^{spec.quote}]*{spec.quote}", "")
+            found = F.length(bare) - F.length(F.replace(bare, F.lit(spec.delimiter), F.lit(""))) + 1
+        width = F.when(misfit, F.concat(F.lit(f"expected {n} values, found "), found.cast("string")))
     cols = [_typed(r, f).alias(f"__v{i}") for i, (r, f) in enumerate(zip(raws, spec.fields))]
     typed = parsed.select("*", *cols)
     bad = [
-        F.when(F.col(f"__v{i}").isNull() & ~raws[i].isin("", "."), F.lit(f"{f.name} is not a valid {f.kind}"))
+        F.when(F.col(f"__v{i}").isNull() & raws[i].isNotNull() & ~raws[i].isin("", "."), F.lit(f"{f.name} is not a valid {f.kind}"))
         for i, f in enumerate(spec.fields)
         if f.kind != "text"
     ]

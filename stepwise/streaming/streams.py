@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stepwise.operators.quality import Rules, all_ok
+from stepwise.operators.quality import Rules, keep_ok
 
 
 def stream_files(
@@ -48,7 +48,7 @@ def append_files(
 
 def bronze_stream(stream: DataFrame, rules: Rules) -> DataFrame:
     """Row expectations with action drop, as a stream transformation."""
-    return stream.filter(all_ok(rules))
+    return keep_ok(stream, rules)
 
 
 def enrich_stream(stream: DataFrame, dims: Sequence[tuple[DataFrame, str]]) -> DataFrame:
