@@ -30,6 +30,7 @@ from stepwise.session import hot_rows
 
 MAX_HOT_KEYS = 1000
 MAX_CHUNKS = 4096
+SAMPLED_ROWS = 400
 CHUNK = "__chunk"
 GROUP_ROWS = "__group_rows"
 
@@ -41,13 +42,35 @@ def null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
 def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> list:
     """Keys with more than ``limit`` rows, heaviest first, at most ``MAX_HOT_KEYS``.
 
-    Rows carry the key columns and the exact row count ``__group_rows``.
+    Rows carry the key columns and the exact row count ``__group_rows``. A sample that holds
+    about ``SAMPLED_ROWS`` rows of a key at the limit finds the candidates, so that a nearly
+    unique key is not shuffled just to learn that it has no heavy values; only candidates are
+    then counted. A key at the limit escapes half the expected sample with a probability far
+    below 1e-20, and would still be processed correctly, in one task.
     """
     limit = hot_rows(df.sparkSession) if limit is None else limit
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
+    keys = list(keys)
+    rows = df.select(*keys)
+    rate = SAMPLED_ROWS / limit if limit > SAMPLED_ROWS else 1.0
+    if keys and rate < 1.0:
+        seen = rows.sample(rate, seed=17).groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
+        seen = seen.filter(F.col(GROUP_ROWS) >= SAMPLED_ROWS // 2).orderBy(F.desc(GROUP_ROWS))
+        candidates = seen.limit(2 * MAX_HOT_KEYS).collect()
+        if not candidates:
+            return []
+        named = _key_frame(df, keys, candidates)
+        cond = null_safe_equal([F.col(k) for k in keys], [F.col(n) for n in named.columns])
+        rows = rows.join(F.broadcast(named), cond, "left_semi")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
     return counts.filter(F.col(GROUP_ROWS) > limit).orderBy(F.desc(GROUP_ROWS)).limit(MAX_HOT_KEYS).collect()
 
 
+def _key_frame(df: DataFrame, keys: Sequence[str], rows: Sequence) -> DataFrame:
+    """Collected keys as a frame with columns ``__k0``, ``__k1``, ..."""
+    schema = T.StructType([T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], schema)
+
+
 def search_sorted(value: Column, bounds: Column, size: int) -> Column:
     """How many entries of the ascending array ``bounds`` are <= ``value``; 0 for NULL.
 
@@ -139,8 +162,7 @@ def split_groups(
         F.pmod(F.xxhash64(*order_names(order)), F.lit(step)) == 0
     )
     if by:
-        hot_frame = df.sparkSession.createDataFrame([tuple(r[k] for k in by) for r in hot], key_schema)
-        sample = sample.join(F.broadcast(hot_frame), match([F.col(f) for f in key_schema.names]), "left_semi")
+        sample = sample.join(F.broadcast(_key_frame(df, by, hot)), match([F.col(f) for f in key_schema.names]), "left_semi")
     sampled = sample.groupBy(*by).agg(
         F.transform(F.sort_array(F.collect_list(lead)), lambda v: v.cast("string")).alias("__v")
     )

@@ -102,6 +102,24 @@ def weekly_status_sunday(t):
     return baseline_status(t.orders, "o_orderdate", money("o_totalprice"), BASELINE, job.SPIKE_RATIO, "sunday")
 
 
+@query(
+    "weekly_vs_baseline",
+    f"""
+    SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS week, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS weekly_total,
+      CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) - CAST({BASELINE} AS DOUBLE) AS vs_baseline,
+      round((CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) - CAST({BASELINE} AS DOUBLE)) / CAST({BASELINE} AS DOUBLE) * 100, 1) AS pct_vs_baseline
+    FROM orders WHERE o_orderdate >= DATE '2001-01-01' GROUP BY 1
+    """,
+)
+def weekly_vs_baseline(t):
+    """Recent weeks only; the date filter reaches the scan."""
+    weekly = t.orders.filter("o_orderdate >= TIMESTAMP_NTZ '2001-01-01'").groupBy(F.to_date(F.date_trunc("week", "o_orderdate")).alias("week")).agg(
+        F.sum(money("o_totalprice")).cast("double").alias("weekly_total")
+    )
+    over = F.col("weekly_total") - BASELINE
+    return weekly.select("week", "weekly_total", over.alias("vs_baseline"), F.round(over / BASELINE * 100, 1).alias("pct_vs_baseline"))
+
+
 @query(
     "enriched_claims",
     SILVER

@@ -44,6 +44,23 @@ def stream_enrich(t):
     return _run(t, out.select("event_id", "c_mktsegment", "n_name", level.otherwise("low").alias("severity")), "enrich")
 
 
+@query(
+    "stream_gold",
+    """
+    SELECT CAST(ts AS DATE) AS day, c_mktsegment AS segment, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM events LEFT JOIN customer ON user_id = c_custkey WHERE value > 1 GROUP BY 1, 2
+    """,
+)
+def stream_gold(t):
+    """A batch summary over a streamed and enriched table."""
+    customers = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    rows = st.enrich_stream(st.bronze_stream(_stream(t), {"positive": "value > 1"}), [(customers, "user_id")])
+    silver = _run(t, rows.select("event_id", "ts", "value", "segment"), "silver")
+    return silver.groupBy(F.to_date("ts").alias("day"), "segment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money("value")).cast("double").alias("total")
+    )
+
+
 @query(
     "stream_weekly",
     """

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stepwise.operators import bygroup as bg
-from stepwise.operators.skew import salted_join, split_groups
+from stepwise.operators.skew import heavy_keys, salted_join, split_groups
 
 SCHEMA = "k string, k2 int, t int, id int, v int"
 
@@ -176,6 +176,38 @@ def test_salted_join(spark, skew_mode, how, null_safe):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
 
 
+def test_heavy_keys_found_in_a_sample(spark):
+    k = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 5 == 0, F.lit(-1)).otherwise(F.col("id"))
+    df = spark.range(300_000).select(k.alias("k"), "id")
+    assert [(r.k, r["__group_rows"]) for r in heavy_keys(df, ["k"], 50_000)] == [(None, 100_000)]
+    assert [(r.k, r["__group_rows"]) for r in heavy_keys(df, ["k"], 20_000)] == [(None, 100_000), (-1, 40_000)]
+    assert heavy_keys(df, ["k"], 150_000) == []
+
+
+def test_split_frames_spread_over_tasks(spark):
+    """The chunks of a heavy group end up in several partitions, also after a join on the group."""
+    spark.conf.set("stepwise.skew.hotRows", "200")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        other = spark.range(3).select(F.col("id").cast("int").alias("k")).distinct()
+        df = spark.range(5000).select(F.lit(1).alias("k"), "id").join(other, "k")
+        out = bg.retain_sum(df, "k", ["id"], {"s": F.lit(1)}, "k").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < 3500
+    finally:
+        spark.conf.unset("stepwise.skew.hotRows")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_whole_table_total_has_no_single_partition(spark):
+    spark.conf.set("stepwise.skew.hotRows", "100")
+    try:
+        plan = bg.row_index(spark.range(2000), None, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__chunk" in plan
+    finally:
+        spark.conf.unset("stepwise.skew.hotRows")
+
+
 def test_order_is_required(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     with pytest.raises(ValueError):
