@@ -167,7 +167,8 @@ def crosstab_freq(
 ) -> DataFrame:
     """Two-way frequencies, long form: count, percent, row and column percent."""
     cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
-    out = cells
+    # Stored once: the cells and all margins come from it.
+    out = cells = stored(cells, "crosstab")
     if not norow:
         rows = cells.groupBy(a).agg(F.sum("count").alias("__row"))
         out = out.join(rows, a).withColumn("row_pct", F.col("count") * 100.0 / F.col("__row")).drop("__row")
@@ -279,7 +280,10 @@ def with_total(
 
 
 def share_of_total(df: DataFrame, value: str, out: str = "pct_of_total", by: Sequence[str] | None = None) -> DataFrame:
-    """Percent of the total of ``value``; the total is a scalar subquery, not a window."""
+    """Percent of the total of ``value``; the total is a scalar subquery, not a window.
+
+    ``df`` is read twice; pass a stored or base table when it is costly to compute.
+    """
     if by:
         totals = df.groupBy(*by).agg(F.sum(value).alias("__total"))
         return (

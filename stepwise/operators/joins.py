@@ -188,7 +188,13 @@ def prior_within(
     """
     n = "__day_number"
     numbered = df.withColumn(n, F.datediff(F.col(day).cast("date"), F.lit("1970-01-01").cast("date")))
-    daily = numbered.filter(F.col(n).isNotNull()).groupBy(*keys, n).agg(F.min(F.struct(day, id_)).alias("__first"))
+    days_of_key = numbered.filter(F.col(n).isNotNull()).groupBy(*keys, n)
+    if isinstance(df.schema[day].dataType, T.DateType):
+        # The day is in the group, so a plain minimum (a hash aggregate for numbers) is enough.
+        first = F.struct(F.date_add(F.lit("1970-01-01").cast("date"), F.col(n)).alias(day), F.col("__id").alias(id_))
+        daily = days_of_key.agg(F.min(id_).alias("__id")).withColumn("__first", first).drop("__id")
+    else:
+        daily = days_of_key.agg(F.min(F.struct(day, id_)).alias("__first"))
     frame = Window.partitionBy(*keys).orderBy(n).rangeBetween(-days, -1)
     prior = daily.select(*keys, n, F.first("__first").over(frame).alias("__prior"))
     found = prior.filter(F.col("__prior").isNotNull())

@@ -41,6 +41,7 @@ def merge_by(
     order_right: Sequence[str] | None = None,
     overlay: str = "right",
     profile_left: DataFrame | None = None,
+    match_missing: bool = True,
 ) -> DataFrame:
     """Merge two tables. ``flags`` names the two 0/1 contribution columns, if wanted.
 
@@ -48,15 +49,17 @@ def merge_by(
     ``pairing="sequential"`` pairs row by row in the given orders and repeats the last
     row of the shorter side, which is what a record-by-record merge does.
     ``profile_left`` is a cheaper frame with the BY columns to look for heavy keys in.
+    Keys that are never missing may say ``match_missing=False``: the join can then use a
+    partitioning its inputs already have.
     """
     by = as_list(by)
     if keep not in KEEP:
         raise ValueError(f"unknown keep condition {keep!r}; use one of {sorted(k for k in KEEP if k)}")
     how = KEEP[keep]
     if how == "left_anti":
-        return _with_flags(salted_join(left, right.select(*by), by, "left_anti", True), flags, 1, 0, right, by)
+        return _with_flags(salted_join(left, right.select(*by), by, "left_anti", match_missing), flags, 1, 0, right, by)
     if how == "right_anti":
-        return _with_flags(salted_join(right, left.select(*by), by, "left_anti", True), flags, 0, 1, left, by)
+        return _with_flags(salted_join(right, left.select(*by), by, "left_anti", match_missing), flags, 0, 1, left, by)
     if pairing == "sequential":
         if not order_left or not order_right:
             raise ValueError("sequential pairing needs order_left and order_right")
@@ -67,7 +70,7 @@ def merge_by(
     common = [c for c in left.columns if c in right.columns and c not in by]
     l = left.select(*by, *[F.col(c).alias(f"__l_{c}") if c in common else F.col(c) for c in left.columns if c not in by], F.lit(1).alias("__in_a"))
     r = right.select(*by, *[F.col(c).alias(f"__b_{c}") if c in common else F.col(c) for c in right.columns if c not in by], F.lit(1).alias("__in_b"))
-    joined = salted_join(l, r, by, how, null_safe=True, profile_left=profile_left)
+    joined = salted_join(l, r, by, how, match_missing, profile_left=profile_left)
     return _shape(joined, left, right, by, common, flags, overlay)
 
 

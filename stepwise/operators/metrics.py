@@ -95,7 +95,7 @@ def weekly_projection(
     end = df.select(F.max(week_start(ts))).scalar()
     recent = weekly.withColumn("x", (F.datediff(F.col("week"), end) / 7).cast("int")).filter(F.col("x") > -weeks)
     line = recent.groupBy(*by).agg(
-        F.regr_slope("amount", "x").alias("slope"), F.regr_intercept("amount", "x").alias("intercept"), F.max("week").alias("__w")
+        F.regr_slope("amount", "x").alias("slope"), F.regr_intercept("amount", "x").alias("intercept")
     )
     steps = line.select("*", F.explode(F.sequence(F.lit(1), F.lit(ahead))).alias("weeks_ahead"))
     return steps.select(

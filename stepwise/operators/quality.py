@@ -131,15 +131,20 @@ def parity(
     """
     common = hashed or [c for c in a.columns if c in b.columns]
 
-    def profile(df, p):
+    def profile(df, side):
         return df.agg(
-            F.count(F.lit(1)).alias(f"{p}n"),
-            checksum(df, common).alias(f"{p}h"),
-            *[F.sum(F.col(c).cast("decimal(28,4)")).cast("double").alias(f"{p}s{i}") for i, c in enumerate(sums)],
+            F.lit(side).alias("side"),
+            F.count(F.lit(1)).alias("n"),
+            checksum(df, common).alias("h"),
+            *[F.sum(F.col(c).cast("decimal(28,4)")).cast("double").alias(f"s{i}") for i, c in enumerate(sums)],
         )
 
-    pa = profile(a, "a_").withColumn("__one", F.lit(1))
-    both = pa.join(profile(b, "b_").withColumn("__one", F.lit(1)), "__one")
+    # Two one-row profiles, laid side by side.
+    stacked = profile(a, "a").unionByName(profile(b, "b"))
+    figures = ["n", "h", *[f"s{i}" for i in range(len(sums))]]
+    both = stacked.agg(
+        *[F.max(F.when(F.col("side") == p, F.col(c))).alias(f"{p}_{c}") for p in ("a", "b") for c in figures]
+    )
     n_schema = len(schema_diff(a, b))
 
     def line(check, x, y, ok):

@@ -20,6 +20,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from stepwise.session import hot_rows
 MAX_HOT_KEYS = 1000
 MAX_CHUNKS = 4096
 SAMPLED_ROWS = 400
+WHOLE_TABLE_SHARE = 16
 CHUNK = "__chunk"
 GROUP_ROWS = "__group_rows"
 
@@ -143,12 +145,17 @@ def split_groups(
     order = [order] if isinstance(order, str) else list(order)
     source = df if profile is None else profile
     limit = hot_rows(df.sparkSession)
+    if not by:
+        # One group that is certain to hold everything: split it sooner, for parallelism.
+        limit = max(2, limit // WHOLE_TABLE_SHARE)
     hot = heavy_keys(source, by, limit)
     if not hot:
         return Split(df, by, order)
 
-    lead, descending = keys[0]
-    lead_type = df.schema[lead].dataType
+    # Cuts are values of the leading order keys that sort in one direction.
+    descending = keys[0][1]
+    lead = [name for name, desc in takewhile(lambda k: k[1] == descending, keys)]
+    lead_type = T.StructType([T.StructField(name, df.schema[name].dataType) for name in lead])
     parts = {tuple(r[k] for k in by): min(MAX_CHUNKS, math.ceil(r[GROUP_ROWS] / limit)) for r in hot}
     total = sum(r[GROUP_ROWS] for r in hot)
     # A sample decides only where the cuts go; every row is still processed.
@@ -163,9 +170,7 @@ def split_groups(
     )
     if by:
         sample = sample.join(F.broadcast(_key_frame(df, by, hot)), match([F.col(f) for f in key_schema.names]), "left_semi")
-    sampled = sample.groupBy(*by).agg(
-        F.transform(F.sort_array(F.collect_list(lead)), lambda v: v.cast("string")).alias("__v")
-    )
+    sampled = sample.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*lead))).alias("__v"))
     cuts = {key: [] for key in parts}
     for row in sampled.collect():
         key, values = tuple(row[k] for k in by), row["__v"]
@@ -174,22 +179,14 @@ def split_groups(
         cuts[key] = list(dict.fromkeys(picked))
     longest = max(len(c) for c in cuts.values())
 
-    bounds_type = T.ArrayType(T.StringType())
+    schema = T.StructType([*key_schema, T.StructField("__cuts", T.ArrayType(lead_type)), T.StructField(GROUP_ROWS, T.LongType())])
+    rows = [(*(r[k] for k in by), cuts[tuple(r[k] for k in by)], r[GROUP_ROWS]) for r in hot]
+    table = df.sparkSession.createDataFrame(rows, schema)
     if by:
-        schema = T.StructType(
-            [*key_schema, T.StructField("__cuts", bounds_type), T.StructField(GROUP_ROWS, T.LongType())]
-        )
-        rows = [(*(r[k] for k in by), cuts[tuple(r[k] for k in by)], r[GROUP_ROWS]) for r in hot]
-        table = df.sparkSession.createDataFrame(rows, schema)
-        tagged = df.join(F.broadcast(table), match([F.col(f) for f in key_schema.names]), "left")
-        tagged = tagged.drop(*key_schema.names)
+        tagged = df.join(F.broadcast(table), match([F.col(f) for f in key_schema.names]), "left").drop(*key_schema.names)
     else:
-        tagged = df.select(
-            "*",
-            F.array(*[F.lit(c) for c in cuts[()]]).cast(bounds_type).alias("__cuts"),
-            F.lit(hot[0][GROUP_ROWS]).cast("long").alias(GROUP_ROWS),
-        )
-    position = search_sorted(F.col(lead), F.col("__cuts").cast(T.ArrayType(lead_type)), longest)
+        tagged = df.select("*", table.select("__cuts").scalar().alias("__cuts"), F.lit(hot[0][GROUP_ROWS]).cast("long").alias(GROUP_ROWS))
+    position = search_sorted(F.struct(*lead), F.col("__cuts"), longest)
     chunk = F.when(F.col("__cuts").isNotNull(), -position if descending else position)
     tagged = tagged.withColumn(CHUNK, chunk).drop("__cuts")
     return Split(tagged.repartition(*by, CHUNK) if spread else tagged, by, order, hot=True)

@@ -16,6 +16,7 @@ from stepwise.operators.joins import pick_top_join
 from stepwise.operators.metrics import Measure, MetricView, baseline_status
 from stepwise.operators.project import case_of
 from stepwise.operators.quality import keep_ok
+from stepwise.session import stored
 
 # The business thresholds.
 BASELINE_WEEKLY = 2_500_000.0
@@ -107,7 +108,7 @@ def batch_analysis(silver: DataFrame) -> DataFrame:
             F.max("claim_date").alias("last_claim_date"),
         )
     )
-    return share_of_total(grouped, "claim_count")
+    return share_of_total(stored(grouped, "batch-analysis"), "claim_count")
 
 
 def performance_view(daily: DataFrame, baseline: float = BASELINE_WEEKLY, threshold: float = SPIKE_RATIO) -> MetricView:
@@ -174,6 +175,7 @@ def flow_counts(silver: DataFrame, n: int = 10) -> DataFrame:
     flows = silver.groupBy("claim_type", "model_name", F.col("appliance_batch_id").cast("string").alias("batch")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("claim_amount_usd").alias("amount")
     )
+    flows = stored(flows, "flows")
     named = top_n_other(flows, "model_name", n, F.col("n"), "Other models")
     named = top_n_other(named, "batch", n, F.col("n"), "Other batches")
     return named.groupBy("claim_type", "model_name", "batch").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stepwise.operators import agg as ag
 from stepwise.operators import quality as ql
 from stepwise.queries.base import money, query
+from stepwise.session import stored
 
 
 def _lines(t):
@@ -204,6 +205,7 @@ def cond_agg(t):
 def share_of_total(t):
     places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     n = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("r_name", "n_name").agg(F.count(F.lit(1)).alias("n"))
+    n = stored(n, "shares")
     return ag.share_of_total(ag.share_of_total(n, "n"), "n", "pct_of_region", ["r_name"])
 
 

@@ -16,6 +16,15 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def short_plans(request, spark):
+    """Tables of a few rows run faster interpreted; the oracle tests use generated code."""
+    interpret = "test_oracle" not in request.node.nodeid
+    spark.conf.set("spark.sql.codegen.wholeStage", str(not interpret).lower())
+    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN" if interpret else "FALLBACK")
+    yield
+
+
 @pytest.fixture(params=["plain", "split"])
 def skew_mode(request, spark):
     """Run a test with plain windows and again with every group of 3+ rows split."""

@@ -161,6 +161,21 @@ def test_string_order_key_is_split(spark):
         spark.conf.unset("stepwise.skew.hotRows")
 
 
+def test_constant_leading_key_is_split_by_the_next(spark):
+    spark.conf.set("stepwise.skew.hotRows", "20")
+    try:
+        df = spark.range(400).select(F.lit("a").alias("k"), F.lit(None).cast("date").alias("d"), F.lit("2024-01-01 10:00:00.123456").cast("timestamp").alias("t"), "id")
+        split = split_groups(df, ["k"], ["d", "t", "id"])
+        assert split.df.select("__chunk").distinct().count() > 5
+        down = split_groups(df, ["k"], ["d desc", "t desc", "id desc"])
+        ends = down.df.groupBy("__chunk").agg(F.max("id").alias("hi")).orderBy("__chunk").collect()
+        assert len(ends) > 5 and [r.hi for r in ends] == sorted((r.hi for r in ends), reverse=True)
+        got = bg.retain_sum(df, "k", ["d desc", "t desc", "id desc"], {"s": F.lit(1)}, "k")
+        assert all(r.s == 400 - r.id for r in got.collect())
+    finally:
+        spark.conf.unset("stepwise.skew.hotRows")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join(spark, skew_mode, how, null_safe):

@@ -87,6 +87,14 @@ def test_stream_csv_incremental(spark, tmp_path):
     assert run() == 5
 
 
+def test_stream_from_table(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS bronze_ids")
+    wr.save_table(spark.range(7), "bronze_ids")
+    st.append_files(st.stream_table(spark, "bronze_ids").filter("id > 2"), str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 4
+    spark.sql("DROP TABLE bronze_ids")
+
+
 def test_weekly_stream_late_rows(spark, tmp_path):
     src = str(tmp_path / "in")
     schema = "id int, ts timestamp, v int"
