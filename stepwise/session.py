@@ -26,9 +26,11 @@ _DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "stepwise") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "stepwise", conf: dict[str, str] | None = None
+) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in _DEFAULTS.items():
+    for key, value in {**_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -10,18 +10,18 @@ from stepwise.session import HOT_ROWS_CONF, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, 4, "stepwise-tests")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(8, 4, "stepwise-tests", {"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 
 
 @pytest.fixture(autouse=True)
 def short_plans(request, spark):
-    """Tables of a few rows run faster interpreted; the oracle tests use generated code."""
+    """Tables of a few rows run faster without whole-stage code; the oracle tests use it."""
     interpret = "test_oracle" not in request.node.nodeid
     spark.conf.set("spark.sql.codegen.wholeStage", str(not interpret).lower())
-    spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN" if interpret else "FALLBACK")
     yield
 
 
