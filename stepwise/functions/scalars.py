@@ -27,8 +27,10 @@ def substr(x, start: int, length: int | None = None) -> Column:
 
 def scan(x, n: int, delimiters: str = " .<(+&!$*);^-/,%|") -> Column:
     """The n-th word; runs of delimiters count as one, negative n counts from the right."""
-    words = F.filter(F.split(_col(x), "[" + re.escape(delimiters) + "]"), lambda w: w != "")
-    return F.try_element_at(words, F.lit(n))
+    mark = delimiters[0]
+    # One delimiter for all of them: splitting at a single character needs no regex engine.
+    text = F.translate(_col(x), delimiters, mark * len(delimiters))
+    return F.try_element_at(F.array_remove(F.split(text, re.escape(mark)), ""), F.lit(n))
 
 
 def catx(delimiter: str, *parts) -> Column:

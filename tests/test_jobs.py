@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stepwise.functions.formats import Range, ValueFormat
 from stepwise.operators.project import select_when
 from stepwise.plans import adjudication, claims, intake, prior_auth, sales
-from stepwise.plans.medallion import add_audit, publish_table, publish_view
+from stepwise.plans.medallion import add_audit, define_pipeline, publish_table, publish_view
 from stepwise.sources.lines import Field, LineSpec, infer_numeric, parse_lines
 
 MEMBERS = """
@@ -260,3 +260,17 @@ def test_medallion(spark, tmp_path):
     spark.sql("DROP TABLE IF EXISTS audit_copy")
     assert publish_table(df.select("id"), "audit_copy").count() == 3
     spark.sql("DROP TABLE audit_copy")
+
+
+def test_pipeline_definition(spark, monkeypatch):
+    from pyspark import pipelines as dp
+
+    made = {}
+
+    def recorder(kind):
+        return lambda name: lambda fn: made.update({name: (kind, fn)})
+
+    monkeypatch.setattr(dp, "temporary_view", recorder("view"))
+    monkeypatch.setattr(dp, "materialized_view", recorder("table"))
+    define_pipeline({"silver": (lambda s: s.range(2), "view"), "gold": (lambda s: s.range(3), "table")}, lambda: spark)
+    assert {n: (kind, fn().count()) for n, (kind, fn) in made.items()} == {"silver": ("view", 2), "gold": ("table", 3)}
