@@ -70,7 +70,7 @@ def stream_gold(t):
 )
 def stream_weekly(t):
     """Append mode: a week appears once the watermark, a day behind, has passed its end."""
-    timed = _stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
+    timed = _stream(t)
     aggs = {"n": F.count(F.lit(1)), "total": F.sum(money("value")).cast("double")}
     return _run(t, st.weekly_totals(timed, "ts", aggs), "weekly")
 

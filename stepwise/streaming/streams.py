@@ -70,11 +70,14 @@ def weekly_totals(
     """Tumbling totals with a watermark.
 
     The default offset makes weeks start on Monday (the epoch was a Thursday). In append
-    mode a week is emitted once, when the watermark has passed its end.
+    mode a week is emitted once, when the watermark has passed its end. Windows are aligned
+    to UTC, so event times are moved to the session's wall clock and the result back.
     """
-    grouped = stream.withWatermark(ts, delay).groupBy(F.window(ts, width, width, offset))
+    zone = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    timed = stream.withColumn("__local", F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone))
+    grouped = timed.withWatermark("__local", delay).groupBy(F.window("__local", width, width, offset))
     out = grouped.agg(*[e.alias(n) for n, e in aggs.items()])
-    return out.select(F.to_date("window.start").alias("week"), *aggs)
+    return out.select(F.to_date(F.to_utc_timestamp("window.start", zone)).alias("week"), *aggs)
 
 
 def first_per_key(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
