@@ -26,11 +26,15 @@ def substr(x, start: int, length: int | None = None) -> Column:
 
 
 def scan(x, n: int, delimiters: str = " .<(+&!$*);^-/,%|") -> Column:
-    """The n-th word; runs of delimiters count as one, negative n counts from the right."""
-    mark = delimiters[0]
-    # One delimiter for all of them: splitting at a single character needs no regex engine.
-    text = F.translate(_col(x), delimiters, mark * len(delimiters))
-    return F.try_element_at(F.array_remove(F.split(text, re.escape(mark)), ""), F.lit(n))
+    """The n-th word, NULL if there is none; runs of delimiters count as one, negative n
+    counts from the right. One anchored match that stops at the word, from either end."""
+    if n == 0:
+        raise ValueError("words are counted from 1, or from -1 at the right")
+    marks = re.escape(delimiters)
+    word = f"^[{marks}]*+(?:[^{marks}]++[{marks}]++){{{abs(n) - 1}}}([^{marks}]++)"
+    if n > 0:
+        return F.nullif(F.regexp_extract(_col(x), word, 1), F.lit(""))
+    return F.nullif(F.reverse(F.regexp_extract(F.reverse(_col(x)), word, 1)), F.lit(""))
 
 
 def catx(delimiter: str, *parts) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stepwise.functions.missing import is_missing
 from stepwise.functions.scalars import catx, cats, date_literal, substr, today
 from stepwise.operators.agg import category_score, with_total
 from stepwise.operators.joins import one_match, prior_within
@@ -28,7 +29,11 @@ def edit_claims(raw: DataFrame, as_of=None) -> DataFrame:
         F.when(bad_date, "Invalid claim_date"),
         F.when(bad_amount, "Invalid billed_amount"),
     )
-    return raw.withColumn("edit_reason", reason).withColumn("edit_flag", (F.col("edit_reason") != "").cast("int"))
+    # The flag comes from the conditions, not from the text, so that filters on it stay cheap.
+    failed = bad_amount | F.coalesce(bad_date, F.lit(False))
+    for name in REQUIRED:
+        failed = failed | is_missing(name)
+    return raw.select("*", reason.alias("edit_reason"), failed.cast("int").alias("edit_flag"))
 
 
 def eligible_claims(edited: DataFrame, eligibility: DataFrame) -> DataFrame:

@@ -46,7 +46,9 @@ def test_intnx(spark, unit, d, n, align, want):
 def test_text(spark):
     assert one(spark, sc.scan(F.lit("  one, two;three "), 2)) == "two"
     assert one(spark, sc.scan(F.lit("a-b-c"), -1)) == "c"
-    assert one(spark, sc.scan(F.lit("a-b"), 5)) is None
+    assert one(spark, sc.scan(F.lit("a-b"), 5)) is None and one(spark, sc.scan(F.lit("abc"), 2)) is None
+    assert one(spark, sc.scan(F.lit("abc"), -1)) == "abc" and one(spark, sc.scan(F.lit(" é, ñü. "), -2)) == "é"
+    assert one(spark, sc.scan(F.lit("x|y z"), 2, "|")) == "y z" and one(spark, sc.scan(F.lit(" .. "), 1)) is None
     assert one(spark, sc.catx("; ", F.lit(" a "), F.lit("  "), F.lit(None).cast("string"), F.lit("b"))) == "a; b"
     assert one(spark, sc.cats(F.lit(" a "), F.lit(None).cast("string"), F.lit(" b"))) == "ab"
     assert one(spark, sc.length(F.lit("ab   "))) == 2 and one(spark, sc.length(F.lit("  "))) == 0
