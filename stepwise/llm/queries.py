@@ -124,3 +124,40 @@ SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
        CASE WHEN n >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM p JOIN f ON p.digest = f.digest
 """
+
+
+@_query
+def op1_token_files(spark, folder):
+    import public_tokenizers
+
+    from stepwise.llm.token_files import read_tokens, write_tokens
+
+    out = shared_dir(spark, "tokens")
+    write_tokens(_table(spark, folder, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return read_tokens(spark, out)
+
+
+@_query
+def op4_line_chunks(spark, folder):
+    from stepwise.llm.line_dedup import clean_lines
+
+    docs = _table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return clean_lines(docs).select(
+        "doc_id", "chunks_removed", "lines_removed", F.octet_length("text").cast("long").alias("bytes_left"), F.crc32("text").alias("text_crc32")
+    )
+
+
+@_query
+def op5_packing(spark, folder):
+    import public_tokenizers
+
+    from stepwise.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+
+
+@_query
+def op9_jaccard(spark, folder):
+    from stepwise.llm.jaccard import near_groups
+
+    return near_groups(_table(spark, folder, "documents"))
