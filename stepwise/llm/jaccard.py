@@ -280,8 +280,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     candidates = shared.groupBy("x", "y").agg(F.count("*").alias("met"), F.max("asked").alias("asked")).where("met >= asked")
     more = verify(candidates.select("x", "y"), sets)
 
-    final = components(near.toDF("u", "v").unionByName(more.toDF("u", "v")))
-    # A document with several texts is one node: its smallest set name and its own id are linked too.
+    # A document with several texts is one node.
+    texts = reps.groupBy("doc_id").agg(F.max("rep").alias("u"), F.min("rep").alias("v")).where("u <> v")
+    several = reps.join(texts.select("doc_id", "v"), "doc_id").select(F.col("rep").alias("u"), "v")
+    final = components(near.toDF("u", "v").unionByName(more.toDF("u", "v")).unionByName(several))
     return classes.join(final, classes["rep"] == final["node"], "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),

@@ -161,3 +161,10 @@ def op9_jaccard(spark, folder):
     from stepwise.llm.jaccard import near_groups
 
     return near_groups(_table(spark, folder, "documents"))
+
+
+@_query
+def op3_recurrent_lm(spark, folder):
+    from stepwise.llm.lm import score_documents
+
+    return score_documents(_table(spark, folder, "documents"))
