@@ -168,3 +168,12 @@ def op3_recurrent_lm(spark, folder):
     from stepwise.llm.lm import score_documents
 
     return score_documents(_table(spark, folder, "documents"))
+
+
+@_query
+def op2_sampled_pieces(spark, folder):
+    import public_tokenizers
+
+    from stepwise.llm.segment import sample_segmentations
+
+    return sample_segmentations(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 2)
