@@ -7,9 +7,10 @@ every document but the one with the smallest id, where its first occurrence stay
 only bring equal chunks together: they are grouped by their bytes, and a hash that stands
 for different bytes removes nothing.
 
-Defined cases: null texts are empty and stay null in :func:`clean_lines` output; lines alone
-are never removed; rows that repeat an id count as one document, so the passage stays in each
-of them; a null id ranks behind all others; other columns are kept as they are.
+Defined cases: null texts have no lines and stay null; lines alone are never removed; rows that
+repeat an id count as one document, so the passage stays in each of them; a null id ranks behind
+all others; other columns are kept as they are, but for one with the name of a result column,
+which the result replaces.
 """
 
 from __future__ import annotations
@@ -107,10 +108,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return by_hash.where("texts = 1 AND places > 1").select("h1", "h2", "first_id")
 
 
-def _apply(schema_names: list[str], text: str):
+def _apply(schema_names: list[str], text: str, counts: bool):
     def run(batches):
         for part in slices(batches, text):
-            values, removed, lines_removed = part.column(text).to_pylist(), part.column("removed_lines").to_pylist(), []
+            values, removed, lines_removed = part.column(text).to_pylist(), part.column("__ranges").to_pylist(), []
             for i, ranges in enumerate(removed):
                 count = 0
                 if ranges and values[i] is not None:
@@ -125,9 +126,9 @@ def _apply(schema_names: list[str], text: str):
             for name in schema_names:
                 if name == text:
                     columns.append(pa.array(values, pa.string()))
-                elif name == "lines_removed":
+                elif counts and name == "lines_removed":
                     columns.append(pa.array(lines_removed, pa.int64()))
-                elif name == "chunks_removed":
+                elif counts and name == "chunks_removed":
                     columns.append(pa.array([len(r or ()) for r in removed], pa.int64()))
                 else:
                     columns.append(part.column(name))
@@ -136,15 +137,13 @@ def _apply(schema_names: list[str], text: str):
     return run
 
 
-def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without repeated chunks; adds ``chunks_removed`` and ``lines_removed``.
+def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
+    """The documents without repeated chunks; with ``counts`` also ``chunks_removed`` and ``lines_removed``.
 
     Texts go through two shuffles: chunk texts by hash, each once per slice, and documents to
     their removals. A chunk that a third of the documents share is one row per slice in the
     first and a splittable join side in the step between.
     """
-    if {"chunks_removed", "lines_removed", "removed_lines", "text_key"} & {c.lower() for c in docs.columns}:
-        raise ValueError("a column of the input has the name of a result column")
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), filled.alias("text"), F.xxhash64(filled).alias("text_key"))
     repeated = stored(repeated_chunks(rows), "line-chunks")
@@ -154,10 +153,11 @@ def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         members.join(repeated, ["h1", "h2"])
         .where(F.col("again") | elsewhere)
         .groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id"), F.col("text_key").alias("__key"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("removed_lines"))
+        .agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
     )
     keyed = docs.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID))).withColumn("__key", F.xxhash64(filled))
-    names = [*docs.columns, "chunks_removed", "lines_removed"]
-    schema = docs.selectExpr("*", "0L AS chunks_removed", "0L AS lines_removed").schema
-    joined = keyed.join(removed, ["__id", "__key"], "left").select(*docs.columns, "removed_lines")
-    return joined.mapInArrow(_apply(names, text), schema)
+    added = ["chunks_removed", "lines_removed"] if counts else []
+    columns = [c for c in docs.columns if c.lower() not in added]
+    schema = docs.select(*columns, *(F.lit(0).cast("long").alias(c) for c in added)).schema
+    joined = keyed.join(removed, ["__id", "__key"], "left").select(*columns, "__ranges")
+    return joined.mapInArrow(_apply([*columns, *added], text, counts), schema)
