@@ -138,6 +138,7 @@ class Model:
         self.recur = normal(h, 3 * h, scale=h**-0.5)
         self.out = normal(h, classes, scale=0.05)
         self.out_bias = np.log((mass + 0.5) / (mass.sum() + 1)).astype(np.float32)
+        self.out_bias[:WORD_CLASSES][np.diff(v.bounds) == 0] = -30  # classes without words
         self.word_out = normal(SOFTMAX_WORDS, h, scale=0.05)
         self.word_bias = np.zeros(SOFTMAX_WORDS, np.float32)
         self.word_bias[: v.own] = np.log(np.maximum(v.counts[: v.own], 1))

@@ -182,13 +182,14 @@ class Lattice:
         self.part_end = self.part_start + length
         self.opens = np.isin(node, self.part_start)  # edges at the start of a part
 
-    def walk(self, node: np.ndarray, end: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: np.ndarray):
-        """Follow drawn edges from each node to its end. Returns the edges in order and their number per walk."""
+    def walk(self, node: np.ndarray, part: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: np.ndarray):
+        """Follow drawn edges from each node to the end of its part. Returns the edges in order and their number per walk."""
+        origin, end = self.part_start[part], self.part_end[part]
         live = np.flatnonzero(node < end)
         now = node[live]
         steps, walks = [], []
         while len(live):
-            chance = uniform(seed[live], sample[live], place[live], now)
+            chance = uniform(seed[live], sample[live], place[live], now - origin[live])
             edge = self.first[now].copy()
             look = np.flatnonzero(chance >= self.reach[edge])
             while len(look):
@@ -276,7 +277,7 @@ def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
     def finish(prefix: dict[int, tuple], sample: int) -> None:
         """Walk on from each text's prefix (path, value) and hand the results to the searches."""
         rows = np.array(sorted(prefix), np.int64)
-        node, end, own, spot = [], [], [], []
+        node, where, own, spot = [], [], [], []
         for i in rows.tolist():
             path, a, b = prefix[i][0], offsets[i], offsets[i + 1]
             if empty[i]:
@@ -286,18 +287,18 @@ def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
                 here = int(lattice.node[path[-1]] + lattice.size[path[-1]])
                 resume = a + prefix[i][2]
                 node.append([here])
-                end.append(lattice.part_end[part[resume : resume + 1]])
+                where.append(part[resume : resume + 1])
                 own.append([i])
                 spot.append(place[resume : resume + 1])
                 resume += 1
             node.append(lattice.part_start[part[resume:b]])
-            end.append(lattice.part_end[part[resume:b]])
+            where.append(part[resume:b])
             own.append(np.full(b - resume, i))
             spot.append(place[resume:b])
         if not node:
-            node = end = own = spot = [np.zeros(0, np.int64)]
-        node, end, own, spot = (np.concatenate(x).astype(np.int64) for x in (node, end, own, spot))
-        edges, count = lattice.walk(node, end, seeds[own], spot, np.full(len(node), sample))
+            node = where = own = spot = [np.zeros(0, np.int64)]
+        node, where, own, spot = (np.concatenate(x).astype(np.int64) for x in (node, where, own, spot))
+        edges, count = lattice.walk(node, where, seeds[own], spot, np.full(len(node), sample))
         steps = np.bincount(own, count, len(texts)).astype(np.int64)[rows]
         stops = np.cumsum(steps)
         for i, a, b in zip(rows.tolist(), (stops - steps).tolist(), stops.tolist()):
