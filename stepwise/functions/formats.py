@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -79,13 +80,15 @@ def put_format(df: DataFrame, value: str, fmt: ValueFormat, out: str) -> DataFra
         return df.withColumn(out, fmt.label(value))
     if fmt.ranges:
         return df.withColumn(out, fmt.label(value))
-    schema = T.StructType(
-        [T.StructField("__code", df.schema[value].dataType), T.StructField("__label", T.StringType())]
-    )
-    lookup = df.sparkSession.createDataFrame(list(fmt.values.items()), schema)
+    # Codes keep the type of the format; the column is compared in it, as the inline form does.
+    numeric = all(isinstance(code, (int, float, Decimal)) for code in fmt.values)
+    kind = T.DoubleType() if numeric else T.StringType()
+    codes = [(float(code) if numeric else str(code), label) for code, label in fmt.values.items()]
+    schema = T.StructType([T.StructField("__code", kind), T.StructField("__label", T.StringType())])
+    lookup = df.sparkSession.createDataFrame(codes, schema)
     if len(fmt.values) <= BROADCAST_LIMIT:
         lookup = F.broadcast(lookup)
-    joined = df.join(lookup, F.col(value) == F.col("__code"), "left")
+    joined = df.join(lookup, F.col(value).cast(kind) == F.col("__code"), "left")
     rest = ValueFormat(fmt.name, {}, (), fmt.missing, fmt.other)
     return joined.withColumn(out, F.coalesce("__label", rest.label(value))).drop("__code", "__label")
 

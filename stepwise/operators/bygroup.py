@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.missing import missing_gt
 from stepwise.operators.ordering import as_list, order_keys, sort_columns
-from stepwise.operators.skew import CHUNK, GROUP_ROWS, split_groups, with_halo
+from stepwise.operators.skew import CHUNK, GROUP_ROWS, heavy_keys, salted_join, split_groups, with_halo
 
 Expr = Column | str | int | float
 
@@ -76,16 +76,16 @@ def keep_last(df: DataFrame, by: Sequence[str] | str, order: Sequence[str] | str
 def group_size(
     df: DataFrame, by: Sequence[str] | str, out: str = "group_size", profile: DataFrame | None = None
 ) -> DataFrame:
-    """Row count of the group on every row. Heavy groups take the counted literal."""
+    """Row count of the group on every row.
+
+    With heavy groups the counts are a reduced table that is joined back, which adaptive execution
+    splits. ``profile`` is only looked at to find out whether there are any.
+    """
     by = as_list(by)
-    split = split_groups(df, by, by[-1:], profile, spread=False)
-    if not split.hot:
+    if not heavy_keys(df if profile is None else profile, by):
         return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*by)))
-    columns = [c for c in split.df.columns if c not in (CHUNK, GROUP_ROWS)]
-    salt = F.when(F.col(CHUNK).isNotNull(), F.pmod(F.xxhash64(*columns), F.lit(4096)))
-    rows = split.df.withColumn("__salt", salt).repartition(*by, "__salt")
-    size = F.count(F.lit(1)).over(Window.partitionBy(*by, "__salt"))
-    return split.done(rows.withColumn(out, F.coalesce(F.col(GROUP_ROWS), size)).drop("__salt"))
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(out))
+    return salted_join(df, sizes, by, "left", null_safe=True, unique_left=True, unique_right=True).select(*df.columns, out)
 
 
 def dup_flag(

@@ -245,11 +245,14 @@ def salted_join(
     and of either side of an inner join; the other cases are handled here. Heavy keys of
     a side are looked up where Spark cannot split it, or where a ``profile`` frame (with
     the key columns, cheaper than the side itself) is given. ``unique_*`` says a side has
-    one row per key. Without heavy keys this is the plain join. With some, their rows are
-    joined apart: the heavy side is spread over ``salts`` partitions and the other side's
-    rows of just those keys are repeated once per salt. A heavy key is present on its own
-    side, so only that side can be preserved by an outer join there. Columns of ``on``
-    appear once in the result.
+    one row per key. Without heavy keys this is the plain join.
+
+    With some, it is one join on the keys and a salt: rows of a heavy key are spread over
+    ``salts`` values on one side and repeated once per value on the other; all other rows have
+    salt 0. Only rows that stand once may be preserved by an outer join, so unmatched rows of
+    a side that is repeated, or of the second side of a full join, are added by an anti join.
+    Which keys are split never changes the result, whatever the profile says. Columns of
+    ``on`` appear once in the result.
     """
     on = as_list(on)
     if how in ("left_semi", "left_anti"):
@@ -273,43 +276,42 @@ def salted_join(
             key = tuple(r[k] for k in on)
             if key not in weight or weight[key][0] < r[GROUP_ROWS]:
                 weight[key] = (r[GROUP_ROWS], side)
+    sides = {s for _, s in weight.values()}
     schema = T.StructType(
         [*[T.StructField(f"__k{i}", left.schema[k].dataType) for i, k in enumerate(on)], T.StructField("__side", T.StringType())]
     )
-    table = left.sparkSession.createDataFrame([(*k, s) for k, (_, s) in weight.items()], schema)
+    table = F.broadcast(left.sparkSession.createDataFrame([(*k, s) for k, (_, s) in weight.items()], schema))
 
-    def tag(df):
+    def salted(df, own):
         cond = null_safe_equal([F.col(k) for k in on], [F.col(f"__k{i}") for i in range(len(on))])
-        return df.join(F.broadcast(table), cond, "left").drop(*schema.names[:-1])
-
-    lt, rt = tag(left), tag(right)
-    parts = [
-        _join_once(
-            lt.filter(F.col("__side").isNull()).drop("__side"),
-            rt.filter(F.col("__side").isNull()).drop("__side"),
-            on,
-            how,
-            null_safe,
-        )
-    ]
-
-    def spread(side):
+        tagged = df.join(table, cond, "left").drop(*schema.names[:-1])
         # From the row's own values, so that a recomputed task repeats its salts.
-        return F.pmod(F.xxhash64(*side.columns), F.lit(salts)).cast("int")
-
-    repeat = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    kept = {"l": {"left", "full"}, "r": {"right", "full"}}
-    for side in ("l", "r"):
-        if not any(s == side for _, s in weight.values()):
-            continue
-        l_side = lt.filter(F.col("__side") == side).drop("__side")
-        r_side = rt.filter(F.col("__side") == side).drop("__side")
-        outer = {"l": "left", "r": "right"}[side] if how in kept[side] else "inner"
-        outer = how if how in ("left_semi", "left_anti") else outer
-        l_part = l_side.withColumn("__salt", spread(l_side) if side == "l" else repeat)
-        r_part = r_side.withColumn("__salt", repeat if side == "l" else spread(r_side))
-        parts.append(_join_once(l_part, r_part, [*on, "__salt"], outer, null_safe).drop("__salt"))
-    return reduce(DataFrame.unionByName, parts)
+        one = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        values = F.when(F.col("__side").isNull(), F.array(F.lit(0))).when(F.col("__side") == own, F.array(one)).otherwise(every)
+        return tagged.withColumn("__salt", F.explode(values)).drop("__side")
+
+    def once(kind):
+        return _join_once(salted(left, "l"), salted(right, "r"), [*on, "__salt"], kind, null_safe).drop("__salt")
+
+    def unmatched(side, other):
+        """Rows of a side whose key the other one lacks, in the columns of the result."""
+        alone = _join_once(side, other.select(*on).distinct(), on, "left_anti", null_safe)
+        fields = {f.name: f.dataType for f in other.schema.fields if f.name not in on}
+        empty = [F.lit(None).cast(kind).alias(name) for name, kind in fields.items()]
+        return alone.select("*", *empty).select(*on, *[c for c in [*left.columns, *right.columns] if c not in on])
+
+    if how in ("inner", "left_semi", "left_anti"):
+        return once(how)
+    repeated = {"left": "r", "right": "l"}.get(how)
+    if repeated and repeated not in sides:
+        return once(how)
+    out = once("inner")
+    if how in ("left", "full", "outer"):
+        out = out.unionByName(unmatched(left, right))
+    if how in ("right", "full", "outer"):
+        out = out.unionByName(unmatched(right, left))
+    return out
 
 
 def _join_once(left: DataFrame, right: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:

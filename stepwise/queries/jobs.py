@@ -323,7 +323,28 @@ def sales_orders(t):
     ),
 )
 def sales_checks(t):
-    return validate(sales_classified(t), sales.CLASSIFIED_RULES)
+    return validate(sales_classified(t), sales.classified_rules())
+
+
+@query(
+    "sales_order_checks",
+    """
+    WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders), n AS (SELECT count(*) AS rows FROM o),
+    c AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_name <> 'Customer#000000001'), m AS (SELECT count(*) AS rows FROM c),
+    bad AS (SELECT 'SalesOrderID_positive' AS "check", (SELECT count(*) FROM o WHERE o_orderkey <= 0) AS violations, rows FROM n
+      UNION ALL SELECT 'TotalDue_positive', (SELECT count(*) FROM o WHERE v <= 0), rows FROM n
+      UNION ALL SELECT 'not_in_future', (SELECT count(*) FROM o WHERE d > DATE '2001-12-31'), rows FROM n
+      UNION ALL SELECT 'year_in_range', (SELECT count(*) FROM o WHERE NOT year(d) BETWEEN 2010 AND 2001), rows FROM n
+      UNION ALL SELECT 'CustomerID_positive', (SELECT count(*) FROM c WHERE c_custkey <= 0), rows FROM m
+      UNION ALL SELECT 'CompanyName_present', (SELECT count(*) FROM c WHERE c_name = ''), rows FROM m
+      UNION ALL SELECT 'EmailAddress_present', (SELECT count(*) FROM c WHERE c_mktsegment = ''), rows FROM m)
+    SELECT "check", violations, rows, violations = 0 AS passed FROM bad
+    """,
+)
+def sales_order_checks(t):
+    """Expectations on orders and customers; the test orders are all older than the first year asked for."""
+    customers, orders = _sales(t)
+    return validate(orders, sales.order_rules(AS_OF)).unionByName(validate(customers, sales.customer_rules()))
 
 
 # ---- small sample programs ------------------------------------------------
@@ -356,12 +377,11 @@ def catalogue_formats(t):
     "classified_lines",
     """
     SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_extendedprice < 5000 THEN 'Minor' WHEN l_extendedprice < 25000 THEN 'Moderate' ELSE 'Major' END AS severity,
-      CAST(l_extendedprice > 50000 AS INTEGER) AS high_value_flag, CAST(quarter(l_shipdate) AS INTEGER) AS fiscal_quarter FROM lineitem WHERE l_quantity >= 14
+      CAST(l_extendedprice > 50000 AS INTEGER) AS high_value_flag, CAST(quarter(l_shipdate) AS INTEGER) AS fiscal_quarter FROM lineitem
     """,
 )
 def classified_lines(t):
-    rows = t.lineitem.filter("l_quantity >= 14")
-    return rows.select(
+    return t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey",
         case_of([("l_extendedprice < 5000", "Minor"), ("l_extendedprice < 25000", "Moderate")], "Major").alias("severity"),
         as_int("l_extendedprice > 50000").alias("high_value_flag"), F.quarter("l_shipdate").alias("fiscal_quarter"),

@@ -9,17 +9,17 @@ from stepwise.queries.base import query
 
 
 def _docs(t):
-    """English documents: labels of other languages have no partner here."""
-    return t.documents.filter("lang = 'en'").select("doc_id", "source", "n_chars")
+    return t.documents.select("doc_id", "source", "n_chars")
 
 
 def _labels(t):
-    return t.labels.select("doc_id", "quality", "toxic")
+    """All labels under twice their id, so that some have no document."""
+    return t.labels.select((F.col("doc_id") * 2).alias("doc_id"), "quality", "toxic")
 
 
 _FULL = """
     SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.source, d.n_chars, l.quality, l.toxic{flags}
-    FROM (SELECT * FROM documents WHERE lang = 'en') d {join} JOIN labels l ON d.doc_id = l.doc_id {where}
+    FROM documents d {join} JOIN (SELECT doc_id * 2 AS doc_id, quality, toxic FROM labels) l ON d.doc_id = l.doc_id {where}
 """
 
 
@@ -113,9 +113,9 @@ def merge_missing_keys(t):
 @query(
     "merge_three",
     """
-    WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
-         b AS (SELECT user_id AS k, count(*) AS n_events FROM events WHERE event_type = 'error' GROUP BY 1),
-         c AS (SELECT c_custkey AS k, c_acctbal FROM customer WHERE c_acctbal < 0)
+    WITH a AS (SELECT o_custkey AS k, count(*) AS n_orders FROM orders GROUP BY 1),
+         b AS (SELECT user_id AS k, count(*) AS n_events FROM events GROUP BY 1),
+         c AS (SELECT c_custkey + 40 AS k, c_acctbal FROM customer)
     SELECT coalesce(a.k, b.k, c.k) AS k, n_orders, n_events, c_acctbal,
       CASE WHEN a.k IS NULL THEN 0 ELSE 1 END AS in_a, CASE WHEN b.k IS NULL THEN 0 ELSE 1 END AS in_b,
       CASE WHEN c.k IS NULL THEN 0 ELSE 1 END AS in_c
@@ -124,9 +124,9 @@ def merge_missing_keys(t):
     """,
 )
 def merge_three(t):
-    a = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_orders"))
-    b = t.events.filter("event_type = 'error'").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
-    c = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("k"), "c_acctbal")
+    a = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_orders"))
+    b = t.events.groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
+    c = t.customer.select((F.col("c_custkey") + 40).cast("long").alias("k"), "c_acctbal")
     return merge_many([a, b, c], "k", lambda x, y, z: (x & ~y) | z, ["in_a", "in_b", "in_c"])
 
 

@@ -180,10 +180,10 @@ def melt_array(t):
 
 @query(
     "expand_seq",
-    "SELECT p_partkey, i FROM part, unnest(range(1, CAST(p_size AS BIGINT) + 1)) AS u(i) WHERE p_type = 'LARGE'",
+    "SELECT p_partkey, i FROM part, unnest(range(1, CAST(p_size AS BIGINT) + 1)) AS u(i)",
 )
 def expand_seq(t):
-    return pj.expand(t.part.filter("p_type = 'LARGE'").select("p_partkey", "p_size"), 1, "p_size", "i").select("p_partkey", "i")
+    return pj.expand(t.part.select("p_partkey", "p_size"), 1, "p_size", "i").select("p_partkey", "i")
 
 
 @query(

@@ -45,11 +45,15 @@ def hot_rows(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, the storage all executors share.
 
-    Only a session without any checkpoint folder (tests, a laptop) gets a temporary one,
-    which later calls and ``checkpoint()`` then use as well.
+    A local session without any checkpoint folder (tests, a laptop) gets a temporary one, which
+    later calls and ``checkpoint()`` then use as well. On a cluster that is an error: executors
+    would each write to a disk of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = getattr(spark.sparkContext, "master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stepwise-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/stepwise/{name}-{uuid.uuid4().hex}"

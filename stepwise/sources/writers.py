@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -50,8 +51,9 @@ def append(base: DataFrame, new: DataFrame, force: bool = False) -> DataFrame:
 def evolve(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, list[tuple[str, str, str]]]:
     """Union under schema change, and the report of what changed.
 
-    Added columns are missing in old rows, dropped ones in new rows. A type change is
-    reported and the incoming column is left out of the union, never silently cast.
+    Added columns are missing in old rows, dropped ones in new rows. A column of another type
+    is reported, never silently cast: its values go to a column of their own, named after the
+    column and the new type (``amount_string``), beside the old one.
     """
     report, old = [], {f.name: f.dataType for f in existing.schema.fields}
     new = {f.name: f.dataType for f in incoming.schema.fields}
@@ -61,8 +63,8 @@ def evolve(existing: DataFrame, incoming: DataFrame) -> tuple[DataFrame, list[tu
         elif old[name] != kind:
             report.append((name, "type_changed", f"{old[name].simpleString()} -> {kind.simpleString()}"))
     report += [(n, "dropped", k.simpleString()) for n, k in old.items() if n not in new]
-    clashing = [n for n, what, _ in report if what == "type_changed"]
-    return existing.unionByName(incoming.drop(*clashing), allowMissingColumns=True), report
+    clashing = {n: f"{n}_{re.sub('[^a-z0-9]+', '_', new[n].simpleString()).strip('_')}" for n, what, _ in report if what == "type_changed"}
+    return existing.unionByName(incoming.withColumnsRenamed(clashing), allowMissingColumns=True), report
 
 
 def export_csv(df: DataFrame, path: str, delimiter: str = ",") -> None:

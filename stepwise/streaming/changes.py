@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stepwise.operators.bygroup import keep_last
 from stepwise.operators.ordering import as_list
+from stepwise.session import stored
 
 
 def apply_changes(
@@ -18,20 +19,26 @@ def apply_changes(
     keys: Sequence[str] | str,
     sequence_by: Sequence[str] | str,
     delete_when: Column | str | None = None,
+    keep_deleted: bool = False,
 ) -> DataFrame:
     """State after applying changes: per key the row with the highest sequence.
 
     ``sequence_by`` ends in a tie-breaker. A late change with an older sequence loses, so
     applying the same changes again, or in another order, gives the same state. Keys whose
-    last change meets ``delete_when`` disappear.
+    last change meets ``delete_when`` disappear. A state that later changes are applied to
+    must remember deletions: write it with ``keep_deleted`` and read it through ``live_rows``,
+    or a late change older than a deletion brings its row back.
     """
     keys = as_list(keys)
     rows = changes if target is None else target.unionByName(changes, allowMissingColumns=True)
     latest = keep_last(rows, keys, sequence_by)
-    if delete_when is None:
-        return latest
+    return latest if delete_when is None or keep_deleted else live_rows(latest, delete_when)
+
+
+def live_rows(state: DataFrame, delete_when: Column | str) -> DataFrame:
+    """A state without its deleted rows."""
     gone = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
-    return latest.filter(~F.coalesce(gone, F.lit(False)))
+    return state.filter(~F.coalesce(gone, F.lit(False)))
 
 
 def log_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -58,7 +65,10 @@ def current_state(
 
 
 def write_snapshot(state: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Keep the state in a new folder; readers move to it once it is complete."""
+    """Keep the state in a new folder; readers move to it once it is complete.
+
+    ``state`` comes from ``apply_changes(..., keep_deleted=True)`` where rows can be deleted.
+    """
     state.repartition(*keys).write.mode("errorifexists").parquet(path)
 
 
@@ -67,13 +77,31 @@ def refresh_partitions(
 ) -> None:
     """Recompute the dates from ``since`` on and replace only their partition folders.
 
-    The result is derived from the source, never from itself, so a broken run is repaired
-    by running it again.
+    A date that had a partition and has no result any more loses it. The result is derived from
+    the source, never from itself, so a broken run is repaired by running it again.
     """
-    fresh = compute(source.filter(F.col(date_col) >= F.lit(since).cast("date")))
+    spark = source.sparkSession
+    start = F.lit(since).cast("date")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def days() -> set[str]:
+        """Partition dates in the folder; one entry per date."""
+        if not files.exists(root):
+            return set()
+        names = [s.getPath().getName() for s in files.listStatus(root)]
+        return {n.partition("=")[2] for n in names if n.startswith(f"{date_col}=")}
+
+    fresh = compute(source.filter(F.col(date_col) >= start))
+    written = stored(fresh, "refresh")
     (
-        fresh.write.mode("overwrite")
+        written.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)
         .parquet(path)
     )
+    have = {str(r[0]) for r in written.select(F.col(date_col).cast("string")).distinct().collect()}
+    for day in days():
+        if day >= since and day not in have and day[:1].isdigit():
+            files.delete(hadoop.Path(f"{path}/{date_col}={day}"), True)

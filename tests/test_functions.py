@@ -167,3 +167,10 @@ def test_delete_and_routes(spark):
     assert sorted(r.id for r in pj.subset(df, "v > 10").collect()) == [3]
     parts = pj.route(df, [("big", "v > 10")], tee="all")
     assert {k: sorted(r.id for r in p.collect()) for k, p in parts.items()} == {"big": [3], "all": [1, 2, 3]}
+
+
+@pytest.mark.parametrize("size", [50, 51, 120])
+def test_formats_of_any_size_agree(spark, size):
+    fmt = fm.ValueFormat("n", {float(i): f"label {i}" for i in range(size)}, (), None, "other")
+    out = fm.put_format(spark.range(-1, size + 1).selectExpr("CAST(id AS INT) AS v"), "v", fmt, "label").collect()
+    assert {r["v"]: r["label"] for r in out} == {i: f"label {i}" if 0 <= i < size else "other" for i in range(-1, size + 1)}

@@ -58,7 +58,8 @@ def test_append_and_evolve(spark):
     assert rows(wr.append(base, new, force=True)) == rows(spark.createDataFrame([(1, 2.0), (7, None), (None, None)], "id int, v double"))
     merged, report = wr.evolve(base, new)
     assert sorted(report) == [("id", "type_changed", "int -> string"), ("v", "dropped", "double"), ("w", "added", "string"), ("z", "added", "int")]
-    assert merged.columns == ["id", "v", "w", "z"] and merged.count() == 3
+    assert merged.columns == ["id", "v", "id_string", "w", "z"] and merged.count() == 3
+    assert merged.where("id_string IS NOT NULL").count() == new.where("id IS NOT NULL").count()
 
 
 def test_partition_pruning_and_clustering(spark, tmp_path):
@@ -203,3 +204,33 @@ def test_plain_join_without_heavy_keys(spark):
     left, right = spark.range(10).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
     plan = salted_join(left, right, ["k"], "full")._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("Join") == 1
+
+
+def test_a_late_change_does_not_undo_a_deletion(spark):
+    early = spark.createDataFrame([(1, 1, 0, "put", 7), (1, 5, 0, "del", 7), (2, 1, 0, "put", 7)], SCHEMA)
+    late = spark.createDataFrame([(1, 3, 0, "put", 7)], SCHEMA)
+    state = ch.apply_changes(None, early, "k", ["seq", "tie"], "op = 'del'", keep_deleted=True)
+    after = ch.apply_changes(state, late, "k", ["seq", "tie"], "op = 'del'")
+    assert [r["k"] for r in after.collect()] == [2]
+    assert ch.live_rows(state, "op = 'del'").count() == 1
+
+
+def test_refresh_drops_days_without_rows(spark, tmp_path):
+    path = str(tmp_path / "days")
+    count = lambda df: df.groupBy("day").agg(F.count("*").alias("n"))
+    source = spark.sql("SELECT DATE'2024-01-01' + CAST(id AS INT) AS day FROM range(5)")
+    ch.refresh_partitions(count, source, path, "day", "2024-01-01")
+    ch.refresh_partitions(count, source.where("day <> '2024-01-04'"), path, "day", "2024-01-03")
+    days = sorted(str(r["day"]) for r in spark.read.parquet(path).collect())
+    assert days == ["2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05"]
+
+
+def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from stepwise.session import shared_dir
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=context)
+    with pytest.raises(ValueError):
+        shared_dir(session, "x")

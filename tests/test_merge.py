@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from stepwise.operators.merge import merge_by, merge_many
+from stepwise.operators.merge import KEEP, merge_by, merge_many
 
 
 def py_merge(left, right, keep):
@@ -91,3 +91,26 @@ def test_unknown_keep(spark):
     a = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError):
         merge_by(a, a, "k", "a xor b")
+
+
+@pytest.mark.parametrize("keep", sorted(KEEP, key=str))
+def test_profile_wider_than_its_frame(spark, skew_mode, keep):
+    """Heavy keys of a profile that the frame itself lacks lose no rows."""
+    wide = spark.createDataFrame([(1, i) for i in range(6)] + [(2, 9), (None, 1)] + [(3, i) for i in range(5)], "k long, v long")
+    left = wide.where("k IS NULL OR k <> 1")
+    right = spark.createDataFrame([(1, 1), (1, 2), (2, 3), (4, 4), (None, 5)] + [(3, i) for i in range(4)], "k long, w long")
+    got = merge_by(left, right, "k", keep, ("a", "b"), profile_left=wide)
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    both = [(k, v, w, 1, 1) for k, v in rows(left) for q, w in rows(right) if k == q]
+    keys = [{r[0] for r in rows(df)} for df in (left, right)]
+    only = [[(k, v, None, 1, 0) for k, v in rows(left) if k not in keys[1]], [(k, None, w, 0, 1) for k, w in rows(right) if k not in keys[0]]]
+    parts = {None: both + only[0] + only[1], "a or b": both + only[0] + only[1], "a": both + only[0], "b": both + only[1], "a and b": both, "a and not b": only[0], "not a and b": only[1], "b and not a": only[1]}
+    assert rows(got.select("k", "v", "w", "a", "b")) == sorted(parts[keep], key=repr)
+
+
+def test_group_size_counts_the_frame(spark, skew_mode):
+    from stepwise.operators.bygroup import group_size
+
+    wide = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 1), (None, 1)], "k long, v long")
+    got = group_size(wide.where("v < 5"), "k", profile=wide).collect()
+    assert sorted(((r["k"], r["group_size"]) for r in got), key=repr) == sorted([(1, 5)] * 5 + [(2, 1), (None, 1)], key=repr)
