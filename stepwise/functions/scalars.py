@@ -173,12 +173,18 @@ DATE_PATTERNS = {
     "ddmmyy10": "dd/MM/yyyy",
     "yymmdd10": "yyyy-MM-dd",
     "date9": "ddMMMyyyy",
+    "mmddyy8": "MM/dd/yy",
+    "ddmmyy8": "dd/MM/yy",
+    "yymmdd8": "yy-MM-dd",
+    "date7": "ddMMMyy",
 }
+TIME_PATTERNS = {"datetime": "ddMMMyyyy:HH:mm:ss", "time": "HH:mm:ss"}
 _FORMAT = re.compile(r"^([a-z]+)(\d*)\.?(\d*)$")
 
 
 def _split_format(fmt: str) -> tuple[str, int, int]:
-    m = _FORMAT.match(fmt.strip().lower().rstrip("."))
+    name = fmt.strip().lower().rstrip(".")
+    m = _FORMAT.match(f"f{name}" if name[:1].isdigit() else name)  # w.d is the plain number
     if not m:
         raise ValueError(f"unknown format {fmt!r}")
     return m.group(1), int(m.group(2) or 0), int(m.group(3) or 0)
@@ -188,12 +194,15 @@ def input_as(x, informat: str) -> Column:
     """Text to value; text that does not fit becomes NULL."""
     text = F.nullif(F.trim(_col(x)), F.lit("."))
     name = informat.strip().lower().rstrip(".")
-    if name == "date9":
-        # Month names parse in title case only.
-        return F.try_to_date(F.initcap(F.regexp_replace(text, r"^(\d+)([A-Za-z]+)(\d+)$", "$1 $2 $3")), "dd MMM yyyy")
+    # Month names parse in title case only.
+    titled = F.initcap(F.regexp_replace(text, r"^(\d+)([A-Za-z]+)(\d+)", "$1 $2 $3"))
+    if name in ("date9", "date7"):
+        return F.try_to_date(titled, DATE_PATTERNS[name].replace("MMM", " MMM "))
     if name in DATE_PATTERNS:
         return F.try_to_date(text, DATE_PATTERNS[name])
     kind, _, scale = _split_format(name)
+    if kind in TIME_PATTERNS:
+        return F.try_to_timestamp(titled, F.lit(TIME_PATTERNS[kind].replace("MMM", " MMM ")))
     if kind in ("best", "f", "comma", "dollar"):
         return F.regexp_replace(text, "[$,]", "").try_cast("double")
     if kind == "percent":
@@ -208,20 +217,24 @@ def put_as(x, fmt: str) -> Column:
     if name in DATE_PATTERNS:
         return F.upper(F.date_format(value, DATE_PATTERNS[name]))
     kind, width, scale = _split_format(name)
+    if kind in TIME_PATTERNS:
+        return F.upper(F.date_format(value, TIME_PATTERNS[kind]))
+    # Halves go up before the text is made; formatting alone would take them to the even digit.
+    rounded = F.round(F.abs(value), scale)
     if kind == "z":
-        digits = F.format_number(F.abs(value), scale) if scale else F.abs(value).cast("long").cast("string")
+        digits = F.format_number(rounded, scale) if scale else rounded.cast("long").cast("string")
         digits = F.regexp_replace(digits, ",", "")
         return F.when(value < 0, F.concat(F.lit("-"), F.lpad(digits, width - 1, "0"))).otherwise(
             F.lpad(digits, width, "0")
         )
-    number = F.format_number(F.abs(value), scale)
+    number = F.format_number(rounded, scale)
     minus = F.when(value < 0, "-").otherwise("")
     if kind == "comma":
         return F.concat(minus, number)
     if kind == "dollar":
         return F.concat(minus, F.lit("$"), number)
     if kind == "percent":
-        shown = F.concat(F.format_number(F.abs(value) * 100, scale), F.lit("%"))
+        shown = F.concat(F.format_number(F.round(F.abs(value) * 100, scale), scale), F.lit("%"))
         return F.when(value < 0, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown)
     if kind in ("best", "f"):
         return F.concat(minus, F.regexp_replace(number, ",", ""))

@@ -281,3 +281,39 @@ def parse_fixed(t):
 )
 def contents_customer(t):
     return contents(t.customer, "customer").select("name", "type", "n", "nmiss", "min", "max", "max_length")
+
+
+@query(
+    "input_datetime",
+    """
+    SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS at, CAST(o_orderdate AS DATE) AS short_day,
+      round(o_totalprice, 2) AS plain FROM orders
+    """,
+)
+def input_datetime(t):
+    """Text as a program would read it: day and time in one, two-digit years, plain numbers."""
+    at = F.to_timestamp("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    rows = t.orders.select(
+        "o_orderkey", sc.put_as(at, "datetime20.").alias("a"), sc.put_as(F.to_date("o_orderdate"), "mmddyy8.").alias("b"),
+        F.round("o_totalprice", 2).cast("decimal(18,2)").cast("string").alias("c"),
+    )
+    return rows.select(
+        "o_orderkey", sc.input_as("a", "datetime20.").cast("timestamp_ntz").alias("at"),
+        F.when(sc.input_as("b", "mmddyy8.") > "2050-01-01", F.add_months(sc.input_as("b", "mmddyy8."), -1200)).otherwise(sc.input_as("b", "mmddyy8.")).alias("short_day"),
+        sc.input_as("c", "12.2").alias("plain"),
+    )
+
+
+@query(
+    "format_big",
+    """
+    SELECT p_partkey, CASE WHEN p_size <= 60 THEN 'size ' || p_size ELSE 'other' END AS size_label,
+      CASE WHEN p_partkey % 100 < 90 THEN 'code ' || (p_partkey % 100) ELSE 'other' END AS code_label FROM part
+    """,
+)
+def format_big(t):
+    """More codes than fit an inline CASE, numeric ones against an integer column."""
+    sizes = fm.ValueFormat("size", {float(i): f"size {i}" for i in range(61)}, (), None, "other")
+    codes = fm.ValueFormat("code", {i: f"code {i}" for i in range(90)}, (), None, "other")
+    rows = t.part.select("p_partkey", "p_size", (F.col("p_partkey") % 100).alias("code"))
+    return fm.put_format(fm.put_format(rows, "p_size", sizes, "size_label"), "code", codes, "code_label").select("p_partkey", "size_label", "code_label")

@@ -174,3 +174,19 @@ def test_formats_of_any_size_agree(spark, size):
     fmt = fm.ValueFormat("n", {float(i): f"label {i}" for i in range(size)}, (), None, "other")
     out = fm.put_format(spark.range(-1, size + 1).selectExpr("CAST(id AS INT) AS v"), "v", fmt, "label").collect()
     assert {r["v"]: r["label"] for r in out} == {i: f"label {i}" if 0 <= i < size else "other" for i in range(-1, size + 1)}
+
+
+@pytest.mark.parametrize(
+    "value, fmt, want",
+    [(3.7, "z5.", "00004"), (0.125, "dollar8.2", "$0.13"), (2.5, "comma8.", "3"), (2.5, "8.", "3"), (1234.565, "8.2", "1234.57"), (-0.125, "percent8.", "(13%)")],
+)
+def test_numbers_round_half_up(spark, value, fmt, want):
+    assert one(spark, sc.put_as(F.lit(value), fmt)) == want
+
+
+def test_more_informats(spark):
+    assert one(spark, sc.input_as(F.lit(" 12.50"), "8.2")) == 12.5
+    assert str(one(spark, sc.input_as(F.lit("03/05/24"), "mmddyy8."))) == "2024-03-05"
+    assert str(one(spark, sc.input_as(F.lit("05MAR2024:13:45:10"), "datetime20."))) == "2024-03-05 13:45:10"
+    assert one(spark, sc.put_as(sc.input_as(F.lit("05mar2024:13:45:10"), "datetime18."), "datetime20.")) == "05MAR2024:13:45:10"
+    assert one(spark, sc.input_as(F.lit("05XXX2024:13:45:10"), "datetime20.")) is None

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle import compare, connect
+from stepwise.queries import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables")
@@ -17,12 +18,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem = compare(spark, con, name, entry_points.queries()[name], entry_points.oracle_sql()[name], FOLDER)
+    problem = compare(spark, con, name, QUERIES[name], ORACLES[name], FOLDER)
     assert problem in (None, "both empty"), problem
 
 
