@@ -12,7 +12,7 @@ component. Then, in every posting list, classes outside its largest component ar
 with the rest, components apart, sizes and positions allowing. That is exact: a pair that is
 not compared is in one component already, or cannot reach the threshold.
 
-Sets are compared as 64-bit hashes. Defined cases: null texts and texts without words have an
+Sets are built of 64-bit hashes and compared by their upper 48 bits. Defined cases: null texts and texts without words have an
 empty set and no links; fewer than five words are one shingle; rows that repeat an id are one
 document with several texts; a null id has no links and a null component; other columns are
 ignored.
@@ -20,6 +20,8 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -88,29 +90,45 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
     return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
 
-def sketch(rows: DataFrame, bits: int) -> np.ndarray:
-    """Logarithms (in quarters) of counts by hash, over all shingles of all texts.
+_FIRST = "kind string, doc_id long, n int, h1 long, h2 long, block int, data binary"
+_FIRST_NAMES = _FIRST.replace(",", "").split()[::2]
+_FIRST_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+
+def _sized(kind: str, rows: int, **given) -> pa.RecordBatch:
+    """A batch with one kind of rows; columns that are not given are null."""
+    kinds = dict(zip(_FIRST_NAMES, _FIRST_KINDS))
+    cols = [pa.array([kind] * rows), *(pa.array(given[n], kinds[n]) if n in given else pa.nulls(rows, kinds[n]) for n in _FIRST_NAMES[1:])]
+    return pa.RecordBatch.from_arrays(cols, _FIRST_NAMES)
 
-    A task sends its counters once, compressed and in blocks; blocks are added up on executors.
-    2 ** bits bytes come back, whatever the corpus size.
-    """
-    width = 1 << bits
-    part_width = width // SKETCH_BLOCKS
 
-    def count(batches):
+def _members_and_counters(width: int):
+    """Per text its set size and digest; per task the counters of its distinct sets, compressed and in blocks."""
+
+    def run(batches):
         counters, seen = np.zeros(width, np.uint32), set()
         for part in slices(batches, "text"):
-            fresh = []
-            for shingles in shingle_sets(part.column("text").to_pylist()):
-                if len(shingles) and (key := _digest(shingles)) not in seen:
+            fresh, members = [], []
+            for ident, shingles in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text").to_pylist())):
+                key = _digest(shingles)
+                members.append((ident, len(shingles), *key))
+                if len(shingles) and key not in seen:
                     seen.add(key)
                     fresh.append(shingles)
             if fresh:
                 counters += np.bincount((np.concatenate(fresh) & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint32)
+            yield _sized("member", len(members), **dict(zip(("doc_id", "n", "h1", "h2"), zip(*members))))
         squeeze = zstandard.ZstdCompressor(level=1).compress
         blocks = range(SKETCH_BLOCKS)
-        data = [squeeze(counters[b * part_width : (b + 1) * part_width].tobytes()) for b in blocks]
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
+        step = width // SKETCH_BLOCKS
+        yield _sized("counter", len(blocks), block=blocks, data=[squeeze(counters[b * step : (b + 1) * step].tobytes()) for b in blocks])
+
+    return run
+
+
+def add_counters(blocks: DataFrame, width: int) -> np.ndarray:
+    """Logarithms (in quarters) of the counts of all tasks: ``width`` bytes, whatever the corpus size."""
+    step = width // SKETCH_BLOCKS
 
     def total(batches):
         sums: dict[int, np.ndarray] = {}
@@ -123,11 +141,9 @@ def sketch(rows: DataFrame, bits: int) -> np.ndarray:
             logs = (np.log2(counters + 1.0) * 4).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([logs], pa.binary())], ["block", "data"])
 
-    schema = "block int, data binary"
-    added = rows.select("text").mapInArrow(count, schema).repartition(SKETCH_BLOCKS, "block").mapInArrow(total, schema)
     out = np.zeros(width, np.uint8)
-    for row in added.collect():
-        out[row["block"] * part_width : (row["block"] + 1) * part_width] = np.frombuffer(row["data"], np.uint8)
+    for row in blocks.repartition(SKETCH_BLOCKS, "block").mapInArrow(total, "block int, data binary").collect():
+        out[row["block"] * step : (row["block"] + 1) * step] = np.frombuffer(row["data"], np.uint8)
     return out
 
 
@@ -142,20 +158,18 @@ def choose_level(costs: np.ndarray, n: int) -> int:
     return int(levels[(read + VERIFY_COST * read / levels).argmin()])
 
 
-def _members_and_postings(frequency: np.ndarray):
-    """Per text its set size and digest; per distinct set of the task its prefix."""
+def _postings(frequency: np.ndarray):
+    """The prefix of every distinct set of a task: token, doc_id, and size, place and level in one number."""
     mask = np.uint64(len(frequency) - 1)
     counts = np.exp2(np.arange(256) / 4)
 
     def run(batches):
         seen = set()
         for part in slices(batches, "text"):
-            ids = part.column("doc_id").to_pylist()
-            members, blocks = [], []
-            for ident, shingles in zip(ids, shingle_sets(part.column("text").to_pylist())):
+            ids, info, tokens = [], [], []
+            for ident, shingles in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text").to_pylist())):
                 n = len(shingles)
                 key = _digest(shingles)
-                members.append((ident, n, *key))
                 if ident is None or not n or key in seen:
                     continue
                 seen.add(key)
@@ -164,51 +178,72 @@ def _members_and_postings(frequency: np.ndarray):
                 order = np.lexsort((shingles, rare))[:reach]
                 level = choose_level(counts[rare[order]], n)
                 take = min(n, n - needed(n) + level)
-                blocks.append((ident, n, level, shingles[order[:take]].view(np.int64)))
-            if blocks:
-                sizes = [len(b[3]) for b in blocks]
-                spread = [np.repeat([b[i] for b in blocks], sizes) for i in range(3)]
-                place = np.concatenate([np.arange(s) for s in sizes])
-                tokens = np.concatenate([b[3] for b in blocks])
-                blank = pa.nulls(len(tokens), pa.int64())
-                cols = [pa.array(["posting"] * len(tokens)), pa.array(spread[0], pa.int64()), pa.array(spread[1], pa.int32()), blank, blank]
-                cols += [pa.array(tokens), pa.array(place, pa.int32()), pa.array(spread[2], pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols, _NAMES)
-            cols = [pa.array(c, t) for c, t in zip(zip(*members), [pa.int64(), pa.int32(), pa.int64(), pa.int64()])]
-            none = [pa.nulls(len(members), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(["member"] * len(members)), *cols, *none], _NAMES)
+                tokens.append(shingles[order[:take]].view(np.int64))
+                info.append((np.int64(n) << 34) + (np.arange(take) << 4) + level)
+                ids.append(np.full(take, ident, np.int64))
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, ids, info)], ["token", "doc_id", "info"])
 
     return run
 
 
-_SCHEMA = "kind string, doc_id long, n int, h1 long, h2 long, token long, place int, level int"
-_NAMES = _SCHEMA.replace(",", "").split()[::2]
-
-
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose sets are similar. ``sets`` has doc_id and the sorted hashes as bytes."""
+    """The pairs (x, y) whose sets are similar; ``sets`` is bucketed by doc_id.
+
+    x may be the hub of many pairs: it is joined first, when a pair is two numbers, against the sets
+    of such x alone and so that a hot one can be split. Pairs then carry that set to y.
+    """
 
     def run(batches):
         for whole in batches:
             for part in slices([whole], "xs"):
                 a, b = part.column("xs").to_pylist(), part.column("ys").to_pylist()
-                keep = [similar(np.frombuffer(i, np.uint64), np.frombuffer(j, np.uint64)) for i, j in zip(a, b)]
-                mask = pa.array(keep, pa.bool_())
+                mask = pa.array([similar(unpacked(i), unpacked(j)) for i, j in zip(a, b)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(mask) for c in ("x", "y")], ["x", "y"])
 
-    left = sets.select(F.col("doc_id").alias("x"), F.col("shingles").alias("xs"))
+    left = sets.join(pairs.select(F.col("x").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    left = left.select(F.col("doc_id").alias("x"), F.col("shingles").alias("xs"))
     right = sets.select(F.col("doc_id").alias("y"), F.col("shingles").alias("ys"))
-    # The less frequent side first: y has few pairs, x is often the hub of many.
-    return pairs.join(right, "y").join(left, "x").mapInArrow(run, "x long, y long")
+    return pairs.join(left, "x").join(right, "y").mapInArrow(run, "x long, y long")
+
+
+#: Bytes of a shingle hash in stored sets.
+KEPT = 6
+
+
+def packed(shingles: np.ndarray) -> bytes:
+    """The upper bytes of sorted hashes."""
+    return shingles.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // KEPT, 8), np.uint8)
+    out[:, :KEPT] = np.frombuffer(data, np.uint8).reshape(-1, KEPT)
+    return out.view(">u8").ravel().astype(np.uint64)
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    def run(batches):
+    """Sets of the wanted documents, as a table bucketed by doc_id. Texts are shuffled compressed."""
+
+    def squeeze(batches):
+        pack = zstandard.ZstdCompressor(level=3).compress
         for part in slices(batches, "text"):
-            data = [s.tobytes() for s in shingle_sets(part.column("text").to_pylist())]
+            data = [pack(t.encode()) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "data"])
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for part in slices(batches, "data", 4 << 20):
+            data = [packed(s) for s in shingle_sets([unpack(d).decode() for d in part.column("data").to_pylist()])]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "shingles"])
 
-    return rows.join(wanted, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
+    spark = rows.sparkSession
+    texts = rows.where("doc_id IS NOT NULL").mapInArrow(squeeze, "doc_id long, data binary")
+    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"stepwise_sets_{uuid.uuid4().hex}"
+    sets.write.bucketBy(buckets, "doc_id").option("path", shared_dir(spark, "sets")).saveAsTable(name)
+    return spark.read.table(name)
 
 
 def _reach(a: str, b: str):
@@ -232,26 +267,32 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """One row per document: doc_id, n_shingles, component_id (smallest id that links reach)."""
     spark = docs.sparkSession
     rows = text_rows(docs, key, text)
-    bits = int(np.clip(np.ceil(np.log2(max(docs.count(), 1))) + 4, *SKETCH_BITS))
+    width = 1 << int(np.clip(np.ceil(np.log2(max(docs.count(), 1))) + 4, *SKETCH_BITS))
     folder = shared_dir(spark, "shingles")
-    prefixes = rows.mapInArrow(_members_and_postings(sketch(rows, bits)), _SCHEMA)
-    prefixes.write.partitionBy("kind").option("compression", "zstd").parquet(folder)
-    both = spark.read.schema(_SCHEMA).parquet(folder)
+    rows.mapInArrow(_members_and_counters(width), _FIRST).write.partitionBy("kind").option("compression", "zstd").parquet(folder)
+    both = spark.read.schema(_FIRST).parquet(folder)
     members = both.where("kind = 'member'").select("doc_id", "n", "h1", "h2")
-    postings = both.where("kind = 'posting'").select("token", "doc_id", "n", "place", "level")
+    frequency = add_counters(both.where("kind = 'counter'").select("block", "data"), width)
 
     # Equal sets: every document and the smallest id that has its set.
     first = members.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     classes = stored(members.join(first, ["h1", "h2"], "left").select("doc_id", "n", "rep"), "classes")
 
     # Lists with one entry lead nowhere.
-    lists = postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1").drop("df")
+    postings = rows.mapInArrow(_postings(frequency), "token long, doc_id long, info long")
+    lists = postings.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+    lists = lists.selectExpr("token", "doc_id", "CAST(info >> 34 AS INT) n", "CAST((info >> 4) & 1073741823 AS INT) place", "CAST(info & 15 AS INT) level")
     lists = stored(lists, "lists")
     reps = classes.where("doc_id IS NOT NULL AND rep IS NOT NULL").select("doc_id", "n", "rep").distinct()
     posts = stored(
         lists.join(reps, ["doc_id", "n"]).select("token", F.col("rep").alias("doc_id"), "n", "place", "level").distinct(), "posts"
     )
-    sets = stored(_sets(rows, posts.select("doc_id").distinct()), "sets")
+    # Nor do documents with fewer shared shingles than a partner can ask for.
+    asked = posts.withColumn("asked", F.min("level").over(Window.partitionBy("token")))
+    asked = asked.withColumn("others", F.count("*").over(Window.partitionBy("token"))).where("others > 1")
+    able = asked.groupBy("doc_id").agg(F.min("asked").alias("asked"), F.count("*").alias("shared")).where("shared >= asked")
+    posts = stored(posts.join(able.select("doc_id"), "doc_id", "left_semi"), "able-posts")
+    sets = _sets(rows, posts.select("doc_id").distinct())
 
     # A hub for every class: of the earliest entries of its lists the one met most often.
     early = Window.partitionBy("token").orderBy("place", "doc_id")
