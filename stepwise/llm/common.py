@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task holds at once; a longer text is a slice of its own.
 SLICE_BYTES = 16 << 20
+#: The same where every word takes several numbers.
+WORD_SLICE_BYTES = 8 << 20
 
 
 def text_rows(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepwise.llm.common import slices, text_rows
+from stepwise.llm.common import WORD_SLICE_BYTES, slices, text_rows
 from stepwise.session import stored
 
 CAPACITY = 4096
@@ -42,7 +42,7 @@ def token_pieces(
         from stepwise.llm.words import encoder, with_end
 
         library = encoder(tokenizer)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", WORD_SLICE_BYTES):
             ids, counts = with_end(*library.encode(part.column("text")), end)
             pieces = -(-counts // capacity)
             owner = np.repeat(np.arange(len(counts)), pieces)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stepwise.llm.common import open_in, open_out, partitions_for, slices, text_rows
+from stepwise.llm.common import WORD_SLICE_BYTES, open_in, open_out, partitions_for, slices, text_rows
 
 MAGIC = b"SVB1"
 #: Ids of a block, but for a longer document, and of a shard.
@@ -74,7 +74,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end: int, key: str = "doc_id", tex
         library = encoder(tokenizer)
         width = np.uint16 if max(library.vocabulary, end + 1) <= 1 << 16 else np.uint32
         seen = np.zeros(max(library.vocabulary, end + 1), np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", WORD_SLICE_BYTES):
             ids, counts = with_end(*library.encode(part.column("text")), end)
             seen += np.bincount(ids, minlength=len(seen))
             raw = ids.astype(width).tobytes()

@@ -19,7 +19,7 @@ import regex
 from stepwise.llm.common import ragged
 
 #: Parts kept by a worker; beyond it the table is started anew.
-KEEP = 400_000
+KEEP = 1_000_000
 #: Pre-token patterns of the two kinds, as the tokenizer files state them (fixed values).
 BLANK_KEPT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLANK_DROPPED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -42,7 +42,7 @@ class PartTable:
         self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
         self.whole = array("b")  # parts that a text must not be cut at
 
-    def add(self, part: str, ids: list[int], whole: bool) -> int:
+    def add(self, part: str, ids: array, whole: bool = False) -> int:
         row = self.rows[part] = len(self.starts)
         self.starts.append(len(self.flat))
         self.sizes.append(len(ids))
@@ -59,32 +59,49 @@ class Encoder:
 
         self.path = path
         self.library = Tokenizer.from_file(path)
+        self.vocabulary = self.library.get_vocab_size()
         text = self.library.to_str()
         pieces = text[text.index('"pre_tokenizer"') : text.index('"model"')]
         self.drops_blanks = "Removed" in pieces
         self.pattern = regex.compile(BLANK_DROPPED if self.drops_blanks else BLANK_KEPT)
         letters = _byte_letters()
         self.letters = {b: letters[b] for b in range(256)}
-        self.vocabulary = self.library.get_vocab_size()
-        self.pre: dict[str, list[int]] = {}
+        self.blank = letters[32]
+        self.line_end = array("I") if self.drops_blanks else array("I", self.library_ids("\n"))
         self.inner, self.first = PartTable(), PartTable()
 
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _part_ids(self, part: str) -> list[int]:
-        """Ids of a part, which may start with one blank."""
-        bare = part[1:] if part[:1] == " " else part
-        if not _PLAIN.fullmatch(bare) or "<|" in bare:
-            return self.library_ids(part)
-        ids, kept = [], self.pre
-        for token in self.pattern.findall(bare.lower() if self.drops_blanks else part):
-            known = kept.get(token)
-            if known is None:
-                mapped = token.encode().decode("latin-1").translate(self.letters)
-                known = kept[token] = [t.id for t in self.library.model.tokenize(mapped)]
-            ids += known
-        return ids
+    def _part_ids(self, table: PartTable, blank: str, part: str) -> array:
+        """Ids of a part, with the blank before it if the tokenizer keeps blanks."""
+        if part.isalpha() and (part.isascii() or _PLAIN.fullmatch(part)):
+            return self._merged(blank + (part.lower() if self.drops_blanks else part))
+        if _PLAIN.fullmatch(part) and "<|" not in part:
+            if self.drops_blanks:
+                part = part.lower()
+            if part[-1] in ".,;:!?" and part[:-1].isalpha():  # a word and a mark
+                return self._word(table, blank, part[:-1]) + self._word(self.first, "", part[-1])
+            ids = array("I")
+            for token in self.pattern.findall(blank + part):
+                ids += self._merged(token)
+            return ids
+        before, line_end, after = part.partition("\n")
+        if line_end and _PLAIN.fullmatch(before) and _PLAIN.fullmatch(after):  # such a line end is a pre-token
+            return self._part_ids(table, blank, before) + self.line_end + self._part_ids(self.first, "", after)
+        return array("I", self.library_ids(blank + part))
+
+    def _word(self, table: PartTable, blank: str, word: str) -> array:
+        """Ids of a word that is one pre-token; kept as a part of its own."""
+        row = table.rows.get(word)
+        if row is None:
+            row = table.add(word, self._merged(blank + word))
+        start = table.starts[row]
+        return table.flat[start : start + table.sizes[row]]
+
+    def _merged(self, token: str) -> array:
+        mapped = token.replace(" ", self.blank) if token.isascii() else token.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.library.model.tokenize(mapped)])
 
     def _rows(self, table: PartTable, parts: list[str], blank: str) -> np.ndarray:
         get, found = table.rows.get, np.empty(len(parts), np.int64)
@@ -92,14 +109,13 @@ class Encoder:
             row = get(part)
             if row is None:
                 whole = not self.drops_blanks and (not part or part[0].isspace() or part[-1].isspace())
-                row = table.add(part, [] if whole else self._part_ids(blank + part), whole)
+                row = table.add(part, array("I") if whole else self._part_ids(table, blank, part), whole)
             found[i] = row
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
-        if len(self.inner.rows) > KEEP or len(self.first.rows) > KEEP or len(self.pre) > KEEP:
-            self.pre.clear()
+        if len(self.inner.rows) > KEEP or len(self.first.rows) > KEEP:
             self.inner, self.first = PartTable(), PartTable()
         cut = pc.split_pattern(texts, " ")
         offsets = np.asarray(cut.offsets).astype(np.int64)
