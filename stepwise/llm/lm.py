@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,8 +114,19 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = np.zeros(SUFFIX_CLASSES, np.int64), np.zeros(SUFFIX_CLASSES, np.int64)
     for row in by_class:
         total[row["g"]], distinct[row["g"]] = row["n"], row["v"]
-    top = counts.orderBy(F.desc("n"), "word").limit(TABLE_WORDS).toPandas()
-    words, n = [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)
+    # Frequent words: all above the lowest size class of counts that leaves no more than TABLE_WORDS.
+    size = F.floor(F.log2("n") * 64)
+    classes = sorted(counts.groupBy(size.alias("s")).agg(F.count("*").alias("v")).collect(), reverse=True)
+    room, least = TABLE_WORDS, None
+    for row in classes:
+        room -= row["v"]
+        if room < 0:
+            break
+        least = row["s"]
+    top = counts.where(F.lit(False) if least is None else size >= least).toPandas()
+    top["word"] = top["word"].map(bytes)
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    words, n = top["word"].tolist(), top["n"].to_numpy(np.int64)
     sums = int(total.sum()), int(distinct.sum())
     for word, count in zip(words[:SOFTMAX_WORDS], n[:SOFTMAX_WORDS].tolist()):
         g = suffix_class(word)
@@ -185,8 +197,12 @@ class Model:
         target = np.where(own, 0, tokens - SOFTMAX_WORDS + WORD_CLASSES)
         target[own] = v.word_class[tokens[own]] if v.own else 0
         scores = states @ self.out
-        scores += self.out_bias
-        scores -= scores.max(axis=1, keepdims=True)
+        # States lie in [-1, 1], so column sums bound the scores; the bound serves as the shift unless it is far off.
+        reach = np.abs(self.out).sum(axis=0)
+        top = float((self.out_bias + reach).max())
+        scores += self.out_bias - np.float32(top)
+        if top - float((self.out_bias - reach).max()) > 60:
+            scores -= scores.max(axis=1, keepdims=True)
         picked = scores[np.arange(len(target)), target]
         np.exp(scores, out=scores)
         sums = scores.sum(axis=1, keepdims=True)
@@ -197,7 +213,7 @@ class Model:
             scores[np.arange(len(target)), target] -= 1
             grads = {"out": states.T @ scores, "out_bias": scores.sum(axis=0), "states": scores @ self.out.T}
             grads["word_out"], grads["word_bias"] = np.zeros_like(self.word_out), np.zeros_like(self.word_bias)
-        order = np.argsort(target, kind="stable")
+        order = np.argsort(target.astype(np.int16), kind="stable")  # a radix sort for short integers
         ends = np.searchsorted(target[order], np.arange(WORD_CLASSES + 1))
         for k in range(WORD_CLASSES):
             a, b = v.bounds[k], v.bounds[k + 1]
@@ -242,8 +258,9 @@ class Model:
             upper = upper * z + moved @ back + from_output[t]
             upper *= ~starts[t][:, None]
         flat = inputs.ravel()
-        order = np.argsort(flat, kind="stable")
-        rows, first = np.unique(flat[order], return_index=True)
+        order = np.argsort(flat.astype(np.int16), kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        rows = flat[order[first]]
         table = np.add.reduceat(fed_grad.reshape(-1, 3 * h)[order], first, axis=0)
         return {"recur": before.reshape(-1, h).T @ moved_grad.reshape(-1, 3 * h), "rows": rows, "table": table}
 
@@ -306,16 +323,22 @@ def score(model: Model, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return sums
 
 
-def numbered(vocabulary: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Words of all texts as places in a list of distinct ones, with an end each, and their number per text."""
-    places: dict[bytes, int] = {END: 0}
-    rows = []
-    for text in texts:
-        found = text.encode().lower().split()
-        found.append(END)
-        rows.append(np.fromiter((places.setdefault(w, len(places)) for w in found), np.int64, len(found)))
-    lengths = np.array([len(r) for r in rows], np.int64)
-    return np.concatenate(rows), lengths, list(places)
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    offsets = np.asarray(cut.offsets).astype(np.int64)
+    flat = cut.flatten()
+    real = np.asarray(pc.greater(pc.binary_length(flat), 0))  # white space at either end leaves an empty string
+    before = np.concatenate([[0], np.cumsum(real)])
+    coded = flat.filter(pa.array(real)).dictionary_encode()
+    distinct = [END, *coded.dictionary.cast(pa.binary()).to_pylist()]
+    stops = before[offsets[1:] - offsets[0]]
+    lengths = np.diff(stops, prepend=0) + 1
+    places = np.zeros(int(lengths.sum()), np.int64)
+    words = np.ones(len(places), bool)
+    words[np.cumsum(lengths) - 1] = False
+    places[words] = np.asarray(coded.indices).astype(np.int64) + 1
+    return places, lengths, distinct
 
 
 def _model_ids(vocabulary: Vocabulary, distinct: list[bytes]) -> np.ndarray:
@@ -336,10 +359,9 @@ def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
         squares = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES}
         seen = 0
         for part in slices(batches, "text"):
-            ids = part.column("doc_id").to_pylist()
-            texts = [t for i, t in zip(ids, part.column("text").to_pylist()) if not held_out(i)]
-            if texts:
-                places, lengths, distinct = numbered(vocabulary, texts)
+            texts = part.column("text").filter(pa.array([not held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()))
+            if len(texts):
+                places, lengths, distinct = numbered(texts)
                 train(model, _model_ids(vocabulary, distinct)[places], lengths, squares)
                 seen += len(places)
         if seen:
@@ -381,7 +403,7 @@ def _score_rows(model: Model):
         row = TaskContext.get().partitionId() << 40
         get = vocabulary.number.get
         for part in slices(batches, "text"):
-            places, lengths, distinct = numbered(vocabulary, part.column("text").to_pylist())
+            places, lengths, distinct = numbered(part.column("text"))
             ids = _model_ids(vocabulary, distinct)
             rank = np.fromiter((get(w, -1) for w in distinct), np.int64, len(distinct))
             count = np.where(rank >= 0, vocabulary.counts[np.maximum(rank, 0)] if len(vocabulary.counts) else 0, 0)
