@@ -31,6 +31,18 @@ def expect_warn(t):
     return ql.expect(_events(t), RULES)[0]
 
 
+@query(
+    "expect_warn_counts",
+    _E
+    + """, c AS (SELECT count(*) AS n, count(*) FILTER (NOT value > 1) AS a, count(*) FILTER (kind IS NULL) AS b, count(*) FILTER (NOT value < 250) AS c FROM e)
+    SELECT 'valid_amount' AS "check", a AS violations, n AS rows, a = 0 AS passed FROM c
+    UNION ALL SELECT 'known_type', b, n, b = 0 FROM c UNION ALL SELECT 'small', c, n, c = 0 FROM c""",
+)
+def expect_warn_counts(t):
+    """The outcomes of the warning rules as rows, over the frame that they let through."""
+    return ql.validate(ql.expect(_events(t), RULES)[0], RULES)
+
+
 @query("expect_drop", _E + "SELECT * FROM e WHERE value > 1 AND kind IS NOT NULL AND value < 250")
 def expect_drop(t):
     return ql.expect_or_drop(_events(t), RULES)[0]

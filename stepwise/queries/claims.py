@@ -56,6 +56,19 @@ def silver(t):
     return job.enrich_claims(claims, policies, appliances, batches, affected)
 
 
+@query(
+    "claims_bronze",
+    """
+    SELECT printf('CLM-%d-%d', l_orderkey, l_linenumber) AS claim_id, CAST(l_shipdate AS DATE) AS claim_date,
+      CAST(l_extendedprice AS DECIMAL(18,2)) - 20000 AS claim_amount_usd FROM lineitem WHERE CAST(l_extendedprice AS DECIMAL(18,2)) > 20000
+    """,
+)
+def claims_bronze(t):
+    """Amounts less 20,000, so that the amount rule drops rows."""
+    raw = bind(t)[0].withColumn("claim_amount_usd", (F.col("claim_amount_usd") - 20_000).cast("decimal(18,2)"))
+    return job.bronze_claims(raw).select("claim_id", "claim_date", F.col("claim_amount_usd").cast("decimal(19,2)").alias("claim_amount_usd"))
+
+
 SILVER = f"""
     WITH claims AS (
       SELECT printf('CLM-%d-%d', l_orderkey, l_linenumber) AS claim_id, o_custkey AS policy_id, l_partkey AS appliance_id,
