@@ -167,8 +167,8 @@ def crosstab_freq(
 ) -> DataFrame:
     """Two-way frequencies, long form: count, percent, row and column percent."""
     cells = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
-    # Stored once: the cells and all margins come from it.
-    out = cells = stored(cells, "crosstab")
+    # Margins and total come from the same aggregate, whose shuffle Spark uses again.
+    out = cells
     if not norow:
         rows = cells.groupBy(a).agg(F.sum("count").alias("__row"))
         out = out.join(rows, a).withColumn("row_pct", F.col("count") * 100.0 / F.col("__row")).drop("__row")

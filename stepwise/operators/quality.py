@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from stepwise.operators.ordering import as_list
 from stepwise.operators.sortset import diff
-from stepwise.session import stored
 
 Rules = Mapping[str, str | Column]
 
@@ -175,7 +174,8 @@ def row_parity(a: DataFrame, b: DataFrame, keys: Sequence[str] | str, tolerance:
 
 def distribution(df: DataFrame, col: str, targets: Mapping | None = None) -> DataFrame:
     """Share per category and, given target shares (percent), the deviation from them."""
-    counts = stored(df.groupBy(col).agg(F.count(F.lit(1)).alias("count")), "distribution")
+    # The total is a scalar subquery over the same aggregate, whose shuffle Spark uses again.
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     out = counts.withColumn("share_pct", F.col("count") * 100.0 / counts.select(F.sum("count")).scalar())
     if targets:
         want = None
