@@ -222,8 +222,8 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view(">u8").ravel().astype(np.uint64)
 
 
-def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Sets of the wanted documents, as a table bucketed by doc_id. Texts are shuffled compressed."""
+def _sets(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, str]:
+    """Sets of the wanted documents, as a table bucketed by doc_id, and its name. Texts are shuffled compressed."""
 
     def squeeze(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -243,7 +243,7 @@ def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"stepwise_sets_{uuid.uuid4().hex}"
     sets.write.bucketBy(buckets, "doc_id").option("path", shared_dir(spark, "sets")).saveAsTable(name)
-    return spark.read.table(name)
+    return spark.read.table(name), name
 
 
 def _reach(a: str, b: str):
@@ -292,7 +292,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     asked = asked.withColumn("others", F.count("*").over(Window.partitionBy("token"))).where("others > 1")
     able = asked.groupBy("doc_id").agg(F.min("asked").alias("asked"), F.count("*").alias("shared")).where("shared >= asked")
     posts = stored(posts.join(able.select("doc_id"), "doc_id", "left_semi"), "able-posts")
-    sets = _sets(rows, posts.select("doc_id").distinct())
+    sets, sets_table = _sets(rows, posts.select("doc_id").distinct())
 
     # A hub for every class: of the earliest entries of its lists the one met most often.
     early = Window.partitionBy("token").orderBy("place", "doc_id")
@@ -325,6 +325,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     texts = reps.groupBy("doc_id").agg(F.max("rep").alias("u"), F.min("rep").alias("v")).where("u <> v")
     several = reps.join(texts.select("doc_id", "v"), "doc_id").select(F.col("rep").alias("u"), "v")
     final = components(near.toDF("u", "v").unionByName(more.toDF("u", "v")).unionByName(several))
+    spark.sql(f"DROP TABLE {sets_table}")  # the name alone; the files lie in the shared folder
     return classes.join(final, classes["rep"] == final["node"], "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
