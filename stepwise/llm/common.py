@@ -43,10 +43,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 
 
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: str = "text") -> DataFrame:
-    """``mapInArrow`` with a function of one slice."""
+    """``mapInArrow`` with a function of one slice, for work that takes several numbers per word."""
 
     def run(batches):
-        for part in slices(batches, column):
+        for part in slices(batches, column, WORD_SLICE_BYTES):
             yield fn(part)
 
     return df.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from stepwise.llm.common import map_slices, slices, text_rows
+from stepwise.llm.common import WORD_SLICE_BYTES, map_slices, slices, text_rows
 
 #: Fixed values of the rule set: n-gram lengths and the largest share of characters inside repeated ones.
 NGRAM_LIMITS = {5: 0.60, 7: 0.55, 10: 0.50}
@@ -172,7 +172,7 @@ def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     schema = docs.schema
 
     def run(batches):
-        for part in slices(batches, text):
+        for part in slices(batches, text, WORD_SLICE_BYTES):
             at, whole = part.schema.get_field_index(text), part
             filled = pc.fill_null(part.column(at), "")
             verdict = measure(pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, pa.int64()), filled], ["doc_id", "text"]))
