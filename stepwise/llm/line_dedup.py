@@ -1,16 +1,20 @@
-"""Removal of line chunks that occur elsewhere, cut where the content says.
-
-Lines are the ``\\n``-split parts of a text. A rolling hash over the hashes of the last
-``WINDOW`` lines ends a chunk where its low bits are zero, so that equal passages are cut
-alike wherever they start. A chunk with two or more lines that have a word is removed from
-every document but the one with the smallest id, where its first occurrence stays. Hashes
-only bring equal chunks together: they are grouped by their bytes, and a hash that stands
-for different bytes removes nothing.
-
-Defined cases: null texts have no lines and stay null; lines alone are never removed; rows that
-repeat an id count as one document, so the passage stays in each of them; a null id ranks behind
-all others; other columns are kept as they are, but for one with the name of a result column,
-which the result replaces.
+"""Removal of line passages that occur elsewhere.
+
+Lines are the ``\\n``-split parts of a text. Two kinds of ranges are looked up: windows from
+each line with a word to the next such line, and content-defined chunks, where a line whose
+own hash has zero low bits ends a chunk, whatever stands before it. A range that occurs
+again is removed from every document but the one with the smallest id, where its first
+occurrence stays. As every passage with two or more such lines is a chain of windows, all of
+it goes, wherever it starts and whatever stands beside it; what overlaps is one run.
+
+Hashes only bring equal ranges together: those whose hash occurs twice are grouped by their
+bytes, and a hash that stands for different bytes removes nothing.
+
+Defined cases: null texts have no lines and stay null; lines alone are never removed; an
+occurrence that overlaps the first one in its document stays; rows that repeat an id count as
+one document, so the passage stays in each of them; a null id ranks behind all others; other
+columns are kept as they are, but for one with the name of a result column, which the result
+replaces.
 """
 
 from __future__ import annotations
@@ -24,37 +28,34 @@ from pyspark.sql import functions as F
 from stepwise.llm.common import slices
 from stepwise.session import stored
 
+#: Lines with a word in a window.
 WINDOW = 2
-#: One line in so many ends a chunk; a chunk has so many lines at least and at most.
-EVERY, LEAST, MOST = 2, 2, 32
-_BASE = 0x9E3779B97F4A7C15
-_OLD = pow(_BASE, WINDOW, 1 << 64)
+#: One line in so many ends a chunk.
+EVERY = 2
 _ALL = (1 << 64) - 1
 _NO_ID = -(1 << 63)
 
 
 def cut(lines: list[str]) -> list[tuple[int, int]]:
-    """Chunks as ranges of line numbers."""
-    found, start, roll, recent = [], 0, 0, [0] * WINDOW
-    for i, line in enumerate(lines):
-        value = xxhash.xxh64_intdigest(line)
-        roll = (roll * _BASE + value - recent[i % WINDOW] * _OLD) & _ALL
-        recent[i % WINDOW] = value
-        size = i + 1 - start
-        if size >= MOST or size >= LEAST and (roll >> 40) % EVERY == 0:
-            found.append((start, i + 1))
-            start = i + 1
-    if start < len(lines):
-        found.append((start, len(lines)))
+    """Content-defined chunks as ranges of line numbers; a line alone decides whether it ends one."""
+    found, start = [], 0
+    for i, line in enumerate(lines, 1):
+        if i == len(lines) or (xxhash.xxh64_intdigest(line) >> 40) % EVERY == 0:
+            found.append((start, i))
+            start = i
     return found
 
 
 def chunks(text: str) -> list[tuple[int, int, str]]:
-    """The chunks that may be removed: line range and text."""
+    """The ranges that may be removed, windows and longer chunks: line range and text."""
     lines = text.split("\n")
-    if len(lines) < 2:
+    if len(lines) < WINDOW:
         return []
-    return [(a, b, "\n".join(lines[a:b])) for a, b in cut(lines) if sum(map(bool, map(str.strip, lines[a:b]))) > 1]
+    filled = [bool(line.strip()) for line in lines]
+    at = [i for i, f in enumerate(filled) if f]
+    ranges = [(a, b + 1) for a, b in zip(at, at[WINDOW - 1 :])]
+    ranges += [(a, b) for a, b in cut(lines) if sum(filled[a:b]) > WINDOW]
+    return [(a, b, "\n".join(lines[a:b])) for a, b in ranges]
 
 
 def _halves(chunk: str) -> tuple[int, int]:
@@ -67,29 +68,34 @@ def _smaller(a: int | None, b: int | None) -> int | None:
 
 
 def _entries(batches):
-    """One row per distinct chunk of a slice: smallest id, and whether several documents have it."""
+    """One row per distinct range of a slice: smallest id and number of places. With a column ``ranges``, of those alone."""
     for part in slices(batches, "text"):
         seen: dict[str, list] = {}
-        for ident, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-            for _, _, chunk in chunks(text):
-                entry = seen.setdefault(chunk, [ident, ident, 0])
+        chosen = part.column("ranges").to_pylist() if "ranges" in part.schema.names else None
+        for i, (ident, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())):
+            if chosen is None:
+                found = [chunk for _, _, chunk in chunks(text)]
+            else:
+                lines = text.split("\n")
+                found = ["\n".join(lines[r["a"] : r["b"]]) for r in chosen[i]]
+            for chunk in found:
+                entry = seen.setdefault(chunk, [ident, 0])
                 entry[0] = _smaller(entry[0], ident)
-                entry[2] += 1
-        rows = [(*_halves(chunk), chunk, e[0], e[2]) for chunk, e in seen.items()]
+                entry[1] += 1
+        rows = [(*_halves(chunk), chunk, *e) for chunk, e in seen.items()]
         cols = list(zip(*rows)) if rows else [()] * 5
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["h1", "h2", "chunk", "first_id", "places"])
 
 
 def _members(batches):
-    """One row per chunk of a document that may be removed, with what an equal chunk earlier in it says."""
+    """One row per range of a document that may be removed, and whether an equal one ends before it."""
     for part in slices(batches, "text"):
         rows = []
         for ident, key, text in zip(*(part.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
-            seen: set[str] = set()
+            ends: dict[str, int] = {}
             for a, b, chunk in chunks(text):
-                rows.append((ident, key, *_halves(chunk), a, b, chunk in seen))
-                seen.add(chunk)
+                rows.append((ident, key, *_halves(chunk), a, b, ends.setdefault(chunk, b) <= a))
         cols = list(zip(*rows)) if rows else [()] * 7
         kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.bool_()]
         names = ["doc_id", "text_key", "h1", "h2", "a", "b", "again"]
@@ -97,8 +103,9 @@ def _members(batches):
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Chunks that stand in two places or more: h1, h2, first_id. ``docs`` has doc_id and text."""
-    entries = docs.select("doc_id", "text").mapInArrow(_entries, "h1 long, h2 long, chunk string, first_id long, places long")
+    """Ranges that stand in two places or more: h1, h2, first_id. ``docs`` has doc_id, text and maybe the ``ranges`` to look at."""
+    columns = ["doc_id", "text"] + ["ranges"] * ("ranges" in docs.columns)
+    entries = docs.select(*columns).mapInArrow(_entries, "h1 long, h2 long, chunk string, first_id long, places long")
     by_bytes = entries.repartition("h1", "h2").groupBy("h1", "h2", "chunk").agg(
         F.min("first_id").alias("first_id"), F.sum("places").alias("places")
     )
@@ -112,6 +119,7 @@ def _apply(schema_names: list[str], text: str, counts: bool):
     def run(batches):
         for part in slices(batches, text):
             values, removed, lines_removed = part.column(text).to_pylist(), part.column("__ranges").to_pylist(), []
+            runs = [0] * len(values)
             for i, ranges in enumerate(removed):
                 count = 0
                 if ranges and values[i] is not None:
@@ -120,6 +128,7 @@ def _apply(schema_names: list[str], text: str, counts: bool):
                     for r in ranges:
                         keep[r["a"] : r["b"]] = False
                     count = int((~keep).sum())
+                    runs[i] = count and int((np.diff(keep.astype(np.int8), prepend=1) < 0).sum())
                     values[i] = "\n".join(line for line, k in zip(lines, keep) if k)
                 lines_removed.append(count)
             columns = []
@@ -129,7 +138,7 @@ def _apply(schema_names: list[str], text: str, counts: bool):
                 elif counts and name == "lines_removed":
                     columns.append(pa.array(lines_removed, pa.int64()))
                 elif counts and name == "chunks_removed":
-                    columns.append(pa.array([len(r or ()) for r in removed], pa.int64()))
+                    columns.append(pa.array(runs, pa.int64()))
                 else:
                     columns.append(part.column(name))
             yield pa.RecordBatch.from_arrays(columns, schema_names)
@@ -138,21 +147,27 @@ def _apply(schema_names: list[str], text: str, counts: bool):
 
 
 def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
-    """The documents without repeated chunks; with ``counts`` also ``chunks_removed`` and ``lines_removed``.
+    """The documents without repeated passages; with ``counts`` also ``chunks_removed`` (runs of removed lines) and ``lines_removed``.
 
-    Texts go through two shuffles: chunk texts by hash, each once per slice, and documents to
-    their removals. A chunk that a third of the documents share is one row per slice in the
-    first and a splittable join side in the step between.
+    Hashes are counted first. Texts go through two shuffles, to the ranges whose hash occurs
+    twice, of which alone the bytes are compared, and to their removals. A range that a third
+    of the documents share is one row per slice in the comparison and a splittable join side
+    in the steps between.
     """
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), filled.alias("text"), F.xxhash64(filled).alias("text_key"))
-    repeated = stored(repeated_chunks(rows), "line-chunks")
     members = rows.mapInArrow(_members, "doc_id long, text_key long, h1 long, h2 long, a int, b int, again boolean")
-    elsewhere = F.col("first_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("first_id") < F.col("doc_id")))
+    twice = members.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    owner = F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id"), F.col("text_key").alias("__key")
+    likely = members.join(twice, ["h1", "h2"]).groupBy(*owner).agg(F.collect_set(F.struct("a", "b", "h1", "h2", "again")).alias("ranges"))
+    likely = stored(likely, "line-ranges")
+    repeated = stored(repeated_chunks(rows.withColumns(dict(zip(("__id", "__key"), owner))).join(likely, ["__id", "__key"])), "line-chunks")
+    elsewhere = F.col("first_id").isNotNull() & ((F.col("__id") == _NO_ID) | (F.col("first_id") < F.col("__id")))
     removed = (
-        members.join(repeated, ["h1", "h2"])
+        likely.select("__id", "__key", F.inline("ranges"))
+        .join(repeated, ["h1", "h2"])
         .where(F.col("again") | elsewhere)
-        .groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id"), F.col("text_key").alias("__key"))
+        .groupBy("__id", "__key")
         .agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
     )
     keyed = docs.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID))).withColumn("__key", F.xxhash64(filled))

@@ -161,6 +161,45 @@ def test_a_shifted_passage_is_found(spark):
     assert left[1] == 0 and left[2] >= 24
 
 
+def plain_passages(rows):
+    """Lines with words that stay: runs of two or more shared with an earlier document go. Lines are compared one by one."""
+    out = []
+    for n, (i, text) in enumerate(rows):
+        lines = text.split("\n")
+        gone = set()
+        for _, other in rows[:n]:
+            theirs = other.split("\n")
+            for a in range(len(lines)):
+                for b in range(len(theirs)):
+                    size = 0
+                    while a + size < len(lines) and b + size < len(theirs) and lines[a + size] == theirs[b + size]:
+                        size += 1
+                    shared = [k for k in range(a, a + size) if lines[k].strip()]
+                    gone.update(shared if len(shared) > 1 else ())
+        out.append((i, [x for k, x in enumerate(lines) if x.strip() and k not in gone]))
+    return out
+
+
+def test_short_passages_are_found(spark):
+    rows, blank = [], ["", "\n\n", " \n"]
+    for n in range(40):
+        shared = prose(500 + n, 60 + 10 * (n % 4), 2 + n % 4)
+        if n % 5 == 0:
+            shared = shared.replace("\n", "\n" + blank[n % 3])
+        rows.append((2 * n, prose(600 + n, 40, 1 + n % 4) + "\n" + shared + "\n" + prose(700 + n, 30, 2)))
+        rows.append((1000 - n, prose(800 + n, 70, 1 + n % 6) + "\n" + shared + "\n" + prose(900 + n, 40, 1 + n % 3)))
+    rows.sort()
+    cleaned = line_dedup.clean_lines(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], [x for x in r["text"].split("\n") if x.strip()]) for r in cleaned) == plain_passages(rows)
+    assert {(r["doc_id"] > 900, r["chunks_removed"]) for r in cleaned} == {(False, 0), (True, 1)}
+
+
+def test_passages_that_overlap_themselves_stay(spark):
+    rows = [(1, "x y\nx y\nx y"), (2, "a b\nc d\na b\nc d\na b"), (3, "e f\nx y\nx y\nx y\nx y\ng h")]
+    left = {r["doc_id"]: r["text"] for r in line_dedup.clean_lines(frame(spark, rows)).collect()}
+    assert left == {1: "x y\nx y\nx y", 2: "a b\nc d", 3: "e f\ng h"}
+
+
 def test_a_hash_of_different_chunks_removes_nothing(spark, monkeypatch):
     rows = [(1, "a b\nc d"), (2, "e f\ng h"), (3, "e f\ng h")]
     monkeypatch.setattr(line_dedup, "_halves", lambda chunk: (1, 1))
