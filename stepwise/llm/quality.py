@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from stepwise.llm.common import WORD_SLICE_BYTES, map_slices, slices, text_rows
 
 #: Fixed values of the rule set: n-gram lengths and the largest share of characters inside repeated ones.
-NGRAM_LIMITS = {5: 0.60, 7: 0.55, 10: 0.50}
+NGRAM_LIMITS = {5: 0.15, 7: 0.13, 10: 0.10}
 LINE_CHARS_LIMIT = 0.30
 LINES_LIMIT = 0.30
 SYMBOL_LIMIT = 0.10

@@ -49,6 +49,23 @@ def test_keep_good_keeps_rows_whole(spark):
     assert Counter(i for i, *_ in kept)[2] == 2 and 12 not in {i for i, *_ in kept}
 
 
+def test_each_ngram_rule_rejects_by_itself(spark):
+    def text(size, times, total):
+        """Words of four signs, of which a passage of ``size`` stands in ``times`` places apart from each other."""
+        fresh, out = iter(range(1000, 9999)), []
+        gap = (total - size * times) // times
+        for _ in range(times):
+            out += [f"p{n:03d}" for n in range(size)] + [str(next(fresh)) for _ in range(gap)]
+        return " ".join(out + [str(next(fresh)) for _ in range(total - len(out))])
+
+    rows = [(5, text(5, 8, 200)), (7, text(7, 4, 200)), (10, text(10, 2, 170)), (1, text(5, 5, 200)), (2, text(7, 3, 200)), (3, text(10, 2, 210)), (4, prose(60, 200, 9))]
+    shares = {r["doc_id"]: [r[f"dup_chars_{n}"] / r["word_chars"] > limit for n, limit in quality.NGRAM_LIMITS.items()] for r in quality.repetition(frame(spark, rows)).collect()}
+    assert [shares[n] for n in (5, 7, 10)] == [[True, False, False], [False, True, False], [False, False, True]]
+    verdict = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.repetition(frame(spark, rows)).collect()}
+    assert verdict == {n: (False, n < 5) for n, _ in rows}
+    assert {r["doc_id"] for r in quality.keep_good(frame(spark, rows)).collect()} == {1, 2, 3, 4}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 3), max_size=30), max_size=4), st.integers(1, 11))
 def test_covered_words(texts, n):
