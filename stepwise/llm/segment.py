@@ -9,8 +9,8 @@ perturbed value; the edges left aside at a step are one set with the truncated v
 mass, kept in a queue. The best set is opened next, and the value left on top after ``k``
 segmentations is the threshold of the inclusion scores.
 
-Blanks start pieces and never stand inside one, so parts between blanks are walked side by
-side for a whole slice of texts. All noise is a hash of row key, sample, part and step: results
+Blanks never stand behind another sign of a piece, so a run of blanks and the word after it are
+a part, and parts are walked side by side for a whole slice of texts. All noise is a hash of row key, sample, part and step: results
 do not depend on partitions or batches.
 
 Defined cases: null and empty texts have one segmentation without pieces; a text with fewer than
@@ -35,7 +35,7 @@ from stepwise.llm.common import ragged, slices, text_rows
 BLANK = "▁"
 #: Weight of a piece: 1 / (rank + OFFSET) ** SHARPNESS, as word frequencies fall.
 OFFSET, SHARPNESS = 2.7, 1.0
-#: Scores below are of pieces that only the user may ask for.
+#: Scores below are of pieces that were given by hand; the number ranks them as it ranks the merges.
 LEAST_SCORE = -1e8
 SLICE = 4 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -75,9 +75,12 @@ class Pieces:
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self.spelled_size = np.array([len(s) for s in spelled], np.int64)
         self.spelled_start = np.cumsum(self.spelled_size) - self.spelled_size
-        usable = [i for i in range(size) if i not in byte_value and not control[i] and (scores[i] > LEAST_SCORE or names[i] == BLANK)]
+        usable = [i for i in range(size) if i not in byte_value and not control[i]]
+        first = next(i for i in usable if scores[i] > LEAST_SCORE)
+        by_hand = np.flatnonzero(scores <= LEAST_SCORE)
+        self.weight[by_hand] = -SHARPNESS * np.log(np.maximum(by_hand - first - scores[first], 0) + OFFSET)
         self.byte_weight = float(min(self.weight[i] for i in usable if names[i] != BLANK))
-        self.weight[scores <= LEAST_SCORE] = self.byte_weight  # the blank by itself
+        self.weight[[i for i in by_hand if names[i] == BLANK]] = self.byte_weight
         self.longest = max(len(names[i]) for i in usable)
         keys: dict[int, list] = {n: [] for n in range(1, self.longest + 1)}
         for i in usable:
@@ -115,14 +118,14 @@ def pieces_of(path: str) -> Pieces:
 class Lattice:
     """Edges of distinct parts, grouped by start node, with probabilities given the node.
 
-    A part of n characters (blank sign first) has n + 1 nodes; nodes of all parts are numbered
+    A part of n characters (blank signs first) has n + 1 nodes; nodes of all parts are numbered
     through. Piece numbers from ``vocabulary.size`` on are characters to be spelled in bytes.
     """
 
     def __init__(self, vocabulary: Pieces, parts: list[str]):
-        joined = "".join([BLANK + p for p in parts])
+        joined = "".join(parts)
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        length = np.array([len(p) + 1 for p in parts], np.int64)
+        length = np.array([len(p) for p in parts], np.int64)
         stop = np.cumsum(length)
         part = np.repeat(np.arange(len(parts)), length)
         left = np.repeat(stop, length) - np.arange(len(codes))  # characters to the end of the part
@@ -262,7 +265,9 @@ class Search:
 def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
     """Per text a list of (ids, log probability, perturbed value, log inclusion)."""
     texts = pc.replace_substring(texts, BLANK, " ")
-    split = pc.split_pattern(texts, " ")
+    spelled = pc.binary_join_element_wise(BLANK, pc.replace_substring(texts, " ", BLANK), "")
+    # No blank is left to stand in a text, so one marks where each run of blank signs begins.
+    split = pc.split_pattern(pc.utf8_slice_codeunits(pc.replace_substring_regex(spelled, f"({BLANK}+)", r" \1"), 1), " ")
     offsets = np.asarray(split.offsets).astype(np.int64)
     offsets = offsets - offsets[0]
     coded = split.flatten().dictionary_encode()

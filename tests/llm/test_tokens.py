@@ -192,6 +192,31 @@ def test_all_segmentations_when_few(vocabulary):
     assert {tuple(x[0].tolist()) for x in found} == set(share) and all(x[3] == 0 for x in found)
 
 
+@pytest.mark.parametrize("text", ["    x", "a   b", "  of", "  ", "x  ", "a" + " " * 6, "   be  a"])
+def test_runs_of_blanks(vocabulary, text):
+    import sentencepiece
+
+    share = all_segmentations(vocabulary, text)
+    (found,), _ = segment.sample_slice(vocabulary, ["k"], pa.array([text]), len(share) + 5)
+    assert {tuple(x[0].tolist()) for x in found} == set(share)
+    for ids, logp, _, inclusion in found:
+        assert abs(logp - math.log(share[tuple(ids.tolist())])) < 1e-6 and inclusion == 0
+        assert vocabulary.decode(ids) == text.encode()
+    library = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    assert tuple(library.encode(text)) in share
+
+
+def test_the_librarys_pieces_of_code_are_edges(vocabulary):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    text = "def f(x):\n    if x:\n        return x\n" + " " * 40 + "a     | b\n"
+    known = {i for ids in vocabulary.ids.values() for i in ids.tolist()} | set(vocabulary.byte_id.tolist())
+    assert set(library.encode(text)) <= known and max(Counter(map(len, library.encode(text, out_type=str)))) == 16
+    (found,), _ = segment.sample_slice(vocabulary, ["k"], pa.array([text]), 8)
+    assert len({tuple(x[0].tolist()) for x in found}) == 8 and all(vocabulary.decode(x[0]) == text.encode() for x in found)
+
+
 def test_segmentations_of_rows(spark):
     model = P.path("piece_bpe_32k.model")
     got = segment.sample_segmentations(frame(spark, extra=True), model, 3, with_ids=True)
