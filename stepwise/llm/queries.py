@@ -177,3 +177,35 @@ def op2_sampled_pieces(spark, folder):
     from stepwise.llm.segment import sample_segmentations
 
     return sample_segmentations(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 2)
+
+
+@_query
+def op13_hard_negatives(spark, folder):
+    from stepwise.llm.lemp import hard_negatives
+
+    rows = _table(spark, folder, "embeddings")
+    return hard_negatives(rows.withColumn("label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")))
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INT AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+     AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY rank <= 5
+"""
