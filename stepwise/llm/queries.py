@@ -209,3 +209,39 @@ FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
      AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
 QUALIFY rank <= 5
 """
+
+
+@_query
+def op11_ranked_search(spark, folder):
+    from stepwise.llm.lexical import rank_documents
+
+    return rank_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), sized AS (
+    SELECT r, doc_id, w, len(w) AS n FROM words WHERE len(w) > 0
+), total AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sized
+), posting AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM sized) GROUP BY r, term
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM posting, total GROUP BY term, docs
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scored AS (
+    SELECT item_id, r, sum(weight.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+    FROM asked JOIN weight USING (term) JOIN posting USING (term) JOIN sized USING (r), total GROUP BY item_id, r
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored JOIN sized USING (r) WHERE score > 0
+QUALIFY rank <= 10
+"""

@@ -1,14 +1,17 @@
 """Hard negatives, ranked search and language prediction against plain versions."""
 
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from stepwise.llm import lemp
+from stepwise.llm import lemp, lexical
 
-from helpers import frame, prose, rows_of, table
+from helpers import frame, odd_rows, prose, rows_of, table
 
 VECTORS = "vec_id long, label int, embedding array<float>"
 
@@ -95,3 +98,87 @@ def test_coordinate_ranges_prune_and_lose_nothing():
     assert looked < pairs / 2
     want = Counter(int(q) for q, p in zip(*np.nonzero(queries @ rows.T >= best[:, None])) if p % 2)
     assert Counter((block.best[0]).tolist()) == want
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+FOLD = {c: c + 32 for c in range(65, 91)}
+
+
+def plain_terms(text):
+    return TERM.findall((text or "").translate(FOLD))
+
+
+def plain_search(docs, items, top=10):
+    bags = [(i, Counter(plain_terms(t))) for i, t in docs]
+    bags = [(i, b) for i, b in bags if b]
+    n_docs, n_terms = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, set()).update(plain_terms(t))
+    out = []
+    for item, its in asked.items():
+        scored = []
+        for i, b in bags:
+            m = 10 + 90 * sum(b.values()) * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (1_000_000_000 * b[t] // (1000 * b[t] + 8 * m)) for t in its if t in b
+            )
+            if score > 0:
+                scored.append((-score, i is None, i if i is not None else 0))
+        for rank, (score, null, i) in enumerate(sorted(scored)[:top], 1):
+            out.append((item, rank, None if null else i, -score))
+    return sorted(out, key=repr)
+
+
+ITEMS = [(1, "the haus RIVER stone7 light"), (2, "Señal über naïve12 日本語"), (3, None), (4, "zzz nowhere"), (5, "the"), (5, "der und"), (None, "la que river3"), (7, "")]
+
+
+@pytest.mark.parametrize("case", ["odd", "many"])
+def test_ranked_search(spark, monkeypatch, case):
+    monkeypatch.setattr(lexical, "SHARD_BYTES", 6000)
+    monkeypatch.setattr(lexical, "BLOCK", 4)
+    monkeypatch.setattr(lexical, "ITEM_BLOCK", 3)
+    r = random.Random(8)
+    docs = odd_rows() if case == "odd" else [(n, prose(n % 400, r.randrange(1, 60))) for n in range(900)]
+    docs.append((77, "Mixed\x00CASE it's 0x1F_под\x7fx"))
+    got = lexical.rank_documents(frame(spark, docs, extra=True), table(spark, ITEMS, "item_id long, text string").selectExpr("*", "1 AS term"))
+    assert rows_of(got) == plain_search(docs, ITEMS)
+
+
+def test_ranked_search_of_empty_tables(spark):
+    items = table(spark, ITEMS, "item_id long, text string")
+    assert lexical.rank_documents(frame(spark, []), items).count() == 0
+    assert lexical.rank_documents(frame(spark), items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("texts", [[""], ["", "a", ""], ["a", "b c"], [" x-y ", "Ä1", "\x00"], []])
+def test_terms_do_not_run_over_text_borders(texts):
+    doc, code, names = lexical.terms(pa.array(texts, pa.string()))
+    assert [(d, names[c].as_py()) for d, c in zip(doc.tolist(), code.tolist())] == [(d, t) for d, x in enumerate(texts) for t in plain_terms(x)]
+    sliced = pa.array(["skip me", *texts, "and me"]).slice(1, len(texts))
+    assert len(lexical.terms(sliced)[0]) == len(doc)
+
+
+def test_block_maxima_leave_blocks_packed():
+    r = random.Random(3)
+    texts = [" ".join(["common"] * (1 + n % 3) + ["often"] * (n % 2) + [f"w{r.randrange(20000)}" for _ in range(30)]) for n in range(6000)]
+    bags = [Counter(plain_terms(t)) for t in texts]
+    total = sum(sum(b.values()) for b in bags)
+    batch = lexical.shard_rows(np.arange(6000), pa.array(texts), 6000, total)
+    rows = batch.to_pylist()
+    shard = lexical.Shard(rows[0]["data"], rows[0]["heads"], 6000, total)
+    asked = ["common", "often", "w5", "w17"]
+    for row in rows[1:]:
+        if row["term"] in asked:
+            weight = math.floor(1000 * math.log(12002 / (2 * row["df"] + 1)))
+            shard.lists[row["term"]] = lexical.Postings(weight, row["df"], row["heads"], row["data"], row["gap_width"], row["tf_width"])
+    heap = lexical.Heap(5)
+    lexical.max_score(shard, ["w5", "w17"], heap)  # a full heap: the common lists cannot reach its last score
+    assert len(heap.score) == 5
+    heap.ids = heap.ids + 100_000
+    lexical.max_score(shard, asked, heap)
+    for t in ("common", "often"):
+        assert shard.lists[t].unpacked < len(shard.lists[t].heads) * 0.8
+    found = {int(i) for i in heap.ids if i < 100_000}
+    assert found and all(bags[i]["w5"] or bags[i]["w17"] for i in found)
