@@ -31,8 +31,8 @@ from stepwise.session import stored
 SHARD_BYTES = 24 << 20
 #: Postings of a block.
 BLOCK = 128
-#: Items that travel together; shards that one task meets them with, if there are tasks enough.
-ITEM_BLOCK, GROUP_SHARDS = 256, 16
+#: Items that travel together, and shards that they meet in one group, about.
+ITEM_BLOCK, GROUP_SHARDS = 256, 4
 #: Parts of the score (fixed values): saturation and length shares in hundredths, and its unit.
 BASE, PER_LENGTH, UNIT, TF, NORM = 10, 90, 1_000_000_000, 1000, 8
 NO_ID = np.iinfo(np.int64).max
@@ -318,7 +318,7 @@ def search(
     shards = index.where("term IS NULL")
     n_shards, n_items = shards.count(), asked.select("item_id").distinct().count()
     blocks = max(1, -(-n_items // ITEM_BLOCK))
-    groups = max(1, min(n_shards, max(-(-n_shards // GROUP_SHARDS), index.sparkSession.sparkContext.defaultParallelism // blocks)))
+    groups = max(1, -(-n_shards // GROUP_SHARDS))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     wanted = stored(

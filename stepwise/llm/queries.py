@@ -245,3 +245,10 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM scored JOIN sized USING (r) WHERE score > 0
 QUALIFY rank <= 10
 """
+
+
+@_query
+def op12_language(spark, folder):
+    from stepwise.llm.langid import predict_languages
+
+    return predict_languages(_table(spark, folder, "documents"))

@@ -3,13 +3,16 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from stepwise.llm import lemp, lexical
+from stepwise.llm import langid, lemp, lexical
 
 from helpers import frame, odd_rows, prose, rows_of, table
 
@@ -182,3 +185,97 @@ def test_block_maxima_leave_blocks_packed():
         assert shard.lists[t].unpacked < len(shard.lists[t].heads) * 0.8
     found = {int(i) for i in heap.ids if i < 100_000}
     assert found and all(bags[i]["w5"] or bags[i]["w17"] for i in found)
+
+
+def plain_grams(text):
+    body = re.sub(rb"[^a-z\x80-\xff]+", b" ", b" " + text.translate(FOLD).encode() + b" ")
+    out = Counter()
+    for n in langid.GRAMS:
+        for i in range(len(body) - n + 1):
+            key = int.from_bytes(body[i : i + n], "little")
+            mixed = (key ^ (n * 0x9E3779B1 & 0xFFFFFFFF)) * 0x85EBCA6B & 0xFFFFFFFF
+            mixed ^= mixed >> 15
+            out[(mixed * 0xC2B2AE35 & 0xFFFFFFFF) >> 16 & 0xFFFF] += 1
+    return out
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1 << 20])
+@settings(max_examples=30, deadline=None)
+@given(texts=st.lists(st.text(alphabet="aB z-1\né日\x00", max_size=12), max_size=5))
+def test_grams(piece, texts):
+    whole, langid.PIECE = langid.PIECE, piece
+    try:
+        got = [Counter() for _ in texts]
+        for text, places in langid.grams(pa.array(["x", *texts], pa.string()).slice(1)):
+            assert (np.diff(text) >= 0).all()
+            for t, h in zip(text.tolist(), places.tolist()):
+                got[t][h] += 1
+    finally:
+        langid.PIECE = whole
+    assert got == [plain_grams(t) for t in texts]
+
+
+@pytest.mark.parametrize("languages", [1, 2, 3, 4, 5, 6, 7, 8, 9, 40])
+def test_codewords(languages):
+    code = langid.codewords(languages)
+    assert code.shape == (languages, langid.code_bits(languages))
+    assert len({(c * c[0]).tobytes() for c in code.T}) == code.shape[1]
+    if languages > 1:
+        assert all(set(c.tolist()) == {1, -1} for c in code.T)
+        apart = (code.shape[1] - code.astype(int) @ code.T) // 2 + np.eye(languages, dtype=int) * 99
+        assert apart.min() >= max(1, code.shape[1] // 4)
+    assert (code == langid.codewords(languages)).all()
+
+
+SPOKEN = {"en": "the and with river stone house over light", "de": "der und haus über straße nicht eine zeit", "fr": "le les été avec dans maison où jour", "xx": "zug vek lom prat dun hrel skov mik"}
+LABELLED = "doc_id long, text string, lang string"
+
+
+def spoken(n, noise=0):
+    r = random.Random(9)
+    rows = []
+    for i in range(n):
+        lang = r.choice(list(SPOKEN))
+        rows.append((i, " ".join(r.choice(SPOKEN[lang].split()) for _ in range(r.randrange(3, 40))), lang))
+    return rows
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 4 == 2
+
+
+def test_languages_of_held_out_rows(spark):
+    rows = spoken(600)
+    long = (9000, " ".join(SPOKEN["fr"].split() * 4000), "fr")
+    odd = [(9001, None, "en"), (9002, "", "en"), (9003, "12 - 34 \n", "de"), (9004, "und der", None), (None, "the house", "en"), (9001, "les maison", "fr")]
+    df = table(spark, [*rows, long, *odd], LABELLED)
+    wide = df.selectExpr("*", "'x' AS score", "'y' AS held_out", "'z' AS has_letter", "'w' AS source")
+    got = langid.predict_languages(wide.repartition(7)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in [*rows, long, *odd])
+    assert all(r["held_out"] == (r["doc_id"] is not None and held(r["doc_id"])) for r in got)
+    truth = {r[0]: r[2] for r in rows}
+    tested = [r for r in got if r["doc_id"] in truth and r["held_out"]]
+    assert len(tested) > 100 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in tested) >= 0.97 * len(tested)
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] != 9001}
+    assert by_id[9000]["lang_pred"] == "fr" and by_id[9004]["lang_pred"] == "de"
+    assert [(by_id[i]["lang_pred"], by_id[i]["score"], by_id[i]["ambiguous"]) for i in (9002, 9003)] == [("und", 0.0, False)] * 2
+    assert sorted(r["lang_pred"] for r in got if r["doc_id"] == 9001) == ["fr", "und"]
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert rows_of(langid.predict_languages(df.repartition(1))) == sorted(map(tuple, got), key=repr)
+
+
+def test_mixed_text_is_flagged(spark):
+    half = lambda a, b: " ".join(SPOKEN[a].split() * 3 + SPOKEN[b].split() * 3)
+    rows = spoken(400) + [(5000 + i, half(*p), None) for i, p in enumerate([("en", "de"), ("fr", "xx"), ("de", "fr")])]
+    got = {r["doc_id"]: r for r in langid.predict_languages(table(spark, rows, LABELLED)).collect()}
+    mixed, plain = [got[5000 + i]["score"] for i in range(3)], sorted(got[i]["score"] for i in range(400))
+    assert any(got[5000 + i]["ambiguous"] for i in range(3)) and max(mixed) < plain[100]
+
+
+def test_few_or_no_languages(spark):
+    one = [(1, "the house", "en"), (2, "der zug", None), (3, "12", "en"), (4, None, None)]
+    for rows, want in ((one, {"en", "und"}), ([(i, t, None) for i, t, _ in one], {"und"})):
+        got = langid.predict_languages(table(spark, rows, LABELLED)).collect()
+        assert {r["lang_pred"] for r in got} == want and len(got) == 4
+        assert all(r["score"] == (r["lang_pred"] != "und") for r in got)
+    assert langid.predict_languages(table(spark, [], LABELLED)).count() == 0
