@@ -317,3 +317,46 @@ def format_big(t):
     codes = fm.ValueFormat("code", {i: f"code {i}" for i in range(90)}, (), None, "other")
     rows = t.part.select("p_partkey", "p_size", (F.col("p_partkey") % 100).alias("code"))
     return fm.put_format(fm.put_format(rows, "p_size", sizes, "size_label"), "code", codes, "code_label").select("p_partkey", "size_label", "code_label")
+
+
+_BANDS_SQL = """
+    SELECT l_orderkey, l_linenumber, CASE WHEN x IS NULL THEN 'N/A' WHEN x > 100000 THEN 'top'
+      WHEN i % 2 = 0 AND x >= 10 * i AND x < 10 * i + 8 THEN 'band ' || i WHEN i % 2 = 1 AND x > 10 * i AND x <= 10 * i + 8 THEN 'band ' || i
+      ELSE 'between' END AS label
+    FROM (SELECT l_orderkey, l_linenumber, x, CAST(floor(x / 10) AS INTEGER) AS i
+          FROM (SELECT *, CASE WHEN l_tax < 0.07 THEN l_extendedprice END AS x FROM lineitem))
+"""
+
+
+def _banded(t, how):
+    """10,000 ranges with open and closed ends in turn, gaps between them, and all values above."""
+    bands = [fm.Range(10.0 * i, 10.0 * i + 8, f"band {i}", low_open=i % 2 == 1, high_open=i % 2 == 0) for i in range(10_000)]
+    fmt = fm.ValueFormat("bands", ranges=(*bands, fm.Range(100_000, None, "top", low_open=True)), missing="N/A", other="between")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_tax") < 0.07, F.col("l_extendedprice")).alias("x"))
+    return fm.put_format(rows, "x", fmt, "label", how).select("l_orderkey", "l_linenumber", "label")
+
+
+@query("format_ranges_big", _BANDS_SQL)
+def format_ranges_big(t):
+    return _banded(t, "search")
+
+
+@query("format_ranges_merged", _BANDS_SQL)
+def format_ranges_merged(t):
+    """The same rows by the path of an index beyond the broadcast limit."""
+    return _banded(t, "merge")
+
+
+@query(
+    "format_range_table",
+    """
+    SELECT l_orderkey, l_linenumber, coalesce(s_name, 'none') AS label
+    FROM lineitem LEFT JOIN supplier ON l_partkey > s_suppkey * 3 AND l_partkey <= s_suppkey * 3 + 2
+    """,
+)
+def format_range_table(t):
+    """Ranges from a stored table, as many as it has rows."""
+    low = F.col("s_suppkey") * 3
+    ranges = t.supplier.select(low.alias("low"), (low + 2).alias("high"), F.lit(True).alias("low_open"), F.col("s_name").alias("label"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
+    return fm.classify_ranges(rows, "l_partkey", ranges, "label", other="none").select("l_orderkey", "l_linenumber", "label")

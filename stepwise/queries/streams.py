@@ -9,6 +9,7 @@ from stepwise.queries.base import money, query
 from stepwise.session import shared_dir
 from stepwise.streaming import changes as ch
 from stepwise.streaming import streams as st
+from stepwise.streaming import upsert as up
 from stepwise.plans.medallion import add_audit
 from stepwise.sources import writers as wr
 
@@ -94,19 +95,54 @@ def apply_changes(t):
     return ch.apply_changes(stored, rows, "user_id", ["ts", "event_id"], "event_type = 'error'")
 
 
+def _feed(t, root, waves):
+    """The events as a growing folder: yields after each wave of files. Rows of one user come in no order of time."""
+    rows = t.events.select("user_id", "event_type", "event_id", "value", "ts")
+    for wave in range(waves):
+        rows.where(f"pmod(event_id * 7919, {waves}) = {wave}").write.mode("append").parquet(f"{root}/feed")
+        yield st.stream_files(t.spark, f"{root}/feed", "parquet", rows.schema)
+
+
 @query("apply_changes_stream", f"SELECT * FROM ({_CHANGES}) WHERE event_type <> 'error'")
 def apply_changes_stream(t):
-    """The same through a streamed change log and a snapshot."""
+    """A streamed change log; a snapshot after its first half, and only later batches on top of it."""
     root = shared_dir(t.spark, "changes")
-    feed = _stream(t).select("user_id", "event_type", "event_id", "value", "ts")
-    ch.log_changes(feed, f"{root}/log", f"{root}/checkpoint").awaitTermination()
-    early = t.events.select("user_id", "event_type", "event_id", "value", "ts").filter("ts < TIMESTAMP_NTZ '2024-01-15'")
-    ch.write_snapshot(ch.apply_changes(None, early, "user_id", ["ts", "event_id"]), f"{root}/snapshot", ["user_id"])
+    after = None
+    for stream in _feed(t, root, 2):
+        ch.log_changes(stream, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+        if after is None:
+            after = ch.last_batch(t.spark, f"{root}/log")
+            logged = t.spark.read.parquet(f"{root}/log").drop(ch.LOG_BATCH)
+            ch.write_snapshot(ch.apply_changes(None, logged, "user_id", ["ts", "event_id"], keep_deleted=True), f"{root}/snapshot", ["user_id"])
     return ch.current_state(
-        t.spark, f"{root}/log", "user_id", ["ts", "event_id"], "event_type = 'error'", f"{root}/snapshot"
+        t.spark, f"{root}/log", "user_id", ["ts", "event_id"], "event_type = 'error'", f"{root}/snapshot", after
     )
 
 
+@query("upsert_stream", f"SELECT * FROM ({_CHANGES}) WHERE event_type <> 'error'")
+def upsert_stream(t):
+    """Three waves of changes into a keyed table: late changes and late deletions among them, and a batch sent twice."""
+    root = shared_dir(t.spark, "upsert")
+    table = up.KeyedTable(f"{root}/table", "user_id", ["ts", "event_id"], "event_type = 'error'", 16)
+    for stream in _feed(t, root, 3):
+        up.upsert_stream(stream, table, f"{root}/checkpoint").awaitTermination()
+    table.apply(t.spark.read.parquet(f"{root}/feed"), table.batches(t.spark)[0])
+    return table.read(t.spark)
+
+
+@query(
+    "stream_first_all",
+    "SELECT user_id, event_type, event_id, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1",
+)
+def stream_first_all(t):
+    """The first event of every user and type, with no horizon: waves bring rows of any age."""
+    root = shared_dir(t.spark, "first")
+    table = up.first_rows(f"{root}/table", ["user_id", "event_type"], ["ts", "event_id"], 16)
+    for stream in _feed(t, root, 2):
+        up.upsert_stream(stream.select("user_id", "event_type", "event_id", "ts"), table, f"{root}/checkpoint").awaitTermination()
+    return table.read(t.spark)
+
+
 @query(
     "refresh_partitions",
     """

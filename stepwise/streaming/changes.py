@@ -12,6 +12,9 @@ from stepwise.operators.bygroup import keep_last
 from stepwise.operators.ordering import as_list
 from stepwise.session import stored
 
+#: Folder column of a change log: the micro-batch that brought the row.
+LOG_BATCH = "__batch"
+
 
 def apply_changes(
     target: DataFrame | None,
@@ -42,13 +45,22 @@ def live_rows(state: DataFrame, delete_when: Column | str) -> DataFrame:
 
 
 def log_changes(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a change stream to its log, exactly once, and stop when caught up.
+    """Write a change stream to its log, one folder per micro-batch, and stop when caught up.
 
-    The log is the streamed form of a keyed table: appends never rewrite or lock a file,
-    a repeated batch is not written twice, and ``current_state`` reads the table from it.
+    The log keeps every change; ``upsert.KeyedTable`` is the form that keeps the table itself. A batch that
+    is repeated after a failure replaces its own folder, so no change is written twice.
     """
-    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start(path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{LOG_BATCH}={number}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def last_batch(spark: SparkSession, log_path: str) -> int:
+    """The newest batch of a log."""
+    return spark.read.parquet(log_path).agg(F.max(LOG_BATCH)).first()[0]
 
 
 def current_state(
@@ -58,10 +70,17 @@ def current_state(
     sequence_by: Sequence[str] | str,
     delete_when: Column | str | None = None,
     snapshot_path: str | None = None,
+    after: int | None = None,
 ) -> DataFrame:
-    """The table behind a change log, on top of a snapshot if one was written."""
+    """The table behind a change log, on top of a snapshot if one was written.
+
+    ``after`` is the last batch that the snapshot holds; only folders of later ones are read.
+    """
     base = spark.read.parquet(snapshot_path) if snapshot_path else None
-    return apply_changes(base, spark.read.parquet(log_path), keys, sequence_by, delete_when)
+    log = spark.read.parquet(log_path)
+    if LOG_BATCH in log.columns:
+        log = (log if after is None else log.where(F.col(LOG_BATCH) > after)).drop(LOG_BATCH)
+    return apply_changes(base, log, keys, sequence_by, delete_when)
 
 
 def write_snapshot(state: DataFrame, path: str, keys: Sequence[str]) -> None:

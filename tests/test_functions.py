@@ -1,5 +1,8 @@
 """Scalar functions, formats, text parsing and row operators on edge values."""
 
+import datetime as dt
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +193,58 @@ def test_more_informats(spark):
     assert str(one(spark, sc.input_as(F.lit("05MAR2024:13:45:10"), "datetime20."))) == "2024-03-05 13:45:10"
     assert one(spark, sc.put_as(sc.input_as(F.lit("05mar2024:13:45:10"), "datetime18."), "datetime20.")) == "05MAR2024:13:45:10"
     assert one(spark, sc.input_as(F.lit("05XXX2024:13:45:10"), "datetime20.")) is None
+
+
+def first_match(fmt, v):
+    if v is None:
+        return fmt.missing if fmt.missing is not None else fmt.other
+    if v in fmt.values:
+        return fmt.values[v]
+    for r in fmt.ranges:
+        low = r.low is None or (v > r.low if r.low_open else v >= r.low)
+        high = r.high is None or (v < r.high if r.high_open else v <= r.high)
+        if low and high:
+            return r.label
+    return fmt.other
+
+
+@pytest.mark.parametrize("how", ["search", "merge", None])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_range_index_with_overlaps(spark, skew_mode, how, seed):
+    r = random.Random(seed)
+    ranges = []
+    for i in range(80):
+        a, b = sorted(r.choice([None, r.randrange(60) / 2]) or r.randrange(60) / 2 for _ in range(2))
+        low, high = (None if r.random() < 0.04 else a), (None if r.random() < 0.04 else b)
+        ranges.append(fm.Range(low, high, f"r{i}", r.random() < 0.5, r.random() < 0.5))
+    fmt = fm.ValueFormat("f", {3.0: "three", 40.0: "forty"}, tuple(ranges[:20] if seed == 1 else ranges), "none", "?")
+    values = [None, None, *[x / 4 for x in range(-8, 140)], 5.0, 5.0, 5.0, 5.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
+    out = {x["id"]: x["label"] for x in fm.put_format(df, "v", fmt, "label", how).collect()}
+    assert out == {i: first_match(fmt, v) for i, v in enumerate(values)}
+
+
+@pytest.mark.parametrize("how", ["search", "merge"])
+def test_text_and_date_ranges(spark, how):
+    text = fm.ValueFormat("t", ranges=(fm.Range("B", "D", "b-d", high_open=True), fm.Range("D", None, "d-")), other="a")
+    df = spark.createDataFrame([("A",), ("B",), ("CZ",), ("D",), ("é",), (None,)], "v string")
+    assert [r[0] for r in fm.put_format(df, "v", text, "x", how).orderBy("v").select("x").collect()] == ["a", "a", "b-d", "b-d", "d-", "d-"]
+    day = dt.date(2024, 1, 10)
+    days = fm.ValueFormat("d", ranges=(fm.Range(None, day, "old", high_open=True), fm.Range(day, day, "that")), missing="-", other="new")
+    df = spark.sql("SELECT explode(array(DATE'2023-01-01', DATE'2024-01-10', DATE'2025-01-01', NULL)) AS v")
+    assert {str(r["v"]): r["x"] for r in fm.put_format(df, "v", days, "x", how).collect()} == {
+        "2023-01-01": "old", "2024-01-10": "that", "2025-01-01": "new", "None": "-",
+    }
+
+
+@pytest.mark.parametrize("how", ["search", "merge"])
+def test_range_tables(spark, how):
+    ranges = spark.createDataFrame([(None, 0.0, "neg"), (0.0, 5.0, "low"), (5.0, 5.0, "five"), (7.0, None, "high"), (9.0, 8.0, "empty")], "low double, high double, label string")
+    ranges = ranges.selectExpr("*", "label = 'low' AS low_open", "label = 'low' AS high_open")
+    values = [-3.0, 0.0, 0.1, 4.9, 5.0, 6.0, 7.0, 1e9, None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r["v"]: r["x"] for r in fm.classify_ranges(df, "v", ranges, "x", "gap", "none", how).collect()}
+    assert got == dict(zip(values, ["neg", "neg", "low", "low", "five", "gap", "high", "high", "none"]))
+    with pytest.raises(ValueError, match="overlap"):
+        fm.classify_ranges(df, "v", ranges.unionByName(spark.sql("SELECT 4D AS low, 6D AS high, 'x' AS label, false AS low_open, false AS high_open")), "x")
+    assert fm.classify_ranges(df, "v", ranges.limit(0), "x", "gap", how=how).where("x <> 'gap'").count() == 0
