@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stepwise.functions.missing import missing_gt
 from stepwise.operators.ordering import as_list, order_keys, sort_columns
-from stepwise.operators.skew import CHUNK, GROUP_ROWS, heavy_keys, salted_join, split_groups, with_halo
+from stepwise.operators.skew import CHUNK, heavy_keys, salted_join, split_groups, with_halo
 
 Expr = Column | str | int | float
 
@@ -82,7 +82,7 @@ def group_size(
     splits. ``profile`` is only looked at to find out whether there are any.
     """
     by = as_list(by)
-    if not heavy_keys(df if profile is None else profile, by):
+    if heavy_keys(df if profile is None else profile, by) is None:
         return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*by)))
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(out))
     return salted_join(df, sizes, by, "left", null_safe=True, unique_left=True, unique_right=True).select(*df.columns, out)

@@ -8,30 +8,26 @@ per chunk across the chunk boundaries, so the result is the same as with the pla
 window but no task ever holds a heavy group. Without heavy keys the plain window is
 planned and nothing else.
 
-What is collected or broadcast is bounded by construction: at most
-``MAX_HOT_KEYS`` keys with at most ``MAX_CHUNKS`` cut points each. A key beyond the
-heaviest ``MAX_HOT_KEYS`` holds less than 1/``MAX_HOT_KEYS`` of the rows, which is an
-ordinary task's share.
+Heavy keys, cut points and chunk summaries are tables, never lists on the driver, and there
+is no limit on their number: a key has as many chunks, or salts, as it holds times the
+limit. Joins with these tables carry no hint; Spark broadcasts them where they are small.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stepwise.operators.ordering import as_list, order_keys, order_names, sort_columns
-from stepwise.session import hot_rows
+from stepwise.session import hot_rows, stored
 
-MAX_HOT_KEYS = 1000
-MAX_CHUNKS = 4096
 SAMPLED_ROWS = 400
+#: Sampled rows between two cuts; a chunk's size varies by about one over the root of it.
+CUT_SAMPLES = 64
 WHOLE_TABLE_SHARE = 16
 CHUNK = "__chunk"
 GROUP_ROWS = "__group_rows"
@@ -41,10 +37,10 @@ def null_safe_equal(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, [l.eqNullSafe(r) for l, r in zip(left, right)], F.lit(True))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> list:
-    """Keys with more than ``limit`` rows, heaviest first, at most ``MAX_HOT_KEYS``.
+def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """Table of the keys with more than ``limit`` rows, or None when there is none.
 
-    Rows carry the key columns and the exact row count ``__group_rows``. A sample that holds
+    It has the key columns and the exact row count ``__group_rows``. A sample that holds
     about ``SAMPLED_ROWS`` rows of a key at the limit finds the candidates, so that a nearly
     unique key is not shuffled just to learn that it has no heavy values; only candidates are
     then counted. A key at the limit escapes half the expected sample with a probability far
@@ -56,37 +52,48 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     rate = SAMPLED_ROWS / limit if limit > SAMPLED_ROWS else 1.0
     if keys and rate < 1.0:
         seen = rows.sample(rate, seed=17).groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
-        seen = seen.filter(F.col(GROUP_ROWS) >= SAMPLED_ROWS // 2).orderBy(F.desc(GROUP_ROWS))
-        candidates = seen.limit(2 * MAX_HOT_KEYS).collect()
-        if not candidates:
-            return []
-        named = _key_frame(df, keys, candidates)
-        cond = null_safe_equal([F.col(k) for k in keys], [F.col(n) for n in named.columns])
-        rows = rows.join(F.broadcast(named), cond, "left_semi")
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
-    return counts.filter(F.col(GROUP_ROWS) > limit).orderBy(F.desc(GROUP_ROWS)).limit(MAX_HOT_KEYS).collect()
+        seen = seen.filter(F.col(GROUP_ROWS) >= SAMPLED_ROWS // 2)
+        if not seen.limit(1).collect():
+            return None
+        named = _named(stored(seen, "skew-candidates"), keys).drop(GROUP_ROWS)
+        rows = rows.join(named, null_safe_equal([F.col(k) for k in keys], [F.col(n) for n in named.columns]), "left_semi")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS)).filter(F.col(GROUP_ROWS) > limit)
+    found = stored(counts, "skew-keys")
+    return found if found.limit(1).collect() else None
 
 
-def _key_frame(df: DataFrame, keys: Sequence[str], rows: Sequence) -> DataFrame:
-    """Collected keys as a frame with columns ``__k0``, ``__k1``, ..."""
-    schema = T.StructType([T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(keys)])
-    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in rows], schema)
+def _named(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key columns as ``__k0``, ``__k1``, ..., the others as they are."""
+    rest = [c for c in table.columns if c not in keys]
+    return table.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *rest)
 
 
-def search_sorted(value: Column, bounds: Column, size: int) -> Column:
-    """How many entries of the ascending array ``bounds`` are <= ``value``; 0 for NULL.
+def search_sorted(value: Column, bounds: Column, size: int, before: Callable[[Column], Column] | None = None) -> Column:
+    """How many entries of the ordered array ``bounds`` are <= ``value``; 0 for NULL.
 
-    A binary search written as a fold over the halving steps, so a lookup costs
-    log2(size) comparisons however many bounds there are.
+    A binary search written as a fold over the halving steps, so a lookup costs log2(size)
+    comparisons however many bounds there are. ``before`` tells whether a bound is at or before
+    the value where plain comparison is not the array's order.
     """
     steps = [1 << k for k in reversed(range(max(1, size.bit_length())))]
+    test = before or (lambda bound: bound <= value)
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
-        lambda pos, step: F.when(F.get(bounds, pos + step - 1) <= value, pos + step).otherwise(pos),
+        lambda pos, step: F.when((pos + step <= F.size(bounds)) & test(F.get(bounds, pos + step - 1)), pos + step).otherwise(pos),
     )
 
 
+def at_or_before(bound: Column, values: Sequence[tuple[Column, bool]]) -> Column:
+    """Whether a struct ``__o0``, ``__o1``, ... sorts at or before the values, each with its direction (True is descending)."""
+    out = F.lit(True)
+    for i, (value, desc) in reversed(list(enumerate(values))):
+        own = bound[f"__o{i}"]
+        less = (own.isNotNull() & value.isNull()) | (own > value) if desc else (own.isNull() & value.isNotNull()) | (own < value)
+        out = F.coalesce(less, F.lit(False)) | (own.eqNullSafe(value) & out)
+    return out
+
+
 @dataclass
 class Split:
     """``df`` with rows of heavy groups numbered by ordered chunk (NULL elsewhere)."""
@@ -109,20 +116,20 @@ class Split:
         return self.df.filter(F.col(CHUNK).isNotNull())
 
     def over_chunks(self) -> WindowSpec:
-        """All earlier chunks of the same group; a group has at most MAX_CHUNKS of them."""
+        """All earlier chunks of the same group, one row each."""
         return Window.partitionBy(*(self.by or [F.lit(0)])).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
     def attach(self, df: DataFrame, summary: DataFrame) -> DataFrame:
-        """Left join a per-(group, chunk) summary; its size is bounded, so it is broadcast."""
+        """Left join a summary of one row per (group, chunk); both sides have the join's partitioning already."""
         named = summary.select(
             *[F.col(k).alias(f"__s_{k}") for k in self.keys],
             *[c for c in summary.columns if c not in self.keys],
         )
         cond = null_safe_equal([F.col(k) for k in self.keys], [F.col(f"__s_{k}") for k in self.keys])
-        return df.join(F.broadcast(named), cond, "left").drop(*[f"__s_{k}" for k in self.keys])
+        return df.join(named, cond, "left").drop(*[f"__s_{k}" for k in self.keys])
 
     def done(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK, GROUP_ROWS, *self.extra) if self.hot else df
+        return df.drop(CHUNK, *self.extra) if self.hot else df
 
 
 def split_groups(
@@ -149,46 +156,33 @@ def split_groups(
         # One group that is certain to hold everything: split it sooner, for parallelism.
         limit = max(2, limit // WHOLE_TABLE_SHARE)
     hot = heavy_keys(source, by, limit)
-    if not hot:
+    if hot is None:
         return Split(df, by, order)
 
-    # Cuts are values of the leading order keys that sort in one direction.
-    descending = keys[0][1]
-    lead = [name for name, desc in takewhile(lambda k: k[1] == descending, keys)]
-    lead_type = T.StructType([T.StructField(name, df.schema[name].dataType) for name in lead])
-    parts = {tuple(r[k] for k in by): min(MAX_CHUNKS, math.ceil(r[GROUP_ROWS] / limit)) for r in hot}
-    total = sum(r[GROUP_ROWS] for r in hot)
-    # A sample decides only where the cuts go; every row is still processed.
-    step = max(1, total // max(20_000, 20 * sum(parts.values())))
-    key_schema = T.StructType([T.StructField(f"__k{i}", df.schema[k].dataType) for i, k in enumerate(by)])
-
-    def match(frame_keys):
-        return null_safe_equal([F.col(k) for k in by], frame_keys)
-
-    sample = source.select(*by, *[n for n in order_names(order) if n not in by]).filter(
-        F.pmod(F.xxhash64(*order_names(order)), F.lit(step)) == 0
-    )
+    # A sample decides only where the cuts go; every row is still processed. Each group is cut by itself,
+    # in the order of all its sort keys, whatever their directions.
+    names = order_names(order)
+    step = max(1, limit // CUT_SAMPLES)
+    sample = source.select(*dict.fromkeys([*by, *names])).filter(F.pmod(F.xxhash64(*names), F.lit(step)) == 0)
+    heavy = _named(hot, by).drop(GROUP_ROWS)
+    match = null_safe_equal([F.col(k) for k in by], [F.col(n) for n in heavy.columns])
     if by:
-        sample = sample.join(F.broadcast(_key_frame(df, by, hot)), match([F.col(f) for f in key_schema.names]), "left_semi")
-    sampled = sample.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*lead))).alias("__v"))
-    cuts = {key: [] for key in parts}
-    for row in sampled.collect():
-        key, values = tuple(row[k] for k in by), row["__v"]
-        n = parts[key]
-        picked = [values[len(values) * i // n] for i in range(1, n)] if values else []
-        cuts[key] = list(dict.fromkeys(picked))
-    longest = max(len(c) for c in cuts.values())
-
-    schema = T.StructType([*key_schema, T.StructField("__cuts", T.ArrayType(lead_type)), T.StructField(GROUP_ROWS, T.LongType())])
-    rows = [(*(r[k] for k in by), cuts[tuple(r[k] for k in by)], r[GROUP_ROWS]) for r in hot]
-    table = df.sparkSession.createDataFrame(rows, schema)
+        sample = sample.join(heavy, match, "left_semi")
+    numbered = sample.withColumn("__rn", F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*sort_columns(order))))
+    cuts = numbered.filter(F.col("__rn") % max(1, limit // step) == 0)
+    values = F.struct(*[F.col(n).alias(f"__o{i}") for i, n in enumerate(names)])
+    listed = cuts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("__rn", values.alias("at")))).alias("__cuts"))
+    table = stored(_named(listed.withColumn("__cuts", F.transform("__cuts", lambda c: c["at"])), by), "skew-cuts")
+    longest = table.agg(F.max(F.size("__cuts"))).first()[0]
+    if not longest:
+        return Split(df, by, order)
     if by:
-        tagged = df.join(F.broadcast(table), match([F.col(f) for f in key_schema.names]), "left").drop(*key_schema.names)
+        tagged = df.join(table, match, "left").drop(*heavy.columns)
     else:
-        tagged = df.select("*", table.select("__cuts").scalar().alias("__cuts"), F.lit(hot[0][GROUP_ROWS]).cast("long").alias(GROUP_ROWS))
-    position = search_sorted(F.struct(*lead), F.col("__cuts"), longest)
-    chunk = F.when(F.col("__cuts").isNotNull(), -position if descending else position)
-    tagged = tagged.withColumn(CHUNK, chunk).drop("__cuts")
+        tagged = df.withColumn("__cuts", table.select("__cuts").scalar())
+    row = [(F.col(name), desc) for name, desc in keys]
+    position = search_sorted(values, F.col("__cuts"), longest, lambda cut: at_or_before(cut, row))
+    tagged = tagged.withColumn(CHUNK, F.when(F.col("__cuts").isNotNull(), position)).drop("__cuts")
     return Split(tagged.repartition(*by, CHUNK) if spread else tagged, by, order, hot=True)
 
 
@@ -233,7 +227,6 @@ def salted_join(
     on: Sequence[str] | str,
     how: str = "inner",
     null_safe: bool = False,
-    salts: int = 64,
     profile_left: DataFrame | None = None,
     profile_right: DataFrame | None = None,
     unique_left: bool = False,
@@ -247,9 +240,9 @@ def salted_join(
     the key columns, cheaper than the side itself) is given. ``unique_*`` says a side has
     one row per key. Without heavy keys this is the plain join.
 
-    With some, it is one join on the keys and a salt: rows of a heavy key are spread over
-    ``salts`` values on one side and repeated once per value on the other; all other rows have
-    salt 0. Only rows that stand once may be preserved by an outer join, so unmatched rows of
+    With some, it is one join on the keys and a salt: rows of a heavy key are spread on one side, over
+    as many values as the key holds times the limit, and repeated once per value on the other; all other
+    rows have salt 0. Only rows that stand once may be preserved by an outer join, so unmatched rows of
     a side that is repeated, or of the second side of a full join, are added by an anti join.
     Which keys are split never changes the result, whatever the profile says. Columns of
     ``on`` appear once in the result.
@@ -260,36 +253,34 @@ def salted_join(
         right, unique_right = right.select(*on).distinct(), True
 
     def heavy(side, profile, unique, splittable):
-        if unique or (splittable and profile is None):
-            return []
-        rows = heavy_keys(side if profile is None else profile, on)
-        return rows if null_safe else [r for r in rows if all(r[k] is not None for k in on)]
+        return None if unique or (splittable and profile is None) else heavy_keys(side if profile is None else profile, on)
 
     hot_left = heavy(left, profile_left, unique_left, how in ("inner", "left", "left_semi", "left_anti"))
     hot_right = heavy(right, profile_right, unique_right, how in ("inner", "right"))
-    if not hot_left and not hot_right:
+    hot = [_named(rows, on).withColumn("__side", F.lit(side)) for side, rows in (("l", hot_left), ("r", hot_right)) if rows is not None]
+    if not hot:
         return _join_once(left, right, on, how, null_safe)
 
-    weight: dict[tuple, tuple[int, str]] = {}
-    for side, rows in (("l", hot_left), ("r", hot_right)):
-        for r in rows:
-            key = tuple(r[k] for k in on)
-            if key not in weight or weight[key][0] < r[GROUP_ROWS]:
-                weight[key] = (r[GROUP_ROWS], side)
-    sides = {s for _, s in weight.values()}
-    schema = T.StructType(
-        [*[T.StructField(f"__k{i}", left.schema[k].dataType) for i, k in enumerate(on)], T.StructField("__side", T.StringType())]
-    )
-    table = F.broadcast(left.sparkSession.createDataFrame([(*k, s) for k, (_, s) in weight.items()], schema))
+    # A key that is heavy on both sides is spread on the one that holds more.
+    names = [f"__k{i}" for i in range(len(on))]
+    top = F.max(F.struct(GROUP_ROWS, F.when(F.col("__side") == "l", 1).otherwise(0).alias("first"), "__side")).alias("top")
+    salts = F.ceil(F.col(f"top.{GROUP_ROWS}") / F.lit(hot_rows(left.sparkSession))).cast("int")
+    table = reduce(DataFrame.unionByName, hot).groupBy(*names).agg(top).select(*names, "top.__side", salts.alias("__salts"))
+    if not null_safe:
+        table = table.dropna(subset=names)
+    table = stored(table, "skew-salts")
+    sides = {r[0] for r in table.select("__side").distinct().collect()}
+    if not sides:
+        return _join_once(left, right, on, how, null_safe)
 
     def salted(df, own):
-        cond = null_safe_equal([F.col(k) for k in on], [F.col(f"__k{i}") for i in range(len(on))])
-        tagged = df.join(table, cond, "left").drop(*schema.names[:-1])
+        cond = null_safe_equal([F.col(k) for k in on], [F.col(n) for n in names])
+        tagged = df.join(table, cond, "left").drop(*names)
         # From the row's own values, so that a recomputed task repeats its salts.
-        one = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        one = F.pmod(F.xxhash64(*df.columns), F.col("__salts").cast("long")).cast("int")
+        every = F.sequence(F.lit(0), F.col("__salts") - 1)
         values = F.when(F.col("__side").isNull(), F.array(F.lit(0))).when(F.col("__side") == own, F.array(one)).otherwise(every)
-        return tagged.withColumn("__salt", F.explode(values)).drop("__side")
+        return tagged.withColumn("__salt", F.explode(values)).drop("__side", "__salts")
 
     def once(kind):
         return _join_once(salted(left, "l"), salted(right, "r"), [*on, "__salt"], kind, null_safe).drop("__salt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stepwise.operators import bygroup as bg
 from stepwise.operators.skew import heavy_keys, salted_join, split_groups
+from stepwise.session import HOT_ROWS_CONF
 
 SCHEMA = "k string, k2 int, t int, id int, v int"
 
@@ -194,9 +195,10 @@ def test_salted_join(spark, skew_mode, how, null_safe):
 def test_heavy_keys_found_in_a_sample(spark):
     k = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 5 == 0, F.lit(-1)).otherwise(F.col("id"))
     df = spark.range(300_000).select(k.alias("k"), "id")
-    assert [(r.k, r["__group_rows"]) for r in heavy_keys(df, ["k"], 50_000)] == [(None, 100_000)]
-    assert [(r.k, r["__group_rows"]) for r in heavy_keys(df, ["k"], 20_000)] == [(None, 100_000), (-1, 40_000)]
-    assert heavy_keys(df, ["k"], 150_000) == []
+    found = lambda limit: {(r.k, r["__group_rows"]) for r in heavy_keys(df, ["k"], limit).collect()}
+    assert found(50_000) == {(None, 100_000)}
+    assert found(20_000) == {(None, 100_000), (-1, 40_000)}
+    assert heavy_keys(df, ["k"], 150_000) is None
 
 
 def test_split_frames_spread_over_tasks(spark):
@@ -227,3 +229,27 @@ def test_order_is_required(spark):
     df = spark.createDataFrame([("a", 1)], "k string, v int")
     with pytest.raises(ValueError):
         bg.retain_sum(df, "k", [], {"s": "v"}, "k")
+
+
+def test_thousands_of_heavy_groups_and_mixed_directions(spark):
+    """More heavy keys than any list would hold, and one huge group whose leading order key is constant."""
+    spark.conf.set(HOT_ROWS_CONF, "200")
+    try:
+        many = spark.range(1200 * 250).selectExpr("CAST(id % 1200 AS STRING) AS k", "0 AS t", "CAST(id AS INT) AS id", "1 AS v")
+        huge = spark.range(30_000).selectExpr("'x' AS k", "0 AS t", "CAST(-id AS INT) AS id", "CAST(id % 3 AS INT) AS v")
+        df = many.unionByName(huge)
+        assert heavy_keys(df, ["k"]).count() == 1201
+        split = split_groups(df, ["k"], ["t desc", "id", "v desc"])
+        sizes = [r["n"] for r in split.df.groupBy("k", "__chunk").agg(F.count("*").alias("n")).collect()]
+        chunks = [r["n"] for r in split.df.where("k = 'x'").groupBy("__chunk").agg(F.count("*").alias("n")).collect()]
+        assert max(chunks) < 2 * sum(chunks) / len(chunks) and len(chunks) > 100 and max(sizes) < 500
+        got = bg.retain_sum(df, "k", ["t desc", "id", "v desc"], {"n": 1, "s": "v"}, reset_on="k")
+        checked = got.where("k = 'x'").select("id", "n", "s").collect()
+        running, want = 0, {}
+        for n, i in enumerate(range(29_999, -1, -1), 1):
+            running += i % 3
+            want[-i] = (n, running)
+        assert {r["id"]: (r["n"], r["s"]) for r in checked} == want
+        assert got.where("k <> 'x'").groupBy("k").agg(F.max("n").alias("n"), F.countDistinct("n").alias("d")).where("n <> 250 OR d <> 250").count() == 0
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
