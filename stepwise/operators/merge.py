@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepwise.operators.bygroup import group_size, row_index
-from stepwise.operators.ordering import as_list
-from stepwise.operators.skew import salted_join
+from stepwise.operators.bygroup import neighbours, retain_last, row_index
+from stepwise.operators.ordering import as_list, order_keys, order_names, sort_columns
+from stepwise.operators.skew import heavy_keys, salted_join
 
 # Which join answers each contribution condition.
 KEEP = {
@@ -96,46 +96,53 @@ def _with_flags(df, flags, a, b, other, by) -> DataFrame:
 
 
 def _sequential(left, right, by, how, flags, order_left, order_right, overlay) -> DataFrame:
-    """Row-by-row pairing: row i meets row min(i, size of the other side).
+    """Row-by-row pairing in one pass: both sides are stacked and shuffled by the keys once.
 
-    Rows are numbered per key on each side (heavy keys are numbered in chunks), then
-    joined on key and row number. Left rows look up their partner; right rows beyond
-    the left side's size pair with the left side's last row.
+    Rows are numbered per key and side. In the order of key, number and side, the last row seen
+    of each side is carried along, so that the shorter side's last row is repeated; the last row of
+    a number is the pair. Heavy keys are numbered and carried in chunks.
     """
     common = [c for c in left.columns if c in right.columns and c not in by]
-    l = group_size(row_index(left, by, order_left, "__rn", 1), by, "__n")
-    r = group_size(row_index(right, by, order_right, "__rn", 1), by, "__n")
-    l = l.select(*by, *[F.col(c).alias(f"__l_{c}") if c in common else F.col(c) for c in left.columns if c not in by],
-                 F.col("__rn").alias("__lrn"), F.col("__n").alias("__ln"), F.lit(1).alias("__in_a"))
-    r = r.select(*by, *[F.col(c).alias(f"__b_{c}") if c in common else F.col(c) for c in right.columns if c not in by],
-                 F.col("__rn").alias("__rrn"), F.col("__n").alias("__rn_size"), F.lit(1).alias("__in_b"))
-    l_sizes = left.groupBy(*by).agg(F.count(F.lit(1)).alias("__other"))
-    r_sizes = right.groupBy(*by).agg(F.count(F.lit(1)).alias("__other"))
-
-    ahead = salted_join(l, r_sizes, by, "left", null_safe=True, unique_right=True)
-    ahead = ahead.withColumn("__at", F.least("__lrn", "__other"))
-    partner = r.withColumn("__at", F.col("__rrn"))
-    a_how = "inner" if how in ("inner", "right") else "left"
-    a_part = salted_join(ahead, partner, [*by, "__at"], a_how, null_safe=True, unique_right=True)
-
-    rest = salted_join(r, l_sizes, by, "left", null_safe=True, unique_right=True)
-    rest = rest.filter(F.col("__rrn") > F.coalesce(F.col("__other"), F.lit(0))).withColumn("__at", F.col("__other"))
-    last_left = l.filter(F.col("__lrn") == F.col("__ln")).withColumn("__at", F.col("__lrn"))
-    b_how = "inner" if how in ("inner", "left") else "left"
-    b_part = salted_join(rest, last_left, [*by, "__at"], b_how, null_safe=True, unique_right=True)
+    sides = ((left, order_left, "__a", 0), (right, order_right, "__b", 1))
+    stacked, sort = None, ["__side"]
+    for frame, order, name, side in sides:
+        rest = F.struct(F.lit(1).alias("__in"), *[F.col(c) for c in frame.columns if c not in by]).alias(name)
+        keys = [F.col(n).alias(f"__s{side}_{i}") for i, n in enumerate(order_names(order))]
+        sort += [f"__s{side}_{i}" + (" desc" if desc else "") for i, (_, desc) in enumerate(order_keys(order))]
+        part = frame.select(*by, F.lit(side).alias("__side"), *keys, rest)
+        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
+    pair = ["__rn", "__side"]
+    if heavy_keys(stacked, by) is None:
+        numbered = stacked.repartition(*by) if by else stacked
+        numbered = numbered.withColumn("__rn", F.row_number().over(Window.partitionBy(*by, "__side").orderBy(*sort_columns(sort))))
+        whole = Window.partitionBy(*by).orderBy(*pair)
+        seen = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        carried = numbered.select(
+            *by, *pair, *[F.last(c, ignorenulls=True).over(seen).alias(c) for c in ("__a", "__b")], F.lead("__rn").over(whole).alias("__next")
+        )
+    else:
+        numbered = row_index(stacked, [*by, "__side"], sort, "__rn", 1).select(*by, *pair, "__a", "__b")
+        carried = neighbours(retain_last(numbered, by, pair, ["__a", "__b"]), by, pair, {"__next": ("__rn", -1)})
+    pairs = carried.filter(F.col("__next").isNull() | (F.col("__next") != F.col("__rn")))
+    needed = {"inner": ("__a", "__b"), "left": ("__a",), "right": ("__b",)}.get(how, ())
+    for side in needed:
+        pairs = pairs.filter(F.col(side).isNotNull())
 
     # Of a common column, the side read last for the pair has its say: the left one
     # once the right side has run out, the right one otherwise.
-    late_left = F.col("__in_b").isNull() | (F.col("__lrn") > F.coalesce(F.col("__rn_size"), F.lit(0)))
-    cols = {c: F.when(F.col("__in_a").isNotNull() & late_left, F.col(f"__l_{c}")).otherwise(F.col(f"__b_{c}")) for c in common}
-    if overlay == "left":
-        cols = {c: F.when(F.col("__in_a").isNotNull(), F.col(f"__l_{c}")).otherwise(F.col(f"__b_{c}")) for c in common}
-    names = [cols[c].alias(c) if c in cols else F.col(c) for c in left.columns]
-    names += [F.col(c) for c in right.columns if c not in left.columns]
+    from_left = F.col("__a").isNotNull() if overlay == "left" else F.col("__side") == 0
+
+    def column(c):
+        if c in by:
+            return F.col(c)
+        if c in common:
+            return F.when(from_left, F.col(f"__a.`{c}`")).otherwise(F.col(f"__b.`{c}`")).alias(c)
+        return F.col(f"__a.`{c}`" if c in left.columns else f"__b.`{c}`").alias(c)
+
+    names = [column(c) for c in [*left.columns, *[c for c in right.columns if c not in left.columns]]]
     if flags:
-        names += [F.coalesce(F.col(m), F.lit(0)).alias(n) for m, n in zip(("__in_a", "__in_b"), flags)]
-    b_cols = [c for c in a_part.columns if c in b_part.columns]
-    return a_part.select(*b_cols).unionByName(b_part.select(*b_cols)).select(*names)
+        names += [F.col(side).isNotNull().cast("int").alias(flag) for side, flag in zip(("__a", "__b"), flags)]
+    return pairs.select(*names)
 
 
 def merge_many(
@@ -143,19 +150,43 @@ def merge_many(
     by: Sequence[str] | str,
     keep: Callable[..., Column] | None = None,
     flags: Sequence[str] | None = None,
+    unique: bool | Sequence[bool] = False,
 ) -> DataFrame:
     """Merge any number of tables; ``keep`` gets one boolean Column per table.
 
     Later tables overlay earlier ones. ``merge_many([a, b, c], "id", lambda a, b, c: a & ~c)``.
+    ``unique`` says which tables have one row per key: they are stacked and reduced in one shuffle,
+    and a key that does repeat there is an error. The others are joined, each row with all of its key.
     """
     by = as_list(by)
-    names = [f"__in{i}" for i in range(len(tables))]
-    out = tables[0].withColumn(names[0], F.lit(1))
-    for name, table in zip(names[1:], tables[1:]):
-        out = merge_by(out, table.withColumn(name, F.lit(1)), by)
-    present = [F.coalesce(F.col(n) == 1, F.lit(False)) for n in names]
+    single = [unique] * len(tables) if isinstance(unique, bool) else list(unique)
+    names = [f"__t{i}" for i in range(len(tables))]
+    held = [t.select(*by, F.struct(F.lit(1).alias("__in"), *[F.col(c) for c in t.columns if c not in by]).alias(n)) for t, n in zip(tables, names)]
+    stacked = [(n, h) for n, h, one in zip(names, held, single) if one]
+    out = None
+    if stacked:
+        union = stacked[0][1]
+        for _, other in stacked[1:]:
+            union = union.unionByName(other, allowMissingColumns=True)
+        reduced = [F.first(n, ignorenulls=True).alias(n) for n, _ in stacked]
+        most = F.greatest(*[F.count(n) for n, _ in stacked], F.lit(1))
+        out = union.groupBy(*by).agg(*reduced, most.alias("__most"))
+        out = out.filter(F.when(F.col("__most") > 1, F.raise_error(F.lit("a table said to have unique keys repeats one"))).otherwise(True)).drop("__most")
+    for frame in (h for h, one in zip(held, single) if not one):
+        out = frame if out is None else merge_by(out, frame, by)
+    present = [F.col(n).isNotNull() for n in names]
     if keep is not None:
         out = out.filter(keep(*present))
-    if flags:
-        out = out.select("*", *[p.cast("int").alias(f) for p, f in zip(present, flags)])
-    return out.drop(*names)
+    columns = list(dict.fromkeys(c for t in tables for c in t.columns))
+
+    def column(c):
+        if c in by:
+            return F.col(c)
+        value = None
+        for n, here, table in zip(names, present, tables):  # the last one that contributed, even with a missing value
+            if c in table.columns:
+                value = F.when(here, F.col(f"{n}.`{c}`")) if value is None else F.when(here, F.col(f"{n}.`{c}`")).otherwise(value)
+        return value.alias(c)
+
+    marks = [p.cast("int").alias(f) for p, f in zip(present, flags)] if flags else []
+    return out.select(*[column(c) for c in columns], *marks)

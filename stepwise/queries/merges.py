@@ -78,9 +78,9 @@ def _suppliers(t):
     "merge_overlay",
     """
     WITH a AS (SELECT c_nationkey AS nation, count(*) AS parties, max(c_acctbal) AS best, min(c_custkey) AS first_customer
-                 FROM customer WHERE c_acctbal > 9900 GROUP BY 1),
-         b AS (SELECT s_nationkey AS nation, count(*) AS parties, CASE WHEN max(s_acctbal) > 9000 THEN max(s_acctbal) END AS best,
-                 min(s_suppkey) AS first_supplier FROM supplier WHERE s_acctbal > 5000 GROUP BY 1)
+                 FROM customer GROUP BY 1),
+         b AS (SELECT (s_nationkey * 7) % 30 AS nation, count(*) AS parties, CASE WHEN max(s_acctbal) > 9000 THEN max(s_acctbal) END AS best,
+                 min(s_suppkey) AS first_supplier FROM supplier GROUP BY 1)
     SELECT coalesce(a.nation, b.nation) AS nation, CASE WHEN b.nation IS NOT NULL THEN b.parties ELSE a.parties END AS parties,
       CASE WHEN b.nation IS NOT NULL THEN b.best ELSE a.best END AS best, first_customer, first_supplier
     FROM a FULL JOIN b ON a.nation = b.nation
@@ -88,10 +88,13 @@ def _suppliers(t):
 )
 def merge_overlay(t):
     """A matched NULL on the right overwrites the left value."""
-    left = t.customer.filter("c_acctbal > 9900").groupBy(F.col("c_nationkey").alias("nation")).agg(
+    left = t.customer.groupBy(F.col("c_nationkey").alias("nation")).agg(
         F.count(F.lit(1)).alias("parties"), F.max("c_acctbal").alias("best"), F.min("c_custkey").alias("first_customer")
     )
-    right = _suppliers(t).withColumn("best", F.when(F.col("best") > 9000, F.col("best")))
+    top = F.max("s_acctbal")
+    right = t.supplier.groupBy((F.col("s_nationkey") * 7 % 30).alias("nation")).agg(
+        F.count(F.lit(1)).alias("parties"), F.when(top > 9000, top).alias("best"), F.min("s_suppkey").alias("first_supplier")
+    )
     return merge_by(left, right, "nation")
 
 
@@ -127,7 +130,31 @@ def merge_three(t):
     a = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n_orders"))
     b = t.events.groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n_events"))
     c = t.customer.select((F.col("c_custkey") + 40).cast("long").alias("k"), "c_acctbal")
-    return merge_many([a, b, c], "k", lambda x, y, z: (x & ~y) | z, ["in_a", "in_b", "in_c"])
+    return merge_many([a, b, c], "k", lambda x, y, z: (x & ~y) | z, ["in_a", "in_b", "in_c"], unique=True)
+
+
+@query(
+    "merge_five",
+    """
+    WITH a AS (SELECT o_custkey AS k, count(*) AS n, max(o_totalprice) AS top FROM orders GROUP BY 1),
+         b AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1),
+         c AS (SELECT c_custkey + 40 AS k, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS top FROM customer),
+         d AS (SELECT s_suppkey AS k, s_name AS name FROM supplier),
+         e AS (SELECT l_suppkey AS k, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT k, CASE WHEN e.k IS NOT NULL THEN e.n WHEN b.k IS NOT NULL THEN b.n ELSE a.n END AS n,
+      CASE WHEN c.k IS NOT NULL THEN c.top ELSE a.top END AS top, name
+    FROM a FULL JOIN b USING (k) FULL JOIN c USING (k) FULL JOIN d USING (k) FULL JOIN e USING (k)
+    WHERE a.k IS NOT NULL OR e.k IS NULL
+    """,
+)
+def merge_five(t):
+    """Five tables in one stacked shuffle; later ones overlay, also with missing values."""
+    a = t.orders.groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("top"))
+    b = t.events.groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    c = t.customer.select((F.col("c_custkey") + 40).cast("long").alias("k"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("top"))
+    d = t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
+    e = t.lineitem.groupBy(F.col("l_suppkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return merge_many([a, b, c, d, e], "k", lambda a, b, c, d, e: a | ~e, unique=True)
 
 
 @query(

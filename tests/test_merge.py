@@ -114,3 +114,41 @@ def test_group_size_counts_the_frame(spark, skew_mode):
     wide = spark.createDataFrame([(1, i) for i in range(10)] + [(2, 1), (None, 1)], "k long, v long")
     got = group_size(wide.where("v < 5"), "k", profile=wide).collect()
     assert sorted(((r["k"], r["group_size"]) for r in got), key=repr) == sorted([(1, 5)] * 5 + [(2, 1), (None, 1)], key=repr)
+
+
+@pytest.mark.parametrize("unique", [False, True, (True, False, True, True)])
+def test_many_tables_in_one_pass(spark, unique):
+    rnd = random.Random(4)
+    tables, plain = [], []
+    for i in range(4):
+        rows = {k: (rnd.choice([None, i * 10 + 1]), f"{i}{k}") for k in [None, *range(8)] if rnd.random() < 0.6}
+        plain.append(rows)
+        tables.append(spark.createDataFrame([(k, *v) for k, v in rows.items()], f"k int, x int, y{i} string"))
+    got = merge_many(tables, "k", lambda a, b, c, d: a | ~d, ["a", "b", "c", "d"], unique)
+    want = []
+    for k in {k for p in plain for k in p}:
+        here = [k in p for p in plain]
+        if here[0] or not here[3]:
+            x = [p[k][0] for p in plain if k in p][-1]
+            ys = [p[k][1] if k in p else None for p in plain]
+            want.append((k, x, *ys, *map(int, here)))
+    rows = [(g.k, g.x, g.y0, g.y1, g.y2, g.y3, g.a, g.b, g.c, g.d) for g in got.collect()]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+
+
+def test_repeated_key_of_a_unique_table(spark):
+    once = spark.createDataFrame([(1, "a")], "k int, x string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, y string")
+    with pytest.raises(Exception, match="repeats"):
+        merge_many([once, twice], "k", unique=True).collect()
+    assert sorted(r.y for r in merge_many([once, twice], "k", unique=(True, False)).collect()) == ["b", "c"]
+
+
+def test_one_scan_and_one_shuffle_per_sequential_merge(spark, tmp_path):
+    for name in ("l", "r"):
+        spark.range(50).selectExpr("id % 7 AS k", f"id AS {name}").write.parquet(str(tmp_path / name))
+    l, r = (spark.read.parquet(str(tmp_path / n)) for n in ("l", "r"))
+    plan = merge_by(l, r, "k", pairing="sequential", order_left=["l"], order_right=["r desc"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange ") == 1
+    many = merge_many([l.groupBy("k").count(), r.groupBy("k").max("r")], "k", unique=True)
+    assert many.count() == 7
