@@ -1,11 +1,17 @@
-"""Removal of line passages that occur elsewhere.
+"""Removal of line passages that occur elsewhere, by content-defined chunks.
 
-Lines are the ``\\n``-split parts of a text. Two kinds of ranges are looked up: windows from
-each line with a word to the next such line, and content-defined chunks, where a line whose
-own hash has zero low bits ends a chunk, whatever stands before it. A range that occurs
-again is removed from every document but the one with the smallest id, where its first
-occurrence stays. As every passage with two or more such lines is a chain of windows, all of
-it goes, wherever it starts and whatever stands beside it; what overlaps is one run.
+Lines are the ``\\n``-split parts of a text. A rolling hash over the hashes of the last ``SPAN`` lines
+ends a chunk where its low bits are zero, so that equal passages are cut alike from their ``SPAN``-th
+line on, wherever they start and whatever stands beside them. A chunk with two or more filled lines
+that occurs again is removed from every document but the one with the smallest id, where its
+first occurrence stays.
+
+Chunks leave the edges of a passage, and passages shorter than a chunk. These are found by windows
+from each filled line to the next, in a second search: a window inside a chunk that is removed is not
+looked up, so a passage that thousands of documents share sends its windows once, from the document
+where it stays, and else only the few at its edges. Every passage with two or more filled lines is a chain
+of chunks and windows, so all of it goes; what overlaps is one run. A run with fewer than ``LEAST_WORDS``
+words stays: a signature or a heading of a few words is no passage.
 
 Hashes only bring equal ranges together: those whose hash occurs twice are grouped by their
 bytes, and a hash that stands for different bytes removes nothing.
@@ -19,43 +25,59 @@ replaces.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepwise.llm.common import slices
 from stepwise.session import stored
 
-#: Lines with a word in a window.
+#: Filled lines in a window.
 WINDOW = 2
-#: One line in so many ends a chunk.
-EVERY = 2
+#: Lines that decide about a boundary, and one place in so many is one.
+SPAN, EVERY = 2, 4
+#: A run of removed lines with fewer words stays.
+LEAST_WORDS = 10
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _ALL = (1 << 64) - 1
 _NO_ID = -(1 << 63)
 
 
 def cut(lines: list[str]) -> list[tuple[int, int]]:
-    """Content-defined chunks as ranges of line numbers; a line alone decides whether it ends one."""
-    found, start = [], 0
-    for i, line in enumerate(lines, 1):
-        if i == len(lines) or (xxhash.xxh64_intdigest(line) >> 40) % EVERY == 0:
-            found.append((start, i))
-            start = i
-    return found
-
-
-def chunks(text: str) -> list[tuple[int, int, str]]:
-    """The ranges that may be removed, windows and longer chunks: line range and text."""
+    """Content-defined chunks as ranges of line numbers."""
+    hashes = np.array([xxhash.xxh64_intdigest(line) for line in lines], np.uint64)
+    rolled = hashes.copy()
+    with np.errstate(over="ignore"):
+        for back in range(1, min(SPAN, len(lines))):  # lines further back weigh more powers of the base
+            rolled[back:] += hashes[:-back] * _BASE ** np.uint64(back)
+        rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    ends = np.flatnonzero((rolled >> np.uint64(33)) % np.uint64(EVERY) == 0) + 1
+    edges = sorted({0, *ends.tolist(), len(lines)})
+    return list(zip(edges, edges[1:]))
+
+
+def ranges(text: str, split: Callable[[list[str]], list[tuple[int, int]]] = cut) -> tuple[list[str], list[tuple[int, int]], list[tuple[int, int, tuple[int, int] | None]]]:
+    """Lines, chunks of ``WINDOW`` filled lines or more, and windows with the chunk that holds each, if one does."""
     lines = text.split("\n")
-    if len(lines) < WINDOW:
-        return []
-    filled = [bool(line.strip()) for line in lines]
-    at = [i for i, f in enumerate(filled) if f]
-    ranges = [(a, b + 1) for a, b in zip(at, at[WINDOW - 1 :])]
-    ranges += [(a, b) for a, b in cut(lines) if sum(filled[a:b]) > WINDOW]
-    return [(a, b, "\n".join(lines[a:b])) for a, b in ranges]
+    at = [i for i, line in enumerate(lines) if line.strip()]
+    if len(at) < WINDOW:
+        return lines, [], []
+    chunks = []
+    for a, b in split(lines):
+        if bisect_left(at, b) - bisect_left(at, a) >= WINDOW:
+            chunks.append((a, b))
+    windows = []
+    starts = [a for a, _ in chunks]
+    for a, last in zip(at, at[WINDOW - 1 :]):
+        home = bisect_right(starts, a) - 1
+        inside = home >= 0 and last < chunks[home][1]
+        windows.append((a, last + 1, chunks[home] if inside else None))
+    return lines, chunks, windows
 
 
 def _halves(chunk: str) -> tuple[int, int]:
@@ -68,18 +90,13 @@ def _smaller(a: int | None, b: int | None) -> int | None:
 
 
 def _entries(batches):
-    """One row per distinct range of a slice: smallest id and number of places. With a column ``ranges``, of those alone."""
+    """One row per distinct text of the chosen ranges of a slice: smallest id and number of places."""
     for part in slices(batches, "text"):
         seen: dict[str, list] = {}
-        chosen = part.column("ranges").to_pylist() if "ranges" in part.schema.names else None
-        for i, (ident, text) in enumerate(zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist())):
-            if chosen is None:
-                found = [chunk for _, _, chunk in chunks(text)]
-            else:
-                lines = text.split("\n")
-                found = ["\n".join(lines[r["a"] : r["b"]]) for r in chosen[i]]
-            for chunk in found:
-                entry = seen.setdefault(chunk, [ident, 0])
+        for ident, text, chosen in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "ranges"))):
+            lines = text.split("\n")
+            for r in chosen:
+                entry = seen.setdefault("\n".join(lines[r["a"] : r["b"]]), [ident, 0])
                 entry[0] = _smaller(entry[0], ident)
                 entry[1] += 1
         rows = [(*_halves(chunk), chunk, *e) for chunk, e in seen.items()]
@@ -88,34 +105,79 @@ def _entries(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["h1", "h2", "chunk", "first_id", "places"])
 
 
-def _members(batches):
-    """One row per range of a document that may be removed, and whether an equal one ends before it."""
-    for part in slices(batches, "text"):
-        rows = []
-        for ident, key, text in zip(*(part.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
-            ends: dict[str, int] = {}
-            for a, b, chunk in chunks(text):
-                rows.append((ident, key, *_halves(chunk), a, b, ends.setdefault(chunk, b) <= a))
-        cols = list(zip(*rows)) if rows else [()] * 7
-        kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.bool_()]
-        names = ["doc_id", "text_key", "h1", "h2", "a", "b", "again"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+_RANGE = "doc_id long, text_key long, h1 long, h2 long, a int, b int, again boolean"
+_HOME = ", c1 long, c2 long, c_again boolean"
+
+
+def _members(windows: bool, split: Callable = cut):
+    """One row per chunk, or per window, of a document, and whether an equal one ends before it.
+
+    A window also has the hash of the chunk that holds it, and whether that one stands before.
+    """
+    names = [f.split()[0] for f in (_RANGE + (_HOME if windows else "")).split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.int32(), pa.bool_()] + ([pa.int64(), pa.int64(), pa.bool_()] if windows else [])
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            rows = []
+            for ident, key, text in zip(*(part.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
+                lines, chunks, pairs = ranges(text, split)
+                homes, ends = {}, {}
+                for a, b in chunks:
+                    chunk = "\n".join(lines[a:b])
+                    homes[a, b] = (*_halves(chunk), ends.setdefault(chunk, b) <= a)
+                    if not windows:
+                        h1, h2, again = homes[a, b]
+                        rows.append((ident, key, h1, h2, a, b, again))
+                if windows:
+                    ends = {}
+                    for a, b, home in pairs:
+                        chunk = "\n".join(lines[a:b])
+                        rows.append((ident, key, *_halves(chunk), a, b, ends.setdefault(chunk, b) <= a, *homes.get(home, (None,) * 3)))
+            cols = list(zip(*rows)) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+
+    return run
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """Ranges that stand in two places or more: h1, h2, first_id. ``docs`` has doc_id, text and maybe the ``ranges`` to look at."""
-    columns = ["doc_id", "text"] + ["ranges"] * ("ranges" in docs.columns)
-    entries = docs.select(*columns).mapInArrow(_entries, "h1 long, h2 long, chunk string, first_id long, places long")
-    by_bytes = entries.repartition("h1", "h2").groupBy("h1", "h2", "chunk").agg(
-        F.min("first_id").alias("first_id"), F.sum("places").alias("places")
-    )
+    """Ranges that stand in two places or more: h1, h2, first_id. ``docs`` has doc_id, text and the ``ranges`` to look at."""
+    entries = docs.select("doc_id", "text", "ranges").mapInArrow(_entries, "h1 long, h2 long, chunk string, first_id long, places long")
+    by_bytes = entries.groupBy("h1", "h2", "chunk").agg(F.min("first_id").alias("first_id"), F.sum("places").alias("places"))
     by_hash = by_bytes.groupBy("h1", "h2").agg(
         F.count("*").alias("texts"), F.min("first_id").alias("first_id"), F.sum("places").alias("places")
     )
     return by_hash.where("texts = 1 AND places > 1").select("h1", "h2", "first_id")
 
 
-def _apply(schema_names: list[str], text: str, counts: bool):
+def _owner() -> tuple:
+    return F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id"), F.col("text_key").alias("__key")
+
+
+def _elsewhere(first: str, ident) -> Column:
+    return F.col(first).isNotNull() & ((ident == _NO_ID) | (F.col(first) < ident))
+
+
+def _search(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ranges that repeat (h1, h2, first_id), and the places to remove (__id, __key, a, b)."""
+    twice = members.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    likely = members.join(twice, ["h1", "h2"]).groupBy(*_owner()).agg(F.collect_set(F.struct("a", "b", "h1", "h2", "again")).alias("ranges"))
+    likely = stored(likely, "line-ranges")
+    repeated = stored(repeated_chunks(rows.withColumns(dict(zip(("__id", "__key"), _owner()))).join(likely, ["__id", "__key"])), "line-chunks")
+    removed = likely.select("__id", "__key", F.inline("ranges")).join(repeated, ["h1", "h2"])
+    return repeated, removed.where(F.col("again") | _elsewhere("first_id", F.col("__id"))).select("__id", "__key", "a", "b")
+
+
+def window_members(rows: DataFrame, repeated: DataFrame, split: Callable = cut) -> DataFrame:
+    """Windows to look up: those that lie in a chunk that is removed are left out."""
+    known = repeated.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("first_id").alias("__first"), F.lit(True).alias("__found"))
+    ident = F.coalesce("doc_id", F.lit(_NO_ID))
+    gone = F.coalesce(F.col("__found") & (F.col("c_again") | _elsewhere("__first", ident)), F.lit(False))
+    found = rows.mapInArrow(_members(True, split), _RANGE + _HOME).join(known, ["c1", "c2"], "left")
+    return found.where(~gone).select(*(f.split()[0] for f in _RANGE.split(", ")))
+
+
+def _apply(schema_names: list[str], text: str, counts: bool, least_words: int):
     def run(batches):
         for part in slices(batches, text):
             values, removed, lines_removed = part.column(text).to_pylist(), part.column("__ranges").to_pylist(), []
@@ -127,6 +189,10 @@ def _apply(schema_names: list[str], text: str, counts: bool):
                     keep = np.ones(len(lines), bool)
                     for r in ranges:
                         keep[r["a"] : r["b"]] = False
+                    edges = np.flatnonzero(np.diff(keep.astype(np.int8), prepend=1, append=1))
+                    for a, b in edges.reshape(-1, 2).tolist():
+                        if sum(len(line.split()) for line in lines[a:b]) < least_words:
+                            keep[a:b] = True
                     count = int((~keep).sum())
                     runs[i] = count and int((np.diff(keep.astype(np.int8), prepend=1) < 0).sum())
                     values[i] = "\n".join(line for line, k in zip(lines, keep) if k)
@@ -146,33 +212,21 @@ def _apply(schema_names: list[str], text: str, counts: bool):
     return run
 
 
-def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
+def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without repeated passages; with ``counts`` also ``chunks_removed`` (runs of removed lines) and ``lines_removed``.
 
-    Hashes are counted first. Texts go through two shuffles, to the ranges whose hash occurs
-    twice, of which alone the bytes are compared, and to their removals. A range that a third
-    of the documents share is one row per slice in the comparison and a splittable join side
-    in the steps between.
+    Hashes are counted first, chunks and then windows. Of ranges whose hash occurs twice alone the
+    bytes are compared. A range that a third of the documents share is one row per slice in the
+    comparison, reduced before the shuffle, and a splittable join side in the steps between.
     """
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), filled.alias("text"), F.xxhash64(filled).alias("text_key"))
-    members = rows.mapInArrow(_members, "doc_id long, text_key long, h1 long, h2 long, a int, b int, again boolean")
-    twice = members.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    owner = F.coalesce("doc_id", F.lit(_NO_ID)).alias("__id"), F.col("text_key").alias("__key")
-    likely = members.join(twice, ["h1", "h2"]).groupBy(*owner).agg(F.collect_set(F.struct("a", "b", "h1", "h2", "again")).alias("ranges"))
-    likely = stored(likely, "line-ranges")
-    repeated = stored(repeated_chunks(rows.withColumns(dict(zip(("__id", "__key"), owner))).join(likely, ["__id", "__key"])), "line-chunks")
-    elsewhere = F.col("first_id").isNotNull() & ((F.col("__id") == _NO_ID) | (F.col("first_id") < F.col("__id")))
-    removed = (
-        likely.select("__id", "__key", F.inline("ranges"))
-        .join(repeated, ["h1", "h2"])
-        .where(F.col("again") | elsewhere)
-        .groupBy("__id", "__key")
-        .agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
-    )
+    repeated, chunks = _search(rows, rows.mapInArrow(_members(False), _RANGE))
+    _, windows = _search(rows, window_members(rows, repeated))
+    removed = chunks.unionByName(windows).groupBy("__id", "__key").agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
     keyed = docs.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID))).withColumn("__key", F.xxhash64(filled))
     added = ["chunks_removed", "lines_removed"] if counts else []
     columns = [c for c in docs.columns if c.lower() not in added]
     schema = docs.select(*columns, *(F.lit(0).cast("long").alias(c) for c in added)).schema
     joined = keyed.join(removed, ["__id", "__key"], "left").select(*columns, "__ranges")
-    return joined.mapInArrow(_apply([*columns, *added], text, counts), schema)
+    return joined.mapInArrow(_apply([*columns, *added], text, counts, least_words), schema)

@@ -143,11 +143,19 @@ def test_update_index(spark):
     assert sorted((r["n_rows"], r["best_length"]) for r in after.collect()) == [(1, 1), (2, 1)]
 
 
-def plain_clean(rows):
-    """First document of each multi-line chunk, then removal everywhere else."""
+def plain_clean(rows, least=line_dedup.LEAST_WORDS):
+    """Each pair of neighbouring filled lines and each chunk goes where it stood before; runs of few words stay."""
+
+    def found(t):
+        lines = (t or "").split("\n")
+        at = [n for n, x in enumerate(lines) if x.strip()]
+        both = [(a, b + 1) for a, b in zip(at, at[1:])]
+        both += [(a, b) for a, b in line_dedup.cut(lines) if sum(a <= n < b for n in at) > 1]
+        return lines, [(a, b, "\n".join(lines[a:b])) for a, b in both]
+
     first = {}
     for i, t in rows:
-        for _, _, c in line_dedup.chunks(t or ""):
+        for _, _, c in found(t)[1]:
             key = (i is None, i or 0)
             first[c] = min(first.get(c, key), key)
     out = []
@@ -155,27 +163,56 @@ def plain_clean(rows):
         if t is None:
             out.append((i, None, 0))
             continue
-        lines, seen, gone = t.split("\n"), set(), set()
-        for a, b, c in line_dedup.chunks(t):
-            if c in seen or (first[c] < (i is None, i or 0) and not first[c][0]):
+        (lines, places), ends, gone = found(t), {}, set()
+        for a, b, c in sorted(places):
+            if ends.setdefault(c, b) <= a or (first[c] < (i is None, i or 0) and not first[c][0]):
                 gone |= set(range(a, b))
-            seen.add(c)
+        for n in sorted(gone):
+            run = [n]
+            while run[-1] + 1 in gone:
+                run.append(run[-1] + 1)
+            if n - 1 not in gone and sum(len(lines[k].split()) for k in run) < least:
+                gone -= set(run)
         out.append((i, "\n".join(x for n, x in enumerate(lines) if n not in gone), len(gone)))
     return sorted(out, key=repr)
 
 
-def test_clean_lines(spark):
-    got = rows_of(line_dedup.clean_lines(frame(spark, extra=True)), "doc_id", "text", "lines_removed")
-    assert got == plain_clean(odd_rows())
+@pytest.mark.parametrize("least", [0, line_dedup.LEAST_WORDS])
+def test_clean_lines(spark, least):
+    got = rows_of(line_dedup.clean_lines(frame(spark, extra=True), least_words=least), "doc_id", "text", "lines_removed")
+    assert got == plain_clean(odd_rows(), least)
     assert line_dedup.clean_lines(frame(spark, [])).count() == 0
     assert line_dedup.clean_lines(frame(spark, extra=True), counts=False).columns == frame(spark, extra=True).columns
 
 
+def test_boundaries_synchronise_after_span_lines():
+    shared = prose(3, 900, 90).split("\n")
+    one, two = (line_dedup.cut(prose(n, 60, 7 + n).split("\n") + shared) for n in (1, 5))
+    edges = lambda found, before: {a - before for a, _ in found if a - before >= line_dedup.SPAN}
+    assert edges(one, 8) == edges(two, 12) and len(edges(one, 8)) > 15
+
+
+def test_chunks_carry_the_work(spark):
+    """A long passage of many documents: without chunks each of them looks up all its windows."""
+    passage = prose(70, 800, 80)
+    rows = [(n, f"{prose(100 + n, 30, 3)}\n{passage}\n{prose(300 + n, 30, 3)}") for n in range(30)]
+    docs = frame(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) AS text_key")
+
+    def looked_up(split):
+        repeated, removed = line_dedup._search(docs, docs.mapInArrow(line_dedup._members(False, split), line_dedup._RANGE))
+        return line_dedup.window_members(docs, repeated, split).count(), removed.count()
+
+    windows, chunks = looked_up(line_dedup.cut)
+    assert chunks > 29 * 8 and windows < 0.5 * 30 * 80
+    windows, chunks = looked_up(lambda lines: [])
+    assert chunks == 0 and windows > 30 * 80
+
+
 def test_a_shifted_passage_is_found(spark):
     passage = prose(7, 300, 30)
     rows = [(1, prose(8, 50, 5) + "\n" + passage), (2, prose(9, 90, 7) + "\n" + passage + "\n" + prose(10, 30, 3))]
     left = {r["doc_id"]: r["lines_removed"] for r in line_dedup.clean_lines(frame(spark, rows)).collect()}
-    assert left[1] == 0 and left[2] >= 24
+    assert left == {1: 0, 2: 30}
 
 
 def plain_passages(rows):
@@ -213,14 +250,14 @@ def test_short_passages_are_found(spark):
 
 def test_passages_that_overlap_themselves_stay(spark):
     rows = [(1, "x y\nx y\nx y"), (2, "a b\nc d\na b\nc d\na b"), (3, "e f\nx y\nx y\nx y\nx y\ng h")]
-    left = {r["doc_id"]: r["text"] for r in line_dedup.clean_lines(frame(spark, rows)).collect()}
+    left = {r["doc_id"]: r["text"] for r in line_dedup.clean_lines(frame(spark, rows), least_words=0).collect()}
     assert left == {1: "x y\nx y\nx y", 2: "a b\nc d", 3: "e f\ng h"}
 
 
 def test_a_hash_of_different_chunks_removes_nothing(spark, monkeypatch):
     rows = [(1, "a b\nc d"), (2, "e f\ng h"), (3, "e f\ng h")]
     monkeypatch.setattr(line_dedup, "_halves", lambda chunk: (1, 1))
-    df = frame(spark, rows).coalesce(1)
+    df = frame(spark, rows).coalesce(1).selectExpr("*", "array(named_struct('a', 0, 'b', 2)) AS ranges")
     entries = list(line_dedup._entries(df.toArrow().to_batches()))
     assert len(entries[0]) == 2 and set(entries[0].column("h1").to_pylist()) == {1}
     monkeypatch.setattr(line_dedup, "_entries", lambda batches: iter(entries))
