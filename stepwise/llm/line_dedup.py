@@ -158,18 +158,18 @@ def _elsewhere(first: str, ident) -> Column:
     return F.col(first).isNotNull() & ((ident == _NO_ID) | (F.col(first) < ident))
 
 
-def _search(rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ranges that repeat (h1, h2, first_id), and the places to remove (__id, __key, a, b)."""
-    twice = members.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    likely = members.join(twice, ["h1", "h2"]).groupBy(*_owner()).agg(F.collect_set(F.struct("a", "b", "h1", "h2", "again")).alias("ranges"))
-    likely = stored(likely, "line-ranges")
-    repeated = stored(repeated_chunks(rows.withColumns(dict(zip(("__id", "__key"), _owner()))).join(likely, ["__id", "__key"])), "line-chunks")
-    removed = likely.select("__id", "__key", F.inline("ranges")).join(repeated, ["h1", "h2"])
-    return repeated, removed.where(F.col("again") | _elsewhere("first_id", F.col("__id"))).select("__id", "__key", "a", "b")
+def chunk_hashes(members: DataFrame) -> DataFrame:
+    """Chunks whose hash occurs twice: h1, h2, first_id."""
+    counted = members.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
+    return stored(counted.where("n > 1").drop("n"), "line-hashes")
 
 
 def window_members(rows: DataFrame, repeated: DataFrame, split: Callable = cut) -> DataFrame:
-    """Windows to look up: those that lie in a chunk that is removed are left out."""
+    """Windows to look up: those that lie in a chunk whose hash stands before are left out.
+
+    The chunk goes once its bytes were compared. Should they differ, which takes two texts of one 128-bit
+    hash, its windows stay with it.
+    """
     known = repeated.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.col("first_id").alias("__first"), F.lit(True).alias("__found"))
     ident = F.coalesce("doc_id", F.lit(_NO_ID))
     gone = F.coalesce(F.col("__found") & (F.col("c_again") | _elsewhere("__first", ident)), F.lit(False))
@@ -215,15 +215,22 @@ def _apply(schema_names: list[str], text: str, counts: bool, least_words: int):
 def clean_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True, least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without repeated passages; with ``counts`` also ``chunks_removed`` (runs of removed lines) and ``lines_removed``.
 
-    Hashes are counted first, chunks and then windows. Of ranges whose hash occurs twice alone the
-    bytes are compared. A range that a third of the documents share is one row per slice in the
+    Hashes are counted first, chunks and then windows. Texts go through two shuffles, to the ranges whose
+    hash occurs twice, of which alone the bytes are compared, and to their removals. A range that a third of the documents share is one row per slice in the
     comparison, reduced before the shuffle, and a splittable join side in the steps between.
     """
     filled = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), filled.alias("text"), F.xxhash64(filled).alias("text_key"))
-    repeated, chunks = _search(rows, rows.mapInArrow(_members(False), _RANGE))
-    _, windows = _search(rows, window_members(rows, repeated))
-    removed = chunks.unionByName(windows).groupBy("__id", "__key").agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
+    chunks = rows.mapInArrow(_members(False), _RANGE)
+    hashes = chunk_hashes(chunks)
+    windows = window_members(rows, hashes)
+    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    found = chunks.join(hashes.select("h1", "h2"), ["h1", "h2"]).unionByName(windows.join(twice, ["h1", "h2"]))
+    likely = stored(found.groupBy(*_owner()).agg(F.collect_set(F.struct("a", "b", "h1", "h2", "again")).alias("ranges")), "line-ranges")
+    repeated = stored(repeated_chunks(rows.withColumns(dict(zip(("__id", "__key"), _owner()))).join(likely, ["__id", "__key"])), "line-chunks")
+    removed = likely.select("__id", "__key", F.inline("ranges")).join(repeated, ["h1", "h2"])
+    removed = removed.where(F.col("again") | _elsewhere("first_id", F.col("__id")))
+    removed = removed.groupBy("__id", "__key").agg(F.collect_set(F.struct("a", "b")).alias("__ranges"))
     keyed = docs.withColumn("__id", F.coalesce(F.col(key).cast("long"), F.lit(_NO_ID))).withColumn("__key", F.xxhash64(filled))
     added = ["chunks_removed", "lines_removed"] if counts else []
     columns = [c for c in docs.columns if c.lower() not in added]

@@ -199,8 +199,9 @@ def test_chunks_carry_the_work(spark):
     docs = frame(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) AS text_key")
 
     def looked_up(split):
-        repeated, removed = line_dedup._search(docs, docs.mapInArrow(line_dedup._members(False, split), line_dedup._RANGE))
-        return line_dedup.window_members(docs, repeated, split).count(), removed.count()
+        members = docs.mapInArrow(line_dedup._members(False, split), line_dedup._RANGE)
+        hashes = line_dedup.chunk_hashes(members)
+        return line_dedup.window_members(docs, hashes, split).count(), members.join(hashes, ["h1", "h2"]).where("doc_id > first_id").count()
 
     windows, chunks = looked_up(line_dedup.cut)
     assert chunks > 29 * 8 and windows < 0.5 * 30 * 80
