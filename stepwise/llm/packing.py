@@ -33,11 +33,13 @@ from stepwise.session import stored
 CAPACITY = 4096
 GRID = 8
 #: A bundle may lose this share of its tokens to rounding; beyond ``BUNDLE_TOKENS`` pieces go alone.
-BUNDLE_LOSS, BUNDLE_TOKENS = 1 / 400, 1024
+BUNDLE_LOSS, BUNDLE_TOKENS = 1 / 400, 256
 #: The linear program ends when no more than this share above its lower bound.
 GAP = 2e-3
 #: Pivots after which the inverse is computed anew, and at most in all, as a multiple of the classes.
-FRESH_PIVOTS, MOST_PIVOTS = 100, 20
+FRESH_PIVOTS, MOST_PIVOTS = 1000, 20
+#: The program also ends when so many pivots together save less than this share of the bins.
+STALL_PIVOTS, STALL = 200, 2e-4
 #: Pieces of one length within which ranks are counted; longer lists get more buckets.
 RANK_ROWS = 1 << 16
 
@@ -118,13 +120,17 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP) ->
     basis = np.diag((room // sizes).astype(float))
     inverse = np.diag(1 / np.diag(basis))
     amount = demand / np.diag(basis)
-    bound = 0.0
+    bound, mark = 0.0, np.inf
     for step in range(1, MOST_PIVOTS * m + 1):
         dual = inverse.sum(axis=0)
         worth, pattern = knapsack(sizes, dual, room)
         bound = max(bound, float((demand * dual).sum()) / max(worth, 1.0))
         if worth <= 1 + 1e-9 or amount.sum() <= bound * (1 + gap):
             break
+        if step % STALL_PIVOTS == 0:
+            if amount.sum() > mark * (1 - STALL):
+                break
+            mark = amount.sum()
         enter = (inverse * pattern).sum(axis=1)
         ratio = np.where(enter > 1e-9, amount / np.where(enter > 1e-9, enter, 1), np.inf)
         out = int(ratio.argmin())
