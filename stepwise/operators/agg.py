@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepwise.operators.bygroup import retain_sum, row_index
 from stepwise.operators.ordering import as_list, sort_columns
+from stepwise.operators.skew import heavy_keys
 from stepwise.session import stored
 
 STATS = {
@@ -42,18 +43,57 @@ def means(
     """Statistics per class combination, named ``<var>_<stat>``.
 
     Rows with a missing class value are left out unless ``missing`` is set. ``median``
-    is exact and never gathers a group, see ``exact_quantile``.
+    is exact and never gathers a group, see ``exact_quantiles``; with it all statistics of
+    number columns come out of the one pass over counted values. Decimals, whose sums
+    must stay exact, and long integers beside doubles are aggregated in a scan of their own.
     """
     class_, var = as_list(class_), as_list(var)
     rows = _drop_missing_class(df, class_, missing)
+    names = [f"{v}_{s}" for v in var for s in stats]
     plain = [s for s in stats if s != "median"]
     aggs = [STATS[s](v).alias(f"{v}_{s}") for v in var for s in plain]
-    out = rows.groupBy(*class_).agg(*(aggs or [F.count(F.lit(1)).alias("__n")]))
-    if "median" in stats:
-        for v in var:
-            mid = exact_quantile(rows, class_, v, 0.5, f"{v}_median")
-            out = out.join(mid, class_, "left") if not missing else _null_safe_left(out, mid, class_)
-    return out.select(*class_, *[f"{v}_{s}" for v in var for s in stats])
+    mids = {f"{v}_median": (v, 0.5) for v in var} if "median" in stats else {}
+    if not mids:
+        return rows.groupBy(*class_).agg(*aggs).select(*class_, *names)
+    value = _stack_type(rows, var)
+    if value is None:
+        base = rows.groupBy(*class_).agg(*(aggs or [F.count(F.lit(1)).alias("__n")]))
+        middle = exact_quantiles(rows, class_, mids)
+        if not class_:
+            return base.select("*", *[middle.select(m).scalar().alias(m) for m in mids]).select(*names)
+        return _null_safe_left(base, middle, class_).select(*class_, *names)
+    kinds = {f.name: f.dataType for f in rows.agg(*aggs).schema.fields} if aggs else {}
+    placed = _placed_values(rows, class_, var, value)
+    out = [_counted(s, i).cast(kinds[f"{v}_{s}"]).alias(f"{v}_{s}") for i, v in enumerate(var) for s in plain]
+    return placed.groupBy(*class_).agg(*out, *_quantile_parts(var, mids)).select(
+        *class_, *[F.col(f"{v}_{s}") if s != "median" else _interpolated(f"{v}_median") for v in var for s in stats]
+    )
+
+
+def _stack_type(rows: DataFrame, var: Sequence[str]) -> str | None:
+    """The type in which all variables fit one column without loss, or None."""
+    kinds = {rows.schema[v].dataType.typeName() for v in var}
+    if kinds <= {"byte", "short", "integer", "long"}:
+        return "bigint"
+    return "double" if kinds <= {"byte", "short", "integer", "float", "double"} else None
+
+
+def _counted(stat: str, i: int) -> Column:
+    """Statistic of variable ``i`` over counted values (``__value`` occurs ``__c`` times)."""
+    own, v, c = F.col("__var") == i, F.col("__value"), F.col("__c")
+    n = F.sum(F.when(own & v.isNotNull(), c).otherwise(0))
+    spread = F.sum(F.when(own, c * F.pow(v - F.try_divide(F.col("__sum").cast("double"), F.col("__n")), F.lit(2.0))))
+    return {
+        "n": lambda: n,
+        "nmiss": lambda: F.sum(F.when(own & v.isNull(), c).otherwise(0)),
+        "sum": lambda: F.sum(F.when(own, v * c)),
+        "mean": lambda: F.try_divide(F.sum(F.when(own, v * c)).cast("double"), n),
+        "min": lambda: F.min(F.when(own, v)),
+        "max": lambda: F.max(F.when(own, v)),
+        "range": lambda: F.max(F.when(own, v)) - F.min(F.when(own, v)),
+        "var": lambda: F.when(n > 1, spread / (n - 1)),
+        "std": lambda: F.when(n > 1, F.sqrt(spread / (n - 1))),
+    }[stat]()
 
 
 def _null_safe_left(a: DataFrame, b: DataFrame, keys: Sequence[str], profile: DataFrame | None = None) -> DataFrame:
@@ -62,36 +102,70 @@ def _null_safe_left(a: DataFrame, b: DataFrame, keys: Sequence[str], profile: Da
     return salted_join(a, b, keys, "left", null_safe=True, profile_left=profile, unique_right=True)
 
 
-def exact_quantile(df: DataFrame, class_: Sequence[str], var: str, q: float, out: str) -> DataFrame:
-    """Exact interpolated quantile per class.
+def _placed_values(rows: DataFrame, class_: Sequence[str], var: Sequence[str], value: str) -> DataFrame:
+    """Counted values of all variables with their place in the order: one scan, one cumulative pass.
 
-    Values are counted first, then counts are accumulated along the value axis; heavy
-    classes are cut into chunks there. The built-in exact percentile keeps every distinct
-    value of a group in one buffer, which a heavy class would overflow.
+    Variables are stacked into (class, ``__var``, ``__value``, ``__c``), missing values included.
+    ``__upto`` is the number of values at or before this one, ``__n`` and ``__sum`` are the number
+    and the sum of all. Heavy (class, variable) groups are cut into chunks along the values.
     """
-    class_ = list(class_)
-    rows = df.filter(F.col(var).isNotNull()).select(*class_, var)
-    counts = rows.groupBy(*class_, var).agg(F.count(F.lit(1)).alias("__c"))
-    # Rows per class bound its distinct values and are cheaper to count.
-    upto = retain_sum(counts, class_, [var], {"__upto": "__c"}, class_[-1] if class_ else None, profile=rows)
-    sizes = rows.groupBy(*class_).agg(((F.count(F.lit(1)) - 1) * F.lit(float(q))).alias("__pos"))
-    if class_:
-        placed = _null_safe_left(upto, sizes, class_, rows)
-    else:
-        placed = upto.withColumn("__pos", sizes.select("__pos").scalar())
-    below = F.col("__upto") - F.col("__c")
-
-    def holds(rank):
-        return (below <= rank) & (rank < F.col("__upto"))
-
-    lo, hi = F.floor("__pos"), F.ceil("__pos")
-    picked = placed.filter(holds(lo) | holds(hi)).groupBy(*class_).agg(
-        F.max(F.when(holds(lo), F.col(var))).cast("double").alias("__lo"),
-        F.max(F.when(holds(hi), F.col(var))).cast("double").alias("__hi"),
-        F.max("__pos").alias("__p"),
-    )
-    share = F.col("__p") - F.floor("__p")
-    return picked.select(*class_, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * share).alias(out))
+    by = [*class_, "__var"]
+    stack = F.array(*[F.struct(F.lit(i).alias("__var"), F.col(v).cast(value).alias("__value")) for i, v in enumerate(var)])
+    stacked = rows.select(*class_, F.inline(stack))
+    counts = stacked.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__c"))
+    known = F.when(F.col("__value").isNotNull(), F.col("__c")).otherwise(0)
+    whole = {"__n": F.sum(known), "__sum": F.sum(F.col("__value") * F.col("__c"))}
+    # Rows of a group bound its distinct values and are cheaper to count.
+    if heavy_keys(stacked, by) is None:
+        w = Window.partitionBy(*by)
+        upto = F.sum(known).over(w.orderBy("__value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return counts.select("*", upto.alias("__upto"), *[e.over(w).alias(n) for n, e in whole.items()])
+    counts = stored(counts, "value-counts")
+    upto = retain_sum(counts, by, ["__value"], {"__upto": known}, "__var")
+    sizes = counts.groupBy(*by).agg(*[e.alias(n) for n, e in whole.items()])
+    return _null_safe_left(upto, sizes, by, counts)
+
+
+def _holds(rank: Column) -> Column:
+    """Whether this value stands at the 0-based ``rank`` of its group."""
+    return (F.col("__upto") - F.col("__c") <= rank) & (rank < F.col("__upto")) & F.col("__value").isNotNull()
+
+
+def _quantile_parts(var: Sequence[str], wanted: Mapping[str, tuple[str, float]]) -> list[Column]:
+    """Aggregates over placed values: for every result its two neighbours in the order and its position."""
+    parts = []
+    for out, (v, q) in wanted.items():
+        own, pos = F.col("__var") == list(var).index(v), (F.col("__n") - 1) * F.lit(float(q))
+        parts += [
+            F.max(F.when(own & _holds(F.floor(pos)), F.col("__value"))).cast("double").alias(f"__lo_{out}"),
+            F.max(F.when(own & _holds(F.ceil(pos)), F.col("__value"))).cast("double").alias(f"__hi_{out}"),
+            F.max(F.when(own, pos)).alias(f"__pos_{out}"),
+        ]
+    return parts
+
+
+def _interpolated(out: str) -> Column:
+    lo, hi, pos = F.col(f"__lo_{out}"), F.col(f"__hi_{out}"), F.col(f"__pos_{out}")
+    return (lo + (hi - lo) * (pos - F.floor(pos))).alias(out)
+
+
+def exact_quantiles(df: DataFrame, class_: Sequence[str] | str, wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    """Exact interpolated quantiles per class, ``{result: (variable, q)}``, from one scan.
+
+    Values are counted first, then counts are accumulated along the value axis, for all
+    variables at once. The built-in exact percentile keeps every distinct value of a group
+    in one buffer, which a heavy class would overflow. Missing values do not count; a class
+    with no other value of a variable gets NULL.
+    """
+    class_ = as_list(class_)
+    var = list(dict.fromkeys(v for v, _ in wanted.values()))
+    placed = _placed_values(df, class_, var, _stack_type(df, var) or "double")
+    return placed.groupBy(*class_).agg(*_quantile_parts(var, wanted)).select(*class_, *[_interpolated(out) for out in wanted])
+
+
+def exact_quantile(df: DataFrame, class_: Sequence[str], var: str, q: float, out: str) -> DataFrame:
+    """One exact quantile per class that has a value, see ``exact_quantiles``."""
+    return exact_quantiles(df.filter(F.col(var).isNotNull()), class_, {out: (var, q)})
 
 
 def summary(

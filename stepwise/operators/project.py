@@ -200,6 +200,25 @@ def route(
     return {n: tagged.filter(F.col("__target") == n).drop("__target") for n in names}
 
 
+def route_stored(
+    df: DataFrame,
+    rules: Sequence[tuple[str, Column | str]],
+    path: str,
+    default: str | None = None,
+    tee: Sequence[str] | str | None = None,
+) -> dict[str, DataFrame]:
+    """``route`` through one pass over the input: rows are written once, by target folder.
+
+    Reading an output then opens its folder only. ``path`` lies in storage all executors share;
+    what stood there is replaced. An output without rows is an empty frame.
+    """
+    tagged = route_tagged(df, rules, default, tee)
+    tagged.write.mode("overwrite").partitionBy("__target").parquet(path)
+    back = df.sparkSession.read.schema(tagged.schema).parquet(path)
+    names = list(dict.fromkeys([n for n, _ in rules] + as_list(default) + as_list(tee)))
+    return {n: back.filter(F.col("__target") == n).drop("__target") for n in names}
+
+
 def route_tagged(df, rules, default=None, tee=None, column: str = "__target") -> DataFrame:
     """The routed rows of all outputs in one frame with their target name."""
     chosen = case_of([(c, n) for n, c in rules], default)

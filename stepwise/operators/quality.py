@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stepwise.operators.ordering import as_list
@@ -28,6 +28,31 @@ def violations(df: DataFrame, rules: Rules, name: str | None = None) -> tuple[Da
     return df.observe(seen, *counters), seen
 
 
+def write_checked(
+    df: DataFrame, rules: Rules, path: str, log: str, run: str, batch: int = 0, drop: bool = False
+) -> None:
+    """Write a frame and log how its rules came out, counted by the write itself.
+
+    The log is a table of (check, violations, rows, passed) with a folder per run and batch. A run
+    or batch that is repeated replaces its own folders, so nothing counts twice. With ``drop``
+    violating rows are counted and left out. Counters stand beside the write: a frame that
+    is shuffled before it is observed may be counted again if executors are lost in that stage's rerun.
+    """
+    observed, seen = violations(df, rules)
+    kept = keep_ok(observed, rules) if drop else observed
+    kept.write.mode("overwrite").parquet(path)
+    found = seen.get
+    rows = [(name, found[name], found["rows"], found[name] == 0) for name in rules]
+    outcome = df.sparkSession.createDataFrame(rows, "check string, violations bigint, rows bigint, passed boolean")
+    outcome.coalesce(1).write.mode("overwrite").parquet(f"{log}/run={run}/batch={batch}")
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """All logged outcomes with their run and batch."""
+    schema = "check string, violations bigint, rows bigint, passed boolean, run string, batch bigint"
+    return spark.read.schema(schema).parquet(log)
+
+
 def expect(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
     """Warn: all rows stay, violations are counted."""
     return violations(df, rules)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from stepwise.operators import quality as ql
 from stepwise.queries.base import query
+from stepwise.session import shared_dir
+from stepwise.streaming import streams as st
 
 RULES = {
     "valid_amount": "value > 1",
@@ -43,6 +45,26 @@ def expect_warn_counts(t):
     return ql.validate(ql.expect(_events(t), RULES)[0], RULES)
 
 
+@query(
+    "expect_log",
+    _E
+    + """, c AS (SELECT 'stream' AS run, event_id * 7919 % 2 AS batch, * FROM e UNION ALL SELECT 'table', 0, * FROM e),
+      k AS (SELECT run, batch, count(*) AS rows, count(*) FILTER (NOT value > 1) AS a, count(*) FILTER (kind IS NULL) AS b,
+        count(*) FILTER (NOT value < 250) AS c FROM c GROUP BY 1, 2)
+    SELECT run, batch, 'valid_amount' AS "check", a AS violations, rows, a = 0 AS passed FROM k
+    UNION ALL SELECT run, batch, 'known_type', b, rows, b = 0 FROM k UNION ALL SELECT run, batch, 'small', c, rows, c = 0 FROM k""",
+)
+def expect_log(t):
+    """Rule outcomes of a stored table and of two micro-batches, as the writes themselves counted them."""
+    root, rows = shared_dir(t.spark, "checked"), _events(t)
+    ql.write_checked(rows, RULES, f"{root}/table", f"{root}/log", "table")
+    for wave in range(2):
+        rows.where(f"pmod(event_id * 7919, 2) = {wave}").write.mode("append").parquet(f"{root}/feed")
+        stream = st.stream_files(t.spark, f"{root}/feed", "parquet", rows.schema)
+        st.write_checked_stream(stream, RULES, f"{root}/good", f"{root}/log", f"{root}/checkpoint", "stream", drop=True).awaitTermination()
+    return ql.read_log(t.spark, f"{root}/log")
+
+
 @query("expect_drop", _E + "SELECT * FROM e WHERE value > 1 AND kind IS NOT NULL AND value < 250")
 def expect_drop(t):
     return ql.expect_or_drop(_events(t), RULES)[0]

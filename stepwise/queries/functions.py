@@ -258,6 +258,46 @@ def parse_rejects(t):
     return ln.parse_lines(_event_lines(t), SPEC)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+WORDS = ln.LineSpec(
+    [
+        ln.Field("order_id", "number"), ln.Field("priority", words=True), ln.Field("day", "mmddyy10"), ln.Field("note", words=True),
+        ln.Field("price", "number"),
+    ]
+)
+
+_WORDS = """
+    WITH o AS (SELECT CAST(o_orderkey AS DOUBLE) AS order_id, o_orderpriority AS priority, CAST(o_orderdate AS DATE) AS day, o_custkey,
+      CASE o_orderstatus WHEN 'P' THEN 'partly shipped order' WHEN 'O' THEN 'open' END AS note, o_totalprice AS price,
+      CASE WHEN o_custkey % 7 = 0 THEN 'expected at least 5 values, found ' || (2 + len(string_split(o_orderpriority, ' ')))
+        WHEN o_custkey % 50 = 1 THEN 'several places for day' WHEN o_custkey % 50 = 2 THEN 'no place for day'
+        WHEN o_totalprice > 400000 THEN 'price is not a valid number' END AS reason FROM orders)
+"""
+
+
+def _word_lines(t):
+    """Blank-separated order lines as files: values of several words, dates in notes, missing and broken values."""
+    note = F.when(F.col("o_orderstatus") == "P", "partly  shipped order").when(F.col("o_orderstatus") == "O", "open").otherwise(".")
+    note = F.when(F.col("o_custkey") % 50 == 1, F.concat(note, F.lit(" due 01/02/1999 noon"))).otherwise(note)
+    day = F.when(F.col("o_custkey") % 50 == 2, "undated").otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
+    price = F.when(F.col("o_totalprice") > 400000, "n/a").otherwise(F.format_string("%.2f", "o_totalprice"))
+    head = F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority")
+    short = F.concat_ws(" ", head, F.date_format("o_orderdate", "MM/dd/yyyy"))
+    path = shared_dir(t.spark, "word-lines")
+    t.orders.select(F.when(F.col("o_custkey") % 7 == 0, short).otherwise(F.concat_ws("   ", head, day, note, price)).alias("value")).write.text(path)
+    return read_files(t.spark, path, "text")
+
+
+@query("parse_words", _WORDS + "SELECT order_id, priority, day, note, price FROM o WHERE reason IS NULL")
+def parse_words(t):
+    """Two values of several words with a date between them, a number at either end."""
+    return ln.parse_lines(_word_lines(t), WORDS)[0]
+
+
+@query("parse_words_rejects", _WORDS + "SELECT reason, count(*) AS n FROM o WHERE reason IS NOT NULL GROUP BY 1")
+def parse_words_rejects(t):
+    return ln.parse_lines(_word_lines(t), WORDS)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 FIXED = ln.LineSpec([ln.Field("p_partkey", "number", 1, 8), ln.Field("p_name", "text", 9, 20), ln.Field("p_retailprice", "number", 29, 10)])
 
 

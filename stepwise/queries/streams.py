@@ -82,6 +82,36 @@ def stream_first_key(t):
     return _run(t, st.first_per_key(timed, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type"), "first")
 
 
+_LATE = "event_id % 20 = 0 AND ts < TIMESTAMP '2024-01-12'"
+_NEW = "ts >= TIMESTAMP '2024-01-15'"
+
+
+@query(
+    "stream_join_left",
+    f"""
+    WITH e AS (SELECT * FROM events WHERE NOT ({_LATE})),
+      p AS (SELECT event_id, user_id, ts FROM e WHERE event_type = 'purchase'), c AS (SELECT event_id AS click_id, user_id, ts AS click_ts FROM e WHERE event_type = 'click'),
+      m AS (SELECT least((SELECT max(ts) FROM p), (SELECT max(click_ts) FROM c)) - INTERVAL '49 hours' AS passed)
+    SELECT event_id, p.user_id, click_id FROM p LEFT JOIN c ON p.user_id = c.user_id AND click_ts BETWEEN ts - INTERVAL 1 HOUR AND ts + INTERVAL 1 HOUR
+    WHERE click_id IS NOT NULL OR ts < (SELECT passed FROM m)
+    """,
+)
+def stream_join_left(t):
+    """Purchases with the user's clicks within an hour, both as streams with two days of delay. The second wave
+    also brings rows that are late by then; unmatched purchases come out when two days and an hour have passed."""
+    root = shared_dir(t.spark, "join")
+    rows = t.events.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    first = f"NOT ({_LATE}) AND NOT ({_NEW})"
+    for wave in (first, f"NOT ({first})"):
+        for kind, folder in (("purchase", "left"), ("click", "right")):
+            rows.where(f"event_type = '{kind}' AND ({wave})").drop("event_type").write.mode("append").parquet(f"{root}/{folder}")
+        left, right = (st.stream_files(t.spark, f"{root}/{d}", "parquet", "event_id bigint, user_id bigint, ts timestamp") for d in ("left", "right"))
+        right = right.select(F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("click_ts"))
+        joined = st.join_streams(left, right, "user_id", "ts", "click_ts", "1 hour", "2 days").select("event_id", "user_id", "click_id")
+        st.append_files(joined, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.schema("event_id bigint, user_id bigint, click_id bigint").parquet(f"{root}/out")
+
+
 _CHANGES = """
     SELECT user_id, event_type, event_id, value, ts FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """

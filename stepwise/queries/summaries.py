@@ -36,6 +36,39 @@ def means_nway(t):
     return out.withColumn("l_quantity_mean", F.round("l_quantity_mean", 6)).withColumn("l_quantity_std", F.round("l_quantity_std", 6))
 
 
+@query(
+    "means_two_medians",
+    """
+    SELECT l_returnflag, count(l_quantity) AS l_quantity_n, CAST(sum(l_quantity) AS DOUBLE) AS l_quantity_sum, max(l_quantity) AS l_quantity_max,
+      quantile_cont(l_quantity, 0.5) AS l_quantity_median, count(disc) AS disc_n, round(sum(disc), 6) AS disc_sum, max(disc) AS disc_max,
+      quantile_cont(disc, 0.5) AS disc_median
+    FROM (SELECT nullif(l_returnflag, 'A') AS l_returnflag, l_quantity, nullif(l_discount, 0) AS disc FROM lineitem) GROUP BY 1
+    """,
+)
+def means_two_medians(t):
+    """Two exact medians and their other statistics from one scan, with a missing class."""
+    rows = t.lineitem.select(
+        F.nullif(F.col("l_returnflag"), F.lit("A")).alias("l_returnflag"), "l_quantity", F.nullif(F.col("l_discount"), F.lit(0)).alias("disc")
+    )
+    out = ag.means(rows, "l_returnflag", ["l_quantity", "disc"], ["n", "sum", "max", "median"], missing=True)
+    return out.withColumn("disc_sum", F.round("disc_sum", 6))
+
+
+@query(
+    "quantiles",
+    """
+    SELECT o_orderstatus, quantile_cont(o_totalprice, 0.05) AS price_low, quantile_cont(o_totalprice, 0.95) AS price_high, quantile_cont(o_custkey, 0.25) AS key_low
+    FROM orders GROUP BY 1
+    """,
+)
+def quantiles(t):
+    """Three quantiles of two columns in one cumulative pass."""
+    return ag.exact_quantiles(
+        t.orders, "o_orderstatus",
+        {"price_low": ("o_totalprice", 0.05), "price_high": ("o_totalprice", 0.95), "key_low": ("o_custkey", 0.25)},
+    )
+
+
 @query(
     "exact_median",
     "SELECT o_orderpriority, median(o_totalprice) AS mid FROM orders GROUP BY 1",

@@ -17,6 +17,7 @@ class Field:
     """``kind`` is text, number, or an informat name such as ``mmddyy10``.
 
     ``start`` and ``width`` place the field in a fixed-width line (counted from 1).
+    ``words`` lets a text value of a blank-separated line consist of several words.
     """
 
     name: str
@@ -24,21 +25,49 @@ class Field:
     start: int | None = None
     width: int | None = None
     length: int | None = None
+    words: bool = False
 
 
 @dataclass(frozen=True)
 class LineSpec:
-    """``delimiter`` None splits on runs of blanks. Quoted values may hold delimiters."""
+    """``delimiter`` None splits on runs of blanks. Quoted values may hold delimiters.
+
+    Values of several words take what the values around them leave. Between two such values
+    stands at least one number or date, whose form tells where the first ends.
+    """
 
     fields: Sequence[Field]
     delimiter: str | None = None
     quote: str = '"'
     comment: tuple[str, ...] = field(default=("*", "/*"))
 
+    def __post_init__(self) -> None:
+        if not self.wordy:
+            return
+        if self.fixed or self.delimiter is not None or any(f.kind != "text" for f in self.fields if f.words):
+            raise ValueError("values of several words are text fields of blank-separated lines")
+        for run in self.runs()[1:-1]:
+            if all(f.kind == "text" for f in run):
+                raise ValueError("two values of several words need a number or date between them")
+
     @property
     def fixed(self) -> bool:
         return any(f.start is not None for f in self.fields)
 
+    @property
+    def wordy(self) -> bool:
+        return any(f.words for f in self.fields)
+
+    def runs(self) -> list[list[Field]]:
+        """The single-word fields before, between and after the fields of several words."""
+        out: list[list[Field]] = [[]]
+        for f in self.fields:
+            if f.words:
+                out.append([])
+            else:
+                out[-1].append(f)
+        return out
+
 
 def _blank_tokens(line: Column, quote: str) -> Column:
     found = F.regexp_extract_all(line, F.lit(f"({quote}[^{quote}]*{quote}|[^\\s{quote}]\\S*)"), F.lit(1))
@@ -72,12 +101,68 @@ def _typed(raw: Column, f: Field) -> Column:
     return input_as(raw, f.kind)
 
 
+def _place_words(parsed: DataFrame, spec: LineSpec) -> tuple[DataFrame, list[Column], Column]:
+    """Values of lines with fields of several words: the frame, a column per field, why a line does not fit.
+
+    The fields before the first and after the last such value count from the ends of the line. A
+    run of fields between two of them stands where its numbers and dates read as such; its first
+    possible place (going right) and its last one (going left) must be the same, else the line
+    can be read in several ways. All searches are over the words of one line.
+    """
+    runs = spec.runs()
+    token = lambda at: F.get(F.col("__t"), at)
+    size = F.size("__t")
+
+    def fits(run: list[Field]):
+        def at(p: Column) -> Column:
+            ok = F.lit(True)
+            for k, f in enumerate(run):
+                if f.kind != "text":
+                    ok = ok & ((token(p + k) == ".") | _typed(token(p + k), f).isNotNull())
+            return F.coalesce(ok, F.lit(False))
+
+        return at
+
+    def between(after: Column | None, before: Column | None):
+        return lambda p: p > after if before is None else p < before
+
+    for j, run in enumerate(runs[1:-1], 1):
+        last = size - len(run)
+        places = F.when(last >= 0, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), fits(run)))
+        parsed = _once(parsed, F.struct(places.alias(f"__p{j}")))
+    # Words before the earliest place of a run, words up to the latest: at least one each.
+    low, high = F.lit(len(runs[0])), size - len(runs[-1])
+    for j, run in enumerate(runs[1:-1], 1):
+        first = F.array_min(F.filter(F.col(f"__p{j}"), between(low, None)))
+        parsed = _once(parsed, F.struct(first.alias(f"__a{j}")))
+        low = F.col(f"__a{j}") + len(run)
+    for j, run in reversed(list(enumerate(runs[1:-1], 1))):
+        final = F.array_max(F.filter(F.col(f"__p{j}"), between(None, high - len(run))))
+        parsed = _once(parsed, F.struct(final.alias(f"__b{j}")))
+        high = F.col(f"__b{j}")
+    starts = [F.lit(0), *[F.col(f"__a{j}") for j in range(1, len(runs) - 1)], size - len(runs[-1])]
+    raws = []
+    for j, run in enumerate(runs):
+        if j:
+            begin = starts[j - 1] + len(runs[j - 1])
+            raws.append(F.array_join(F.slice("__t", begin + 1, F.greatest(starts[j] - begin, F.lit(0))), " "))
+        raws += [token(starts[j] + k) for k in range(len(run))]
+    n = len(spec.fields)
+    why = F.when(size < n, F.concat(F.lit(f"expected at least {n} values, found "), size.cast("string")))
+    for j, run in enumerate(runs[1:-1], 1):
+        typed = ", ".join(f.name for f in run if f.kind != "text")
+        a, b = F.col(f"__a{j}"), F.col(f"__b{j}")
+        why = why.when(a.isNull() | b.isNull() | (a > b), F.lit(f"no place for {typed}"))
+        why = why.when(a < b, F.lit(f"several places for {typed}"))
+    return parsed, raws, why
+
+
 def parse_lines(lines: DataFrame, spec: LineSpec, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split lines of text into typed columns: ``(rows, rejects)``.
 
     Blank and comment lines are skipped. A line with the wrong number of values or with
     a value that does not read as its type goes to ``rejects`` with the reason. A single
-    ``.`` is a missing value. Both results are plain filters over one parsed projection.
+    ``.`` is a missing value; blanks inside a value of several words become one. Both results are plain filters over one parsed projection.
     """
     trimmed = F.trim(F.col(value))
     kept = lines.filter(trimmed != "")
@@ -92,6 +177,9 @@ def parse_lines(lines: DataFrame, spec: LineSpec, value: str = "value") -> tuple
     else:
         if spec.delimiter is None:
             parsed = _once(kept, F.struct(_blank_tokens(trimmed, spec.quote).alias("__t")))
+        if spec.wordy:
+            parsed, raws, width = _place_words(parsed, spec)
+        elif spec.delimiter is None:
             raws, found = [F.get(F.col("__t"), F.lit(i)) for i in range(n)], F.size("__t")
             misfit = found != n
         else:
@@ -100,7 +188,8 @@ def parse_lines(lines: DataFrame, spec: LineSpec, value: str = "value") -> tuple
             # Counted for misfits only: delimiters outside quotes, plus one.
             bare = F.regexp_replace(F.col(value), f"{spec.quote}[^{spec.quote}]*{spec.quote}", "")
             found = F.length(bare) - F.length(F.replace(bare, F.lit(spec.delimiter), F.lit(""))) + 1
-        width = F.when(misfit, F.concat(F.lit(f"expected {n} values, found "), found.cast("string")))
+        if not spec.wordy:
+            width = F.when(misfit, F.concat(F.lit(f"expected {n} values, found "), found.cast("string")))
     cols = [_typed(r, f).alias(f"__v{i}") for i, (r, f) in enumerate(zip(raws, spec.fields))]
     typed = parsed.select("*", *cols)
     bad = [

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stepwise.operators.quality import Rules, keep_ok
+from stepwise.operators.quality import Rules, keep_ok, write_checked
 
 
 def stream_files(
@@ -51,6 +51,20 @@ def bronze_stream(stream: DataFrame, rules: Rules) -> DataFrame:
     return keep_ok(stream, rules)
 
 
+def write_checked_stream(
+    stream: DataFrame, rules: Rules, path: str, log: str, checkpoint: str, run: str, drop: bool = False
+) -> StreamingQuery:
+    """Write a stream in a folder per micro-batch and log every batch's rule outcomes, see ``write_checked``.
+
+    A batch that is sent again after a failure replaces its folder and its log entry.
+    """
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        write_checked(rows, rules, f"{path}/batch={batch_id}", log, run, batch_id, drop)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def enrich_stream(stream: DataFrame, dims: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """Left joins of a stream with stored dimension tables, read again for every micro-batch."""
     out = stream
@@ -95,7 +109,12 @@ def join_streams(
     delay: str,
     how: str = "left",
 ) -> DataFrame:
-    """Stream-stream join with a time bound on both sides, which keeps the state finite."""
+    """Stream-stream join with a time bound on both sides, which keeps the state finite.
+
+    Rows older than the watermark (the smaller of both sides' latest times less ``delay``) are late
+    and dropped. With ``how="left"`` an unmatched left row comes out once the watermark has passed
+    its time by more than ``within``: no partner can arrive any more.
+    """
     l = left.withWatermark(left_ts, delay)
     r = right.withColumnRenamed(key, "__rkey").withWatermark(right_ts, delay)
     bound = (F.col(right_ts) >= F.col(left_ts) - F.expr(f"INTERVAL {within}")) & (

@@ -248,3 +248,39 @@ def test_range_tables(spark, how):
     with pytest.raises(ValueError, match="overlap"):
         fm.classify_ranges(df, "v", ranges.unionByName(spark.sql("SELECT 4D AS low, 6D AS high, 'x' AS label, false AS low_open, false AS high_open")), "x")
     assert fm.classify_ranges(df, "v", ranges.limit(0), "x", "gap", how=how).where("x <> 'gap'").count() == 0
+
+
+def test_lines_values_of_several_words(spark):
+    spec = LineSpec([Field("id"), Field("name", words=True), Field("balance", "number")])
+    good, bad = parse(spark, ["M0001 John Smith 120.50", "M0002 . 0", "M0003  Ann   van  Dyk .", "M0004 5", 'M0005 "A  B" C 1', "M6 x y"], spec)
+    assert good == [
+        ("M0001", "John Smith", 120.5), ("M0002", None, 0.0), ("M0003", "Ann van Dyk", None), ("M0005", "A  B C", 1.0)
+    ]
+    assert bad == [("M0004 5", "expected at least 3 values, found 2"), ("M6 x y", "balance is not a valid number")]
+    two = LineSpec([Field("who", words=True), Field("sex"), Field("age", "number"), Field("town", words=True)])
+    good, bad = parse(
+        spark, ["John Smith Male 40 New York", "Jane F . Rome", "Al M 7 Route 66", "Bo M 1 2 3", "12 M 5 Oslo", "Al Bo M x Rome", "M 5 Oslo"], two
+    )
+    assert good == [
+        ("John Smith", "Male", 40.0, "New York"), ("Jane", "F", None, "Rome"), ("Al", "M", 7.0, "Route 66"), ("12", "M", 5.0, "Oslo")
+    ]
+    assert bad == [
+        ("Bo M 1 2 3", "several places for age"), ("Al Bo M x Rome", "no place for age"), ("M 5 Oslo", "expected at least 4 values, found 3")
+    ]
+    with pytest.raises(ValueError):
+        LineSpec([Field("a", words=True), Field("b"), Field("c", words=True)])
+    with pytest.raises(ValueError):
+        LineSpec([Field("a", words=True)], delimiter=",")
+
+
+def test_stored_routes(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5), (2, 20), (3, None)], "id int, v int")
+    rules = [("big", "v > 10"), ("odd", "v = 77")]
+    for frame in (df, df.limit(0), df):
+        parts = pj.route_stored(frame, rules, str(tmp_path / "r"), default="rest", tee=["all", "rest"])
+        plain = pj.route(frame, rules, default="rest", tee=["all", "rest"])
+        assert list(parts) == list(plain) == ["big", "odd", "rest", "all"]
+        for name in parts:
+            assert parts[name].columns == ["id", "v"]
+            assert sorted(map(tuple, parts[name].collect()), key=str) == sorted(map(tuple, plain[name].collect()), key=str)
+    assert sorted(r.id for r in parts["rest"].collect()) == [1, 1, 2, 3, 3]

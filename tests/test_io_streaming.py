@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stepwise.operators import quality as ql
 from stepwise.operators.skew import salted_join
 from stepwise.session import shared_dir
 from stepwise.sources import readers as rd
@@ -234,3 +235,40 @@ def test_no_shared_folder_on_a_cluster(spark, monkeypatch):
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=context)
     with pytest.raises(ValueError):
         shared_dir(session, "x")
+
+
+def test_stream_left_join_with_late_rows(spark, tmp_path):
+    """Unmatched rows come out when their range has passed, late rows never, each pair once."""
+    left, right, out = (str(tmp_path / n) for n in ("l", "r", "o"))
+
+    def put(path, data):
+        frame = spark.createDataFrame(data, "k int, name string, ts string").withColumn("ts", F.to_timestamp("ts"))
+        frame.coalesce(1).write.mode("append").parquet(path)
+
+    def run():
+        l, r = (st.stream_files(spark, p, "parquet", "k int, name string, ts timestamp") for p in (left, right))
+        r = r.select("k", F.col("name").alias("other"), F.col("ts").alias("rts"))
+        st.append_files(st.join_streams(l, r, "k", "ts", "rts", "10 minutes", "1 hour").select("name", "other"), out, str(tmp_path / "c")).awaitTermination()
+        return rows(spark.read.schema("name string, other string").parquet(out))
+
+    put(left, [(1, "a", "2024-01-01 00:00:00"), (1, "b", "2024-01-01 05:00:00"), (2, "c", "2024-01-01 00:00:00"), (None, "n", "2024-01-01 00:00:00")])
+    put(right, [(1, "x", "2024-01-01 00:10:00"), (1, "y", "2024-01-01 00:10:01"), (1, "z", "2024-01-01 05:00:00"), (None, "w", "2024-01-01 00:00:00")])
+    first = [("a", "x"), ("b", "z"), ("c", None), ("n", None)]
+    assert run() == first
+    # "late" is older than the watermark; "d" still meets its partner; "e" waits.
+    put(left, [(2, "late", "2024-01-01 00:01:00"), (1, "d", "2024-01-01 05:09:00"), (3, "e", "2024-01-01 09:00:00")])
+    put(right, [(2, "late", "2024-01-01 00:01:00"), (9, "v", "2024-01-01 09:00:00")])
+    assert run() == sorted([*first, ("d", "z")], key=str)
+    put(left, [(9, "f", "2024-01-02 00:00:00")])
+    put(right, [(9, "u", "2024-01-02 00:00:00")])
+    assert run() == sorted([*first, ("d", "z"), ("e", None), ("f", "u")], key=str)
+
+
+def test_stream_rule_log(spark, tmp_path):
+    rules, path, log = {"small": "id < 7"}, str(tmp_path / "o"), str(tmp_path / "log")
+    for wave in range(2):
+        spark.range(wave * 5, wave * 5 + 5).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = st.stream_files(spark, str(tmp_path / "in"), "parquet", "id bigint")
+        st.write_checked_stream(stream, rules, path, log, str(tmp_path / "c"), "s", drop=True).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(7))
+    assert rows(ql.read_log(spark, log).select("batch", "violations", "rows")) == [(0, 0, 5), (1, 3, 5)]

@@ -2,7 +2,10 @@
 
 import datetime as dt
 import itertools
+import math
 import random
+import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -186,3 +189,74 @@ def test_empty_inputs(spark):
     assert ag.fail_rate(empty.withColumn("f", F.lit(1)), "f").first().fail_rate is None
     assert ag.share_of_total(empty, "v").count() == 0
     assert [r.passed for r in ql.validate(empty, {"x": "v > 0"}).collect()] == [True]
+
+
+def test_quantiles_of_several_variables(spark, skew_mode):
+    rnd = random.Random(1)
+    data = [
+        (rnd.choice(["a", "a", "b", None]), rnd.choice([None, 1, 2, 2, 9, -4]), rnd.choice([None, 0.5, -0.0, 3.25, 1e6]), Decimal(rnd.randrange(50)) / 4)
+        for _ in range(60)
+    ] + [("c", None, None, None), ("d", 5, None, Decimal("1.25"))]
+    df = spark.createDataFrame(data, "k string, i int, x double, m decimal(9,2)")
+
+    def quantile(values, q):
+        values = sorted(float(v) for v in values if v is not None)
+        if not values:
+            return None
+        at = (len(values) - 1) * q
+        lo, hi = values[math.floor(at)], values[math.ceil(at)]
+        return lo + (hi - lo) * (at - math.floor(at))
+
+    def spread(values):
+        values = [float(v) for v in values if v is not None]
+        return statistics.stdev(values) if len(values) > 1 else None
+
+    groups = {}
+    for k, *rest in data:
+        groups.setdefault(k, []).append(rest)
+    got = {r.k: r[1:] for r in ag.exact_quantiles(df, "k", {"a": ("i", 0.5), "b": ("x", 0.9), "c": ("i", 0.0), "d": ("m", 0.33)}).collect()}
+    assert set(got) == set(groups)
+    for k, rows_ in groups.items():
+        i, x, m = zip(*rows_)
+        assert got[k] == pytest.approx((quantile(i, 0.5), quantile(x, 0.9), quantile(i, 0), quantile(m, 0.33)))
+    stats = ["n", "nmiss", "sum", "min", "max", "range", "mean", "std", "var", "median"]
+    for class_, var in (("k", ["i", "x"]), ([], ["i"]), ("k", ["m"])):
+        plain = ag.means(df, class_, var, [s for s in stats if s != "median"], missing=True)
+        full = ag.means(df, class_, var, stats, missing=True)
+        kinds = dict(full.dtypes)
+        assert all(kinds[n] == t for n, t in plain.dtypes)
+        want = {(r.k if class_ else 0): r.asDict() for r in plain.collect()}
+        for r in full.collect():
+            key = r.k if class_ else 0
+            mine = [row for k, row in groups.items() if k == key] if class_ else list(groups.values())
+            for n, value in want.pop(key).items():
+                assert r[n] == (pytest.approx(value) if isinstance(value, float) else value), (key, n)
+            for v in var:
+                column = [row["ixm".index(v)] for g in mine for row in g]
+                assert r[f"{v}_median"] == pytest.approx(quantile(column, 0.5))
+                if r[f"{v}_std"] is not None:
+                    assert r[f"{v}_std"] == pytest.approx(spread(column), abs=1e-9)
+        assert not want
+
+
+def test_quantiles_read_their_table_once(spark, tmp_path):
+    spark.range(100).selectExpr("id % 3 AS k", "id AS i", "id * 0.5D AS x").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = ag.means(df, "k", ["i"], ["n", "std", "median"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    both = ag.exact_quantiles(df, "k", {"a": ("i", 0.5), "b": ("x", 0.5)})._jdf.queryExecution().optimizedPlan().toString()
+    assert both.count("Relation [") == 1
+
+
+def test_rule_log(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "id int, v double")
+    rules, log = {"positive": "v > 0", "id": "id IS NOT NULL"}, str(tmp_path / "log")
+    for _ in range(2):  # the repeated run replaces itself
+        ql.write_checked(df, rules, str(tmp_path / "a"), log, "first", drop=True)
+    ql.write_checked(df.filter("id > 5"), rules, str(tmp_path / "b"), log, "none")
+    ql.write_checked(df.limit(0), rules, str(tmp_path / "c"), log, "nothing", batch=7)
+    assert rows(spark.read.parquet(str(tmp_path / "a"))) == [(1, 5.0)]
+    assert rows(ql.read_log(spark, log).select("run", "batch", "check", "violations", "rows", "passed")) == [
+        ("first", 0, "id", 0, 3, True), ("first", 0, "positive", 2, 3, False), ("none", 0, "id", 0, 0, True), ("none", 0, "positive", 0, 0, True),
+        ("nothing", 7, "id", 0, 0, True), ("nothing", 7, "positive", 0, 0, True),
+    ]
