@@ -334,7 +334,7 @@ def sales_checks(t):
     bad AS (SELECT 'SalesOrderID_positive' AS "check", (SELECT count(*) FROM o WHERE o_orderkey <= 0) AS violations, rows FROM n
       UNION ALL SELECT 'TotalDue_positive', (SELECT count(*) FROM o WHERE v <= 0), rows FROM n
       UNION ALL SELECT 'not_in_future', (SELECT count(*) FROM o WHERE d > DATE '2001-12-31'), rows FROM n
-      UNION ALL SELECT 'year_in_range', (SELECT count(*) FROM o WHERE NOT year(d) BETWEEN 2010 AND 2001), rows FROM n
+      UNION ALL SELECT 'year_in_range', (SELECT count(*) FROM o WHERE NOT year(d) BETWEEN 1994 AND 2001), rows FROM n
       UNION ALL SELECT 'CustomerID_positive', (SELECT count(*) FROM c WHERE c_custkey <= 0), rows FROM m
       UNION ALL SELECT 'CompanyName_present', (SELECT count(*) FROM c WHERE c_name = ''), rows FROM m
       UNION ALL SELECT 'EmailAddress_present', (SELECT count(*) FROM c WHERE c_mktsegment = ''), rows FROM m)
@@ -342,9 +342,29 @@ def sales_checks(t):
     """,
 )
 def sales_order_checks(t):
-    """Expectations on orders and customers; the test orders are all older than the first year asked for."""
+    """Expectations on orders and customers, with a first year that parts the test orders."""
     customers, orders = _sales(t)
-    return validate(orders, sales.order_rules(AS_OF)).unionByName(validate(customers, sales.customer_rules()))
+    return validate(orders, sales.order_rules(AS_OF, first_year=1994)).unionByName(validate(customers, sales.customer_rules()))
+
+
+@query(
+    "sales_table_checks",
+    _SALES
+    + """, s AS (SELECT count(*) AS n, sum(TotalRevenue) AS r FROM k GROUP BY value_tier, churn_risk),
+    c AS (SELECT count(*) AS n, count(*) - count(DISTINCT CustomerID) AS u FROM k),
+    o AS (SELECT 'customers_present' AS "check", 'observed > 0' AS condition, CAST(n AS DOUBLE) AS observed, n > 0 AS passed FROM c
+      UNION ALL SELECT 'one_row_per_customer', 'observed = 0', CAST(u AS DOUBLE), u = 0 FROM c
+      UNION ALL SELECT 'classes_at_most', 'observed <= 9', CAST(count(*) AS DOUBLE), count(*) <= 9 FROM s
+      UNION ALL SELECT 'counts_match_detail', 'observed = 0', CAST(sum(s.n) - (SELECT n FROM c) AS DOUBLE), sum(s.n) = (SELECT n FROM c) FROM s
+      UNION ALL SELECT 'smallest_class', 'observed > 0', CAST(min(n) AS DOUBLE), min(n) > 0 FROM s
+      UNION ALL SELECT 'smallest_revenue', 'observed > 0', min(r), min(r) > 0 FROM s)
+    SELECT "check", condition, round(observed, 2) AS observed, passed FROM o
+    """,
+)
+def sales_table_checks(t):
+    """Expectations on the customer table and its statistics as wholes."""
+    classified = sales_classified(t)
+    return sales.table_expectations(classified, sales.statistics(classified)).withColumn("observed", F.round("observed", 2))
 
 
 # ---- small sample programs ------------------------------------------------

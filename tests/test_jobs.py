@@ -204,6 +204,10 @@ def test_sales_boundaries(spark):
     got = {r.CustomerID: (r.CompanyName, r.value_tier, r.churn_risk, r.OrderCount) for r in rows.collect()}
     assert got == {1: ("Acme", "High", "Low", 1), 2: ("B", "Medium", "Medium", 1), 3: ("C", "Medium", "Medium", 1), 4: ("D", "Low", "High", 1)}
     assert sum(r.customer_count for r in sales.statistics(rows).collect()) == 4
+    checks = {r.check: r.passed for r in sales.table_expectations(rows, sales.statistics(rows)).collect()}
+    assert len(checks) == 6 and all(checks.values())
+    twice = sales.table_expectations(rows.unionByName(rows), sales.statistics(rows))
+    assert {r.check for r in twice.collect() if not r.passed} == {"one_row_per_customer", "counts_match_detail"}
     flags = {r.SalesOrderID: r.recent_order for r in sales.prepare_orders(orders, as_of).collect()}
     assert flags[11] == "Y" and flags[12] == "N"
 
