@@ -234,8 +234,9 @@ def update_index(index: DataFrame, changes: DataFrame, partitions: int) -> DataF
     """Apply insertions (``n_rows`` > 0) and deletions (``n_rows`` < 0) to a stored index.
 
     ``changes`` has the columns of ``ENTRY``. Insertions come before deletions, so that the
-    order of rows does not matter; deleting what is not there changes nothing. The best row of
-    a text stays recorded until its last row goes.
+    order of rows does not matter; deleting what is not there changes nothing. A change says
+    how many rows go, not which, so the best row of a text stays recorded until its last row
+    goes; ``delete_documents`` knows the rows and ranks those that are left.
     """
 
     def run(batches):
@@ -255,6 +256,33 @@ def update_index(index: DataFrame, changes: DataFrame, partitions: int) -> DataF
     return both.repartition(partitions, "bucket").mapInArrow(run, ENTRY)
 
 
+def delete_documents(
+    index: DataFrame, members: DataFrame, gone: DataFrame, partitions: int, key: str = "doc_id"
+) -> tuple[DataFrame, DataFrame]:
+    """Take documents out of a stored index: ``(index, members)`` without them.
+
+    ``members`` has the columns doc_id, length, digest and check_hash, a row per live document;
+    ``gone`` has the ids to delete. Of a text that loses rows the best one is found anew among the
+    members left, as a minimum with partial aggregation, so a group of any size is fine. All rows
+    of an id go; ids that are not there, repeated or null change nothing; texts without rows leave
+    the index, their fingerprints with them.
+    """
+    text = ["digest", "check_hash"]
+    ids = gone.select(F.col(key).alias("doc_id")).distinct()
+    left = members.join(ids, "doc_id", "left_anti").select("doc_id", "length", *text)
+    lost = members.join(ids, "doc_id", "left_semi").groupBy(*text).agg((-F.count(F.lit(1))).alias("__lost"))
+    changes = index.join(lost, text).drop("n_rows").withColumnRenamed("__lost", "n_rows")
+    rest = update_index(index, changes, partitions)
+    rank = F.struct((-F.col("length")).alias("l"), F.col("doc_id").isNull().alias("u"), F.col("doc_id").alias("i"))
+    ranked = left.join(lost, text, "left_semi").groupBy(*text).agg(F.min(rank).alias("__best"))
+    live = rest.join(ranked, text, "left").select(
+        *[c for c in _ENTRY_NAMES if not c.startswith("best_")],
+        F.when(F.col("__best").isNull(), F.col("best_length")).otherwise(-F.col("__best.l")).alias("best_length"),
+        F.when(F.col("__best").isNull(), F.col("best_id")).otherwise(F.col("__best.i")).alias("best_id"),
+    )
+    return live, left
+
+
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digest=None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 

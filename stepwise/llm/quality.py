@@ -4,7 +4,7 @@ Words are runs without ASCII white space. Of every n-gram length the words insid
 that occur twice or more in the text are marked, the first occurrence included, and the
 characters of marked words are summed; a word under several windows counts once. Windows
 are compared by rolling hashes over word numbers; what two equal hashes stand for is
-compared word by word for ``exact`` lengths, and 61-bit hashes are trusted for the others.
+compared word by word for ``exact`` lengths, and 64-bit hashes are trusted for the others.
 
 Defined cases: null and empty texts have no words and fail; long texts are taken whole;
 rows with an equal or null id are rows of their own; other columns are ignored.

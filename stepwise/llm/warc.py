@@ -1,8 +1,8 @@
 """Content-addressed WARC archive.
 
 An archive is a folder with two tables. ``payloads`` has the bytes of every distinct payload
-once, under its SHA-256. ``headers`` has the exact header block of every record, in page
-order within a file, with the digest that leads to the payload. Records are put together
+once, under its SHA-256. ``headers`` has the exact header block of every record with the
+digest that leads to the payload; rows lie in no order. Records are put together
 again by a join: header block, payload (none for a revisit), two line ends.
 
 Defined cases: a null payload is empty; payloads below ``MIN_REVISIT`` bytes are always

@@ -1,6 +1,7 @@
 """Quality rules, exact duplicates, line chunks and near duplicates against plain versions."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -143,6 +144,37 @@ def test_update_index(spark):
     assert sorted((r["n_rows"], r["best_length"]) for r in after.collect()) == [(1, 1), (2, 1)]
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_deleted_documents_against_a_recount(spark, weak):
+    """After deletions the index says what an index of the documents left says, keepers included."""
+    digest = (lambda norm: hashlib.sha256(norm[:1]).digest()) if weak else None
+    rnd = random.Random(3)
+    texts = ["a", "a ", "a  ", "b", "b\n", "", None, "ab", "a b"]
+    docs = [(i, rnd.choice(texts)) for i in range(60)] + [(None, "a     "), (None, "only"), (70, "x"), (70, "x"), (71, "x")]
+    gone = [i for i in range(60) if rnd.random() < 0.6] + [70, 70, None, 999]
+
+    def table(rows):
+        kinds = exact_dedup.digests(frame(spark, rows), "doc_id", "text", digest)
+        kinds.write.mode("overwrite").parquet(path := exact_dedup.shared_dir(spark, "test-digests"))
+        back = spark.read.parquet(path)
+        members = back.where("kind = 'member'").select("doc_id", "length", "digest", "check_hash")
+        return exact_dedup.build_index(back.where("kind = 'entry'"), 3), members
+
+    def state(index):
+        return sorted((r.digest, r.check_hash, r.n_rows, r.best_length, r.best_id or -1) for r in index.collect())
+
+    index, members = table(docs)
+    out = spark.createDataFrame([(i, "extra") for i in gone], "id long, digest string")
+    live, left = exact_dedup.delete_documents(index, members, out, 3, "id")
+    want, kept = table([(i, t) for i, t in docs if i is None or i not in gone])
+    assert state(live) == state(want) and live.columns == index.columns
+    assert sorted(map(str, left.collect())) == sorted(map(str, kept.select(left.columns).collect()))
+    same, _ = exact_dedup.delete_documents(index, members, out.limit(0), 3, "id")
+    assert state(same) == state(index)
+    nothing, none = exact_dedup.delete_documents(index, members, members.where("doc_id IS NOT NULL"), 3)
+    assert none.count() == 2 and sorted(r.n_rows for r in nothing.collect()) == [1, 1]
+
+
 def plain_clean(rows, least=line_dedup.LEAST_WORDS):
     """Each pair of neighbouring filled lines and each chunk goes where it stood before; runs of few words stay."""
 
