@@ -57,16 +57,18 @@ def means_two_medians(t):
 @query(
     "quantiles",
     """
-    SELECT o_orderstatus, quantile_cont(o_totalprice, 0.05) AS price_low, quantile_cont(o_totalprice, 0.95) AS price_high, quantile_cont(o_custkey, 0.25) AS key_low
+    SELECT o_orderstatus, round(quantile_cont(o_totalprice, 0.05), 4) AS price_low, round(quantile_cont(o_totalprice, 0.95), 4) AS price_high,
+      quantile_cont(o_custkey, 0.25) AS key_low
     FROM orders GROUP BY 1
     """,
 )
 def quantiles(t):
     """Three quantiles of two columns in one cumulative pass."""
-    return ag.exact_quantiles(
+    out = ag.exact_quantiles(
         t.orders, "o_orderstatus",
         {"price_low": ("o_totalprice", 0.05), "price_high": ("o_totalprice", 0.95), "key_low": ("o_custkey", 0.25)},
     )
+    return out.withColumn("price_low", F.round("price_low", 4)).withColumn("price_high", F.round("price_high", 4))
 
 
 @query(
