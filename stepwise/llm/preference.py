@@ -9,14 +9,19 @@ Defined cases: a null text is empty and a null role is ``user``; turns with equa
 are ordered by role and text, repeated turns stay; a null turn number comes first; turns
 without a pair id belong to no pair and are left out; a side without turns has an empty
 completion; equal conversations give two empty completions. Other columns are ignored.
+
+A table without pairs gets them from :func:`spliced`: another conversation takes over after
+a number of turns that a hash of the id draws.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TRAINED = "assistant"
+#: Ids of a block are consecutive numbers; a partner comes from the same block.
+BLOCK = 1024
 
 
 def turns(df: DataFrame, pair: str, turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -29,6 +34,32 @@ def turns(df: DataFrame, pair: str, turn: str = "turn", role: str = "role", text
     )
 
 
+def spliced(chosen: DataFrame) -> DataFrame:
+    """Rejected sides for conversations that have none, from :func:`turns` in its columns.
+
+    Of a conversation of n turns the first s stay, s from 0 to n - 1 by the MD5 of the id. The
+    turns after the first s of its partner follow; that is the next id that exists in the same
+    block of 1024 ids, for the last one the first. A partner with s turns or fewer adds none,
+    nor does a conversation alone in its block. Every conversation is the partner of one, so no
+    group grows, and the turn numbers of the result are positions.
+    """
+    at = Window.partitionBy("pair_id").orderBy("turn", "role", "text")
+    placed = chosen.select("pair_id", F.row_number().over(at).alias("turn"), "role", "text")
+    block = F.floor(F.col("pair_id") / BLOCK)
+    following = F.lead("pair_id").over(Window.partitionBy(block).orderBy("pair_id"))
+    drawn = F.conv(F.substring(F.md5(F.col("pair_id").cast("string")), 1, 4), 16, 10).cast("long")
+    plan = chosen.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "pair_id",
+        (drawn % F.col("n")).alias("kept"),
+        F.coalesce(following, F.min("pair_id").over(Window.partitionBy(block))).alias("partner"),
+    )
+    head = placed.join(plan.select("pair_id", "kept"), "pair_id").where("turn <= kept")
+    others = plan.where("partner <> pair_id").select(F.col("pair_id").alias("owner"), "kept", F.col("partner").alias("pair_id"))
+    tail = placed.join(others, "pair_id").where("turn > kept")
+    columns = ["turn", "role", "text"]
+    return head.select("pair_id", *columns).unionByName(tail.select(F.col("owner").alias("pair_id"), *columns))
+
+
 def render(turn: Column) -> Column:
     """``<|role|>``, a line break, the text, ``<|end|>``, a line break."""
     return F.concat(F.lit("<|"), turn["role"], F.lit("|>\n"), turn["text"], F.lit("<|end|>\n"))

@@ -43,18 +43,11 @@ def op7_exact_dedup(spark, folder):
 
 @_query
 def op8_preferences(spark, folder):
-    """Chosen: each conversation. Rejected: the same turns, the last one's text taken from the next conversation's last turn."""
-    from stepwise.llm.preference import format_preferences, turns
-
-    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    last = rows.groupBy("conv_id").agg(F.max("turn").alias("turn"), F.max_by("text", "turn").alias("other"))
-    swap = last.select("conv_id", "turn").join(last.select((F.col("conv_id") - 1).alias("conv_id"), "other"), "conv_id", "left")
-    swapped = (
-        rows.join(swap.withColumn("is_last", F.lit(True)), ["conv_id", "turn"], "left")
-        .withColumn("text", F.when(F.col("is_last"), F.coalesce("other", F.lit(""))).otherwise(F.col("text")))
-        .select("conv_id", "turn", "role", "text")
-    )
-    pairs = format_preferences(turns(rows, "conv_id"), turns(swapped, "conv_id"))
+    """Chosen: each conversation. Rejected: its first turns, continued by another conversation (see ``spliced``)."""
+    from stepwise.llm.preference import format_preferences, spliced, turns
+
+    chosen = turns(_table(spark, folder, "conversations"), "conv_id")
+    pairs = format_preferences(chosen, spliced(chosen))
     flat = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
     return pairs.select(
         F.col("pair_id").alias("conv_id"),
@@ -69,38 +62,38 @@ def op8_preferences(spark, folder):
 
 ORACLES["op8_preferences"] = """
 WITH numbered AS (
-    SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text, turn,
-           row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
-           turn = max(turn) OVER (PARTITION BY conv_id) AS is_last
+    SELECT conv_id, coalesce(role, 'user') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS pos
     FROM conversations WHERE conv_id IS NOT NULL
-), lasts AS (
-    SELECT conv_id, text FROM numbered WHERE is_last
-), both_sides AS (
-    SELECT n.conv_id, n.pos, n.role, n.text AS c,
-           CASE WHEN n.is_last THEN coalesce(l.text, '') ELSE n.text END AS r
-    FROM numbered n LEFT JOIN lasts l ON l.conv_id = n.conv_id + 1
+), plan AS (
+    SELECT conv_id, ('0x' || substr(md5(conv_id::VARCHAR), 1, 4))::BIGINT % n AS kept,
+           coalesce(lead(conv_id) OVER w, min(conv_id) OVER (PARTITION BY floor(conv_id / 1024))) AS partner
+    FROM (SELECT conv_id, count(*) AS n FROM numbered GROUP BY 1)
+    WINDOW w AS (PARTITION BY floor(conv_id / 1024) ORDER BY conv_id)
+), sides AS (
+    SELECT conv_id, 'c' AS side, pos, role, text FROM numbered
+    UNION ALL SELECT conv_id, 'r', pos, role, text FROM numbered JOIN plan USING (conv_id) WHERE pos <= kept
+    UNION ALL SELECT p.conv_id, 'r', pos, role, text FROM plan p JOIN numbered n ON n.conv_id = p.partner
+      WHERE p.partner <> p.conv_id AND pos > kept
+), compared AS (
+    SELECT conv_id, pos, count(*) = 2 AND min(role) = max(role) AND min(text) = max(text) AS same FROM sides GROUP BY 1, 2
 ), cut AS (
-    SELECT *, coalesce(min(CASE WHEN c <> r THEN pos END) OVER (PARTITION BY conv_id) - 1,
-                       max(pos) OVER (PARTITION BY conv_id)) AS prompt_turns
-    FROM both_sides
+    SELECT conv_id, coalesce(min(pos) FILTER (NOT same) - 1, max(pos)) AS prompt_turns FROM compared GROUP BY 1
 ), placed AS (
-    SELECT *, '<|' || role || '|>' || chr(10) || c || '<|end|>' || chr(10) AS cr,
-              '<|' || role || '|>' || chr(10) || r || '<|end|>' || chr(10) AS rr
-    FROM cut
+    SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown FROM sides JOIN cut USING (conv_id)
 ), summed AS (
-    SELECT *, sum(CASE WHEN pos > prompt_turns THEN length(cr) END) OVER w AS c_end,
-              sum(CASE WHEN pos > prompt_turns THEN length(rr) END) OVER w AS r_end
-    FROM placed WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+    SELECT *, sum(CASE WHEN pos > prompt_turns THEN length(shown) END) OVER (PARTITION BY conv_id, side ORDER BY pos) AS stop FROM placed
+), spans AS (
+    SELECT *, CASE WHEN pos > prompt_turns AND role = 'assistant'
+      THEN (stop - length(shown) + length(role) + 5)::VARCHAR || '-' || (stop - 1)::VARCHAR END AS span FROM summed
 )
 SELECT conv_id, min(prompt_turns)::BIGINT AS prompt_turns,
-       coalesce(string_agg(cr, '' ORDER BY pos) FILTER (pos <= prompt_turns), '') AS prompt,
-       coalesce(string_agg(cr, '' ORDER BY pos) FILTER (pos > prompt_turns), '') AS chosen,
-       coalesce(string_agg(rr, '' ORDER BY pos) FILTER (pos > prompt_turns), '') AS rejected,
-       coalesce(string_agg((c_end - length(cr) + length(role) + 5)::VARCHAR || '-' || (c_end - 1)::VARCHAR, ',' ORDER BY pos)
-                FILTER (pos > prompt_turns AND role = 'assistant'), '') AS chosen_spans,
-       coalesce(string_agg((r_end - length(rr) + length(role) + 5)::VARCHAR || '-' || (r_end - 1)::VARCHAR, ',' ORDER BY pos)
-                FILTER (pos > prompt_turns AND role = 'assistant'), '') AS rejected_spans
-FROM summed GROUP BY conv_id
+       coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 'c' AND pos <= prompt_turns), '') AS prompt,
+       coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 'c' AND pos > prompt_turns), '') AS chosen,
+       coalesce(string_agg(shown, '' ORDER BY pos) FILTER (side = 'r' AND pos > prompt_turns), '') AS rejected,
+       coalesce(string_agg(span, ',' ORDER BY pos) FILTER (side = 'c'), '') AS chosen_spans,
+       coalesce(string_agg(span, ',' ORDER BY pos) FILTER (side = 'r'), '') AS rejected_spans
+FROM spans GROUP BY conv_id
 """
 
 

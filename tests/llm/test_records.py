@@ -74,6 +74,35 @@ def test_preferences_run_no_python(spark):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
+def plain_spliced(rows):
+    """Each conversation's first turns, continued by the next one of its block of ids."""
+    talks = defaultdict(list)
+    for p, turn, role, text in rows:
+        if p is not None:
+            talks[p].append((turn is not None, turn or 0, role or "user", text or ""))
+    talks = {p: [t[2:] for t in sorted(turns)] for p, turns in talks.items()}
+    out = {}
+    for p, own in talks.items():
+        block = sorted(q for q in talks if q // 1024 == p // 1024)
+        partner = block[(block.index(p) + 1) % len(block)]
+        kept = int(hashlib.md5(str(p).encode()).hexdigest()[:4], 16) % len(own)
+        out[p] = own[:kept] + (talks[partner][kept:] if partner != p else [])
+    return {(p, i + 1, *turn) for p, turns in out.items() for i, turn in enumerate(turns)}
+
+
+def test_spliced_conversations(spark):
+    rows = [(p, t, ("user", "assistant")[t % 2], f"{p} says {t}") for p in (0, 3, 4, 9, 1023, 1024, 1030, 5000, -2) for t in range(1 + abs(p) * 7 % 6)]
+    rows += [(4, 0, "user", "another first"), (9, None, None, None), (None, 0, "user", "lost"), (3, 1, "user", "tie"), (3, 1, "user", "tie")]
+    got = preference.spliced(conversations(spark, rows)).collect()
+    assert len(got) == len({*got})
+    assert {tuple(r) for r in got} == plain_spliced(rows)
+    chosen = conversations(spark, rows)
+    pairs = preference.format_preferences(chosen, preference.spliced(chosen))
+    assert len({r["prompt_turns"] for r in pairs.collect()}) > 2
+    assert not any(word in pairs._jdf.queryExecution().executedPlan().toString() for word in ("Python", "Arrow", "Pandas"))
+    assert preference.spliced(conversations(spark, [])).count() == 0
+
+
 LONG = "x" * 150
 PAGES = [(3, "http://a/\r\nInjected: 1", LONG), (1, "http://b/é", LONG), (2, None, LONG), (2, None, LONG), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "a\r\n\r\nb"), (None, "u", LONG), (8, "u", "é" * 60)]
 
