@@ -47,17 +47,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(seed: np.ndarray, *parts) -> np.ndarray:
-    """Numbers in (0, 1) that seed and parts decide."""
+def stirred(seed: np.ndarray, *parts) -> np.ndarray:
+    """A seed that has taken in some parts."""
     with np.errstate(over="ignore"):
-        x = seed
         for part in parts:
-            x = _mix(x * _MUL + np.asarray(part).astype(np.uint64) + np.uint64(1))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+            seed = _mix(seed * _MUL + np.asarray(part).astype(np.uint64) + np.uint64(1))
+    return seed
+
+
+def uniform(seed: np.ndarray, *parts) -> np.ndarray:
+    """Numbers in (0, 1) that seed and parts decide."""
+    return ((stirred(seed, *parts) >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 class Pieces:
-    """The vocabulary of a model file: hashes of pieces by length, weights, and bytes for decoding."""
+    """The vocabulary of a model file: hashes of pieces and their beginnings by length, weights, and bytes for decoding."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -82,27 +86,51 @@ class Pieces:
         self.byte_weight = float(min(self.weight[i] for i in usable if names[i] != BLANK))
         self.weight[[i for i in by_hand if names[i] == BLANK]] = self.byte_weight
         self.longest = max(len(names[i]) for i in usable)
-        keys: dict[int, list] = {n: [] for n in range(1, self.longest + 1)}
+        # Every beginning of a piece, by length: its hash, the piece it is (or -1), whether a longer piece starts so.
+        found: list[dict[int, list]] = [{} for _ in range(self.longest + 1)]
         for i in usable:
             codes = np.frombuffer(names[i].encode("utf-32-le"), np.uint32)
-            keys[len(codes)].append((int(self.hashes(codes, len(codes))[0]), i))
-        self.keys, self.ids = {}, {}
-        for n, pairs in keys.items():
-            pairs.sort()
-            self.keys[n] = np.array([p[0] for p in pairs], np.uint64)
-            self.ids[n] = np.array([p[1] for p in pairs], np.int64)
+            value = np.zeros(1, np.uint64)
+            for n in range(1, len(codes) + 1):
+                value = self.hashes(value, codes[n - 1 : n])
+                entry = found[n].setdefault(int(value[0]), [-1, False])
+                if n == len(codes):
+                    entry[0] = i
+                else:
+                    entry[1] = True
+        self.keys, self.whole, self.ids, self.longer, self.heads, self.shift = {}, {}, {}, {}, {}, {}
+        for n, entries in enumerate(found[1:], 1):
+            order = sorted(entries)
+            self.keys[n] = np.array(order, np.uint64)
+            self.whole[n] = np.array([entries[h][0] for h in order], np.int64)
+            self.ids[n] = self.whole[n][self.whole[n] >= 0]
+            self.longer[n] = np.array([entries[h][1] for h in order], bool)
+            # Where keys with given leading bits begin; eight values of these bits for every key.
+            bits = len(order).bit_length() + 3
+            self.shift[n] = np.uint64(64 - bits)
+            self.heads[n] = np.searchsorted(self.keys[n] >> self.shift[n], np.arange((1 << bits) + 1).astype(np.uint64))
+
+    def find(self, n: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes of ``n`` codes begin a piece, and their places in the table."""
+        keys, heads = self.keys[n], self.heads[n]
+        slot = (values >> self.shift[n]).astype(np.int64)
+        place, stop = heads[slot], heads[slot + 1]
+        hit = np.zeros(len(values), bool)
+        look = np.flatnonzero(place < stop)
+        while len(look):
+            same = keys[place[look]] == values[look]
+            hit[look[same]] = True
+            look = look[~same]
+            place[look] += 1
+            look = look[place[look] < stop[look]]
+        which = np.flatnonzero(hit)
+        return which, place[which]
 
     @staticmethod
-    def hashes(codes: np.ndarray, n: int, before: np.ndarray | None = None) -> np.ndarray:
-        """Hash of the ``n`` codes from each place; ``before`` has those of one code less."""
+    def hashes(before: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Hashes of sequences that are one code longer than those before."""
         with np.errstate(over="ignore"):
-            if before is None:
-                value = np.zeros(len(codes) - n + 1, np.uint64)
-                for i in range(n):
-                    value = (value ^ codes[i : i + len(value)].astype(np.uint64)) * _MUL
-                    value ^= value >> np.uint64(29)
-                return value
-            value = (before[: len(codes) - n + 1] ^ codes[n - 1 :].astype(np.uint64)) * _MUL
+            value = (before ^ codes.astype(np.uint64)) * _MUL
             return value ^ (value >> np.uint64(29))
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -129,40 +157,48 @@ class Lattice:
         stop = np.cumsum(length)
         part = np.repeat(np.arange(len(parts)), length)
         left = np.repeat(stop, length) - np.arange(len(codes))  # characters to the end of the part
-        starts, sizes, names, value = [], [], [], None
+        starts, names = [], []
+        edges_of = np.zeros(len(codes) + 1, np.int64)
+        missing = np.ones(len(codes), bool)
+        at, value = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
         for n in range(1, min(vocabulary.longest, int(length.max(initial=0))) + 1):
-            value = vocabulary.hashes(codes, n, value) if n > 1 else vocabulary.hashes(codes, 1)
-            at = np.flatnonzero(left[: len(value)] >= n)
-            keys = vocabulary.keys[n]
-            if not len(keys):
-                continue
-            place = np.minimum(np.searchsorted(keys, value[at]), len(keys) - 1)
-            hit = keys[place] == value[at]
-            starts.append(at[hit])
-            sizes.append(np.full(int(hit.sum()), n))
-            names.append(vocabulary.ids[n][place[hit]])
+            value = vocabulary.hashes(value, codes[at + (n - 1)])
+            which, place = vocabulary.find(n, value)
+            at, value, ids = at[which], value[which], vocabulary.whole[n][place]
+            whole = ids >= 0
+            starts.append(at[whole])
+            names.append(ids[whole])
+            edges_of[starts[-1]] += 1
             if n == 1:
-                missing = np.ones(len(codes), bool)
-                missing[at[hit]] = False
-                alone = np.flatnonzero(missing)
+                missing[starts[0]] = False
+            going = np.flatnonzero(vocabulary.longer[n][place] & (left[at] > n))
+            at, value = at[going], value[going]
+        alone = np.flatnonzero(missing)
+        edges_of[alone] += 1
         odd, which = np.unique(codes[alone], return_inverse=True)
         self.odd = [chr(c).encode(errors="surrogatepass") for c in odd]
         # Numbers of pieces, then of the bytes of each such character.
         self.spelled = np.concatenate([np.arange(vocabulary.size), *(vocabulary.byte_id[list(c)] for c in self.odd)])
         self.spelled_size = np.array([len(c) for c in self.odd], np.int64)
         self.spelled_start = np.cumsum(self.spelled_size) - self.spelled_size
-        start = np.concatenate([*starts, alone])
-        size = np.concatenate([*sizes, np.ones(len(alone), np.int64)])
-        name = np.concatenate([*names, vocabulary.size + which])
         odd_weight = np.array([vocabulary.byte_weight * len(c) for c in self.odd])
-        weight = np.where(name < vocabulary.size, vocabulary.weight[np.minimum(name, vocabulary.size - 1)], 0.0)
-        weight[name >= vocabulary.size] = odd_weight[which]
-        order = np.argsort(start, kind="stable")
-        start, self.size, self.name, weight = start[order], size[order], name[order], weight[order]
+        # Edges in the order of their starts, shorter pieces first: every list holds a start once, so places follow by counting.
+        free = np.cumsum(edges_of) - edges_of
+        edges = int(edges_of.sum())
+        self.size, self.name, weight = np.empty(edges, np.int64), np.empty(edges, np.int64), np.empty(edges)
+        for n, (at, ids) in enumerate(zip(starts, names), 1):
+            place = free[at]
+            free[at] += 1
+            self.size[place], self.name[place], weight[place] = n, ids, vocabulary.weight[ids]
+        place = free[alone]
+        self.size[place], self.name[place], weight[place] = 1, vocabulary.size + which, odd_weight[which]
+        start = np.repeat(np.arange(len(codes)), edges_of[:-1])
         node = start + part[start]
         total = np.zeros(len(codes) + len(parts))
-        by_left = np.argsort(left[start], kind="stable")
-        edge_left = left[start][by_left]
+        edge_left = left[start]
+        small = edge_left.astype(np.uint16) if length.max(initial=0) < 1 << 16 else edge_left  # short numbers sort by digits
+        by_left = np.argsort(small, kind="stable")
+        edge_left = edge_left[by_left]
         cuts = np.flatnonzero(np.diff(edge_left, prepend=-1))
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(edge_left)]):
             edges = by_left[a:b]
@@ -183,16 +219,19 @@ class Lattice:
         self.aside = np.where(self.first[1:][node] - heads > 1, np.log(np.maximum(-np.expm1(np.minimum(self.logp, 0)), 1e-300)), -np.inf)
         self.part_start = stop - length + np.arange(len(parts))
         self.part_end = self.part_start + length
-        self.opens = np.isin(node, self.part_start)  # edges at the start of a part
+        opening = np.zeros(len(total) + 1, bool)
+        opening[self.part_start] = True
+        self.opens = opening[node]  # edges at the start of a part
 
     def walk(self, node: np.ndarray, part: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: np.ndarray):
         """Follow drawn edges from each node to the end of its part. Returns the edges in order and their number per walk."""
         origin, end = self.part_start[part], self.part_end[part]
+        seed = stirred(seed, sample, place)
         live = np.flatnonzero(node < end)
         now = node[live]
         steps, walks = [], []
         while len(live):
-            chance = uniform(seed[live], sample[live], place[live], now - origin[live])
+            chance = uniform(seed[live], now - origin[live])
             edge = self.first[now].copy()
             look = np.flatnonzero(chance >= self.reach[edge])
             while len(look):
@@ -267,7 +306,10 @@ def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
     texts = pc.replace_substring(texts, BLANK, " ")
     spelled = pc.binary_join_element_wise(BLANK, pc.replace_substring(texts, " ", BLANK), "")
     # No blank is left to stand in a text, so one marks where each run of blank signs begins.
-    split = pc.split_pattern(pc.utf8_slice_codeunits(pc.replace_substring_regex(spelled, f"({BLANK}+)", r" \1"), 1), " ")
+    marked = pc.replace_substring(spelled, BLANK, " " + BLANK)
+    for _ in range(2):  # the first pass joins signs of a run in pairs, the second the pairs
+        marked = pc.replace_substring(marked, f"{BLANK} {BLANK}", BLANK * 2)
+    split = pc.split_pattern(pc.utf8_slice_codeunits(marked, 1), " ")
     offsets = np.asarray(split.offsets).astype(np.int64)
     offsets = offsets - offsets[0]
     coded = split.flatten().dictionary_encode()
@@ -306,14 +348,20 @@ def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
         edges, count = lattice.walk(node, where, seeds[own], spot, np.full(len(node), sample))
         steps = np.bincount(own, count, len(texts)).astype(np.int64)[rows]
         stops = np.cumsum(steps)
-        for i, a, b in zip(rows.tolist(), (stops - steps).tolist(), stops.tolist()):
+        starts = stops - steps
+        gone = np.array([len(prefix[i][0]) for i in rows.tolist()], np.int64)
+        step = np.arange(len(edges)) + np.repeat(gone - starts, steps)
+        chance = uniform(np.repeat(stirred(seeds[rows], np.uint64(sample)), steps), step, np.uint64(1 << 42))
+        logp = lattice.logp[edges]
+        passed = np.empty(len(edges))
+        for i, a, b in zip(rows.tolist(), starts.tolist(), stops.tolist()):
+            np.cumsum(logp[a:b], out=passed[a:b])
+            passed[a:b] += float(lattice.logp[prefix[i][0]].sum())
+        passed -= logp
+        values = _below(np.repeat([prefix[i][1] for i in rows.tolist()], steps), _gumbel(passed + lattice.aside[edges], chance))
+        for i, a, b in zip(rows.tolist(), starts.tolist(), stops.tolist()):
             path, value = prefix[i][:2]
-            new = edges[a:b]
-            before = float(lattice.logp[path].sum())
-            passed = before + np.cumsum(lattice.logp[new]) - lattice.logp[new]
-            chance = uniform(np.broadcast_to(seeds[i], len(new)), np.full(len(new), sample), np.arange(len(path), len(path) + len(new)), np.full(len(new), 1 << 42))
-            values = _below(value, _gumbel(passed + lattice.aside[new], chance))
-            searches[i].take(np.concatenate([path, new]), value, values, len(path), k)
+            searches[i].take(np.concatenate([path, edges[a:b]]), value, values[a:b], len(path), k)
 
     none = np.zeros(0, np.int64)
     top = _gumbel(0.0, uniform(seeds, np.zeros(len(seeds)), np.zeros(len(seeds)), np.full(len(seeds), 1 << 43)))
@@ -331,9 +379,13 @@ def sample_slice(vocabulary: Pieces, keys: list, texts: pa.Array, k: int):
 def _result(vocabulary: Pieces, lattice: Lattice, search: Search, path: np.ndarray, logp: float, value: float):
     ids = lattice.name[path]
     if len(ids) and ids.max() >= vocabulary.size:
-        runs = lattice.spelled_size[np.maximum(ids - vocabulary.size, 0)] * (ids >= vocabulary.size) + (ids < vocabulary.size)
-        starts = np.where(ids < vocabulary.size, ids, vocabulary.size + lattice.spelled_start[np.maximum(ids - vocabulary.size, 0)])
-        ids = lattice.spelled[ragged(starts, runs)]
+        odd = np.flatnonzero(ids >= vocabulary.size)
+        which = ids[odd] - vocabulary.size
+        runs = np.ones(len(ids), np.int64)
+        runs[odd] = lattice.spelled_size[which]
+        first = (np.cumsum(runs) - runs)[odd]
+        ids = np.repeat(ids, runs)
+        ids[ragged(first, runs[odd])] = lattice.spelled[ragged(vocabulary.size + lattice.spelled_start[which], runs[odd])]
     over = logp + search.queue[0][0] if search.queue else np.inf  # queue values are negated: location less threshold
     inclusion = np.log(-np.expm1(-np.exp(min(over, 50.0)))) if over > -30 else over
     return ids, logp, value, float(inclusion)
