@@ -15,6 +15,12 @@ DIAGNOSIS = ValueFormat(
     "diagcat", {"E11": "DIABETES", "I10": "HYPERTENSION", "J45": "ASTHMA", "M54": "BACK_PAIN"}, other="OTHER"
 )
 
+# Reasons of a decision.
+NOT_ELIGIBLE = "MEMBER NOT ELIGIBLE ON SERVICE DATE"
+DUPLICATE = "DUPLICATE CLAIM"
+OUT_OF_NETWORK = "OUT OF NETWORK - MANUAL REVIEW"
+OVER_LIMIT = "ANNUAL BENEFIT LIMIT EXCEEDED"
+
 
 def eligibility(claims: DataFrame, members: DataFrame) -> DataFrame:
     """Y when the service date lies in the member's span; unknown members are N."""
@@ -44,13 +50,10 @@ def adjudicate(
     return case_block(
         rows,
         [
-            (F.col("elig_flag") == "N", {**denied, "deny_reason": "MEMBER NOT ELIGIBLE ON SERVICE DATE"}),
-            (F.col("dup_flag") == "Y", {**denied, "deny_reason": "DUPLICATE CLAIM"}),
-            (
-                F.col("network_status") == "OUTOFNETWORK",
-                {"adj_status": "PENDED", "deny_reason": "OUT OF NETWORK - MANUAL REVIEW"},
-            ),
-            (F.col("limit_exceeded") == "Y", {**denied, "deny_reason": "ANNUAL BENEFIT LIMIT EXCEEDED"}),
+            (F.col("elig_flag") == "N", {**denied, "deny_reason": NOT_ELIGIBLE}),
+            (F.col("dup_flag") == "Y", {**denied, "deny_reason": DUPLICATE}),
+            (F.col("network_status") == "OUTOFNETWORK", {"adj_status": "PENDED", "deny_reason": OUT_OF_NETWORK}),
+            (F.col("limit_exceeded") == "Y", {**denied, "deny_reason": OVER_LIMIT}),
         ],
         {
             "adj_status": "APPROVED",
