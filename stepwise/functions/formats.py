@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepwise.operators.bygroup import neighbours, retain_last
-from stepwise.operators.skew import salted_join, search_sorted
+from stepwise.operators.skew import salted_join
 from stepwise.session import stored
 
 INLINE_LIMIT = 50
@@ -131,6 +131,20 @@ def _index_frame(spark: SparkSession, rows: list[tuple], kind: T.DataType) -> Da
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
+def _search_index(df: DataFrame, value: Column, cuts: Column, size: int, out: str) -> DataFrame:
+    """Add how many of the ordered ``cuts`` are at most ``value``, by halving; a NULL cut is before all values.
+
+    ``cuts`` is a part of a scalar subquery. As a column it would be copied into every row, and functions with a lambda
+    may not hold it, so every step is a column of its own. The generator keeps filters from unfolding the steps.
+    """
+    held = df.withColumn("__value", value).withColumn(out, F.lit(0))
+    for step in [1 << k for k in reversed(range(max(1, size.bit_length())))]:
+        ahead = F.col(out) + step
+        below = (ahead <= F.size(cuts)) & F.coalesce(F.get(cuts, ahead - 1) <= F.col("__value"), F.lit(True))
+        held = held.withColumn(out, F.when(below, ahead).otherwise(F.col(out)))
+    return held.select(*df.columns, F.explode(F.array(out)).alias(out))
+
+
 def label_ranges(df: DataFrame, value: str, index: DataFrame, size: int, out: str, how: str) -> DataFrame:
     """Add the label of the segment that holds the value. ``index`` has __at, __side, __text; NULL values get NULL.
 
@@ -140,15 +154,14 @@ def label_ranges(df: DataFrame, value: str, index: DataFrame, size: int, out: st
     kind = index.schema["__at"].dataType
     if how == "search":
         whole = index.agg(F.sort_array(F.collect_list(F.struct("__at", "__side", "__text"))).alias("all"))
-        whole = whole.select(
-            F.struct(
-                F.transform("all", lambda s: F.struct(s["__at"], s["__side"])).alias("cuts"), F.transform("all", lambda s: s["__text"]).alias("texts")
-            ).alias("one")
-        )
-        held = df.withColumn("__index", whole.scalar())
-        place = search_sorted(F.struct(F.col(value).cast(kind).alias("__at"), F.lit(0).alias("__side")), F.col("__index.cuts"), size)
-        label = F.when(F.col(value).isNotNull() & (F.col("__place") > 0), F.get(F.col("__index.texts"), F.col("__place") - 1))
-        return held.withColumn("__place", place).withColumn(out, label).drop("__index", "__place")
+        arrays = [F.col("all").getField(n).alias(n) for n in ("__at", "__side", "__text")]
+        # Values alone are searched; a last cut after the value itself is taken back. Only the first cut may be NULL.
+        one = whole.select(F.struct(*arrays).alias("one")).scalar()
+        held = _search_index(df, F.col(value).cast(kind), one["__at"], size, "__place")
+        last = F.col("__place") - 1
+        after = F.coalesce((F.get(one["__at"], last) == F.col(value).cast(kind)) & (F.get(one["__side"], last) == 1), F.lit(False))
+        label = F.when(F.col(value).isNotNull() & (last >= 0), F.get(one["__text"], F.when(after, last - 1).otherwise(last)))
+        return held.withColumn(out, label).drop("__place")
     distinct = df.select(F.col(value).cast(kind).alias("__at")).where("__at IS NOT NULL").distinct()
     both = distinct.select("__at", F.lit(0).alias("__side"), F.lit(True).alias("__asks"), F.lit(None).cast("struct<t:string>").alias("__label"))
     # A label in a struct, so that a gap is a value to carry and not a missing one.

@@ -250,6 +250,23 @@ def test_range_tables(spark, how):
     assert fm.classify_ranges(df, "v", ranges.limit(0), "x", "gap", how=how).where("x <> 'gap'").count() == 0
 
 
+def _widest(node):
+    """Names of the array and struct columns of a plan's nodes, subqueries apart."""
+    found = {a.name() for a in (node.output().apply(i) for i in range(node.output().size())) if a.dataType().typeName() in ("array", "struct")}
+    return found.union(*(_widest(node.children().apply(i)) for i in range(node.children().size())))
+
+
+def test_searched_index_is_no_column(spark):
+    # A column with the index copies it into every row: 36 million rows with 8 MB each.
+    ranges = spark.range(0, 3000).selectExpr("CAST(id * 3 AS DOUBLE) AS low", "CAST(id * 3 + 1 AS DOUBLE) AS high", "'r' || id AS label", "id % 2 = 0 AS low_open")
+    df = spark.range(-10, 9100).selectExpr("CAST(id AS DOUBLE) AS v")
+    got = fm.classify_ranges(df, "v", ranges, "x", "gap", how="search")
+    assert not _widest(got._jdf.queryExecution().optimizedPlan())
+    want = {float(v): f"r{v // 3}" for v in range(9000) if v % 3 == 1 or v % 6 == 3}
+    assert {r["v"]: r["x"] for r in got.where("x <> 'gap'").collect()} == want
+    assert got.count() == 9110
+
+
 def test_lines_values_of_several_words(spark):
     spec = LineSpec([Field("id"), Field("name", words=True), Field("balance", "number")])
     good, bad = parse(spark, ["M0001 John Smith 120.50", "M0002 . 0", "M0003  Ann   van  Dyk .", "M0004 5", 'M0005 "A  B" C 1', "M6 x y"], spec)
