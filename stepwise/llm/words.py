@@ -8,8 +8,11 @@ A tokenizer that drops white space may be cut at any blank.
 
 from __future__ import annotations
 
+import re
 from array import array
+from codecs import charmap_decode
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ KEEP = 1_000_000
 BLANK_KEPT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLANK_DROPPED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters on which all Unicode versions and both regex libraries agree; parts with others go to the library whole.
-_PLAIN = regex.compile(r"[\x21-\x7E\xA1-\xA9\xAE-\xB1\xB4-\xB8\xBB\xBF-\xFF]+")
+_PLAIN = re.compile(r"[\x21-\x7E\xA1-\xA9\xAE-\xB1\xB4-\xB8\xBB\xBF-\xFF]+")
 
 
 def _byte_letters() -> list[str]:
@@ -42,11 +45,11 @@ class PartTable:
         self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
         self.whole = array("b")  # parts that a text must not be cut at
 
-    def add(self, part: str, ids: array, whole: bool = False) -> int:
+    def add(self, part: str, ids: list[int], whole: bool = False) -> int:
         row = self.rows[part] = len(self.starts)
         self.starts.append(len(self.flat))
         self.sizes.append(len(ids))
-        self.flat.extend(ids)
+        self.flat.fromlist(ids)
         self.whole.append(whole)
         return row
 
@@ -64,16 +67,15 @@ class Encoder:
         pieces = text[text.index('"pre_tokenizer"') : text.index('"model"')]
         self.drops_blanks = "Removed" in pieces
         self.pattern = regex.compile(BLANK_DROPPED if self.drops_blanks else BLANK_KEPT)
-        letters = _byte_letters()
-        self.letters = {b: letters[b] for b in range(256)}
-        self.blank = letters[32]
-        self.line_end = array("I") if self.drops_blanks else array("I", self.library_ids("\n"))
+        self.letters = "".join(_byte_letters())
+        self.tokenize = self.library.model.tokenize
+        self.line_end = [] if self.drops_blanks else self.library_ids("\n")
         self.inner, self.first = PartTable(), PartTable()
 
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _part_ids(self, table: PartTable, blank: str, part: str) -> array:
+    def _part_ids(self, table: PartTable, blank: str, part: str) -> list[int]:
         """Ids of a part, with the blank before it if the tokenizer keeps blanks."""
         if part.isalpha() and (part.isascii() or _PLAIN.fullmatch(part)):
             return self._merged(blank + (part.lower() if self.drops_blanks else part))
@@ -82,34 +84,37 @@ class Encoder:
                 part = part.lower()
             if part[-1] in ".,;:!?" and part[:-1].isalpha():  # a word and a mark
                 return self._word(table, blank, part[:-1]) + self._word(self.first, "", part[-1])
-            ids = array("I")
+            ids = []
             for token in self.pattern.findall(blank + part):
                 ids += self._merged(token)
             return ids
         before, line_end, after = part.partition("\n")
         if line_end and _PLAIN.fullmatch(before) and _PLAIN.fullmatch(after):  # such a line end is a pre-token
             return self._part_ids(table, blank, before) + self.line_end + self._part_ids(self.first, "", after)
-        return array("I", self.library_ids(blank + part))
+        return self.library_ids(blank + part)
 
-    def _word(self, table: PartTable, blank: str, word: str) -> array:
+    def _word(self, table: PartTable, blank: str, word: str) -> list[int]:
         """Ids of a word that is one pre-token; kept as a part of its own."""
         row = table.rows.get(word)
         if row is None:
-            row = table.add(word, self._merged(blank + word))
+            ids = self._merged(blank + word)
+            table.add(word, ids)
+            return ids
         start = table.starts[row]
-        return table.flat[start : start + table.sizes[row]]
+        return table.flat[start : start + table.sizes[row]].tolist()
 
-    def _merged(self, token: str) -> array:
-        mapped = token.replace(" ", self.blank) if token.isascii() else token.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.library.model.tokenize(mapped)])
+    def _merged(self, token: str) -> list[int]:
+        return [t.id for t in self.tokenize(charmap_decode(token.encode(), "strict", self.letters)[0])]
 
-    def _rows(self, table: PartTable, parts: list[str], blank: str) -> np.ndarray:
-        get, found = table.rows.get, np.empty(len(parts), np.int64)
-        for i, part in enumerate(parts):
-            row = get(part)
+    def _rows(self, table: PartTable, parts: np.ndarray, blank: str) -> np.ndarray:
+        get = table.rows.get
+        found = np.fromiter(map(get, parts, repeat(-1)), np.int64, len(parts))
+        for i in np.flatnonzero(found < 0).tolist():
+            part = parts[i]
+            row = get(part)  # one met twice here, or as the word of another part
             if row is None:
                 whole = not self.drops_blanks and (not part or part[0].isspace() or part[-1].isspace())
-                row = table.add(part, array("I") if whole else self._part_ids(table, blank, part), whole)
+                row = table.add(part, [] if whole else self._part_ids(table, blank, part), whole)
             found[i] = row
         return found
 
@@ -122,7 +127,7 @@ class Encoder:
         offsets = offsets - offsets[0]
         parts = cut.flatten().dictionary_encode()
         heads = offsets[:-1]
-        names = parts.dictionary.to_pylist()
+        names = parts.dictionary.to_numpy(zero_copy_only=False)
         spots = np.asarray(parts.indices)
         inner = np.ones(len(spots), bool)
         inner[heads] = False
@@ -130,8 +135,8 @@ class Encoder:
         used[spots[inner]] = True
         rows = np.zeros(len(names), np.int64)
         at = np.flatnonzero(used)
-        rows[at] = self._rows(self.inner, [names[i] for i in at.tolist()], "" if self.drops_blanks else " ")
-        head_rows = self._rows(self.first, [names[i] for i in spots[heads].tolist()], "")
+        rows[at] = self._rows(self.inner, names[at], "" if self.drops_blanks else " ")
+        head_rows = self._rows(self.first, names[spots[heads]], "")
         tables = (self.inner, self.first)
         flat = np.concatenate([np.frombuffer(t.flat, np.uint32) if t.flat else np.zeros(0, np.uint32) for t in tables])
         shift = len(self.inner.flat)

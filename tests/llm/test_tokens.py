@@ -42,6 +42,24 @@ def test_encoder_equals_the_library(encoders, file):
         assert got == [e.library.encode(t, add_special_tokens=False).ids for t in ODD]
 
 
+def test_known_parts_take_no_call_each(encoders):
+    e, calls = encoders[FILES[0]], 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    texts = pa.array([" ".join(f"{a}{b}{c}" for a in "abcdefgh" for b in "aeiou" for c in "klmnopqrst")])
+    want = split(*e.encode(texts))
+    sys.setprofile(count)
+    try:
+        got = split(*e.encode(texts))
+    finally:
+        sys.setprofile(None)
+    assert got == want == [e.library.encode(texts[0].as_py(), add_special_tokens=False).ids]
+    assert calls < 400  # distinct parts
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("abA é'.,!1 \n\t\xa0ſßİΣ̂日<|>"), max_size=30), min_size=1, max_size=4))
 def test_encoder_on_any_text(encoders, texts):
