@@ -301,7 +301,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     met = met.toDF("y", "x", "count")
     best = met.groupBy("y").agg(F.max_by("x", F.struct("count", F.negative("x"))).alias("x")).select("x", "y")
     links = verify(best, sets)
-    near = stored(components(links.toDF("u", "v")), "near")
+    near = components(links.toDF("u", "v"))
 
     # Classes of other components in the same lists.
     labelled = posts.join(near, posts["doc_id"] == near["node"], "left").select(posts["*"], F.coalesce("component", "doc_id").alias("comp"))

@@ -10,8 +10,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from stepwise.llm import exact_dedup, jaccard, line_dedup, quality
+from stepwise.llm import exact_dedup, graph, jaccard, line_dedup, quality
 from stepwise.llm.graph import components
+from stepwise.session import stored
 
 from helpers import frame, odd_rows, prose, rows_of
 
@@ -384,3 +385,14 @@ def test_components(spark, shape):
             parent[a] = parent[b] = min(parent[a], parent[b])
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {n: p for n, p in enumerate(parent) if n != p}
+
+
+def test_stars_take_one_round(spark, monkeypatch):
+    # Each round is some 1,300 tasks with 211 partitions, all of which the driver keeps track of.
+    rounds = []
+    monkeypatch.setattr(graph, "stored", lambda df, name: rounds.append(name) or stored(df, name))
+    edges = [(i, 7) for i in range(8, 40)] + [(50, 51), (50, 51), (3, 3)]
+    got = sorted(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
+    assert got == [(i, 7) for i in range(8, 40)] + [(51, 50)]
+    assert len(rounds) == 1
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
