@@ -9,7 +9,7 @@ prefix shingles as the smaller ``l`` of the two asks for.
 Pairs within a group are never written out. Equal sets are one class. First every class is
 compared with one hub, the member of its posting lists that comes earliest; what links is one
 component. Then, in every posting list, classes outside its largest component are compared
-with the rest, components apart, sizes and positions allowing. That is exact: a pair that is
+with the rest, components apart, sizes, positions and parities of their hashes allowing. That is exact: a pair that is
 not compared is in one component already, or cannot reach the threshold.
 
 Sets are built of 64-bit hashes and compared by their upper 48 bits. Defined cases: null texts and texts without words have an
@@ -90,9 +90,19 @@ def _digest(shingles: np.ndarray) -> tuple[int, int]:
     return (value >> 64) - (1 << 63), (value & ((1 << 64) - 1)) - (1 << 63)
 
 
-_FIRST = "kind string, doc_id long, n int, h1 long, h2 long, block int, data binary"
+def parities(shingles: np.ndarray) -> tuple[int, ...]:
+    """For each of 256 bits whether an odd number of shingles falls on it, as four numbers.
+
+    Two sets differ in at least as many shingles as these bits differ.
+    """
+    odd = np.bincount((shingles >> np.uint64(16) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return tuple(np.packbits(odd.astype(np.uint8)).view(np.int64).tolist())
+
+
+_FIRST = "kind string, doc_id long, n int, h1 long, h2 long, b1 long, b2 long, b3 long, b4 long, block int, data binary"
 _FIRST_NAMES = _FIRST.replace(",", "").split()[::2]
-_FIRST_KINDS = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+_FIRST_KINDS = [pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * 6, pa.int32(), pa.binary()]
+_BITS = ["b1", "b2", "b3", "b4"]
 
 
 def _sized(kind: str, rows: int, **given) -> pa.RecordBatch:
@@ -111,13 +121,13 @@ def _members_and_counters(width: int):
             fresh, members = [], []
             for ident, shingles in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text").to_pylist())):
                 key = _digest(shingles)
-                members.append((ident, len(shingles), *key))
+                members.append((ident, len(shingles), *key, *parities(shingles)))
                 if len(shingles) and key not in seen:
                     seen.add(key)
                     fresh.append(shingles)
             if fresh:
                 counters += np.bincount((np.concatenate(fresh) & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint32)
-            yield _sized("member", len(members), **dict(zip(("doc_id", "n", "h1", "h2"), zip(*members))))
+            yield _sized("member", len(members), **dict(zip(("doc_id", "n", "h1", "h2", *_BITS), zip(*members))))
         squeeze = zstandard.ZstdCompressor(level=1).compress
         blocks = range(SKETCH_BLOCKS)
         step = width // SKETCH_BLOCKS
@@ -263,6 +273,12 @@ def _depth(t: str) -> str:
     return f"greatest(1, {t}.place - ({t}.n - CAST(ceil({NUM} * {t}.n / {DEN}) AS INT)) + 1)"
 
 
+def _alike(a: str, b: str) -> str:
+    """Whether the bits let a pair reach the threshold: sets that do differ in (DEN - NUM) / (DEN + NUM) of both sizes at most."""
+    differ = " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in _BITS)
+    return f"{DEN + NUM} * ({differ}) <= {DEN - NUM} * ({a}.n + {b}.n)"
+
+
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id that links reach)."""
     spark = docs.sparkSession
@@ -271,12 +287,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     folder = shared_dir(spark, "shingles")
     rows.mapInArrow(_members_and_counters(width), _FIRST).write.partitionBy("kind").option("compression", "zstd").parquet(folder)
     both = spark.read.schema(_FIRST).parquet(folder)
-    members = both.where("kind = 'member'").select("doc_id", "n", "h1", "h2")
+    members = both.where("kind = 'member'").select("doc_id", "n", "h1", "h2", *_BITS)
     frequency = add_counters(both.where("kind = 'counter'").select("block", "data"), width)
 
     # Equal sets: every document and the smallest id that has its set.
     first = members.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
-    classes = stored(members.join(first, ["h1", "h2"], "left").select("doc_id", "n", "rep"), "classes")
+    classes = stored(members.join(first, ["h1", "h2"], "left").select("doc_id", "n", "rep", *_BITS), "classes")
 
     # Lists with one entry lead nowhere.
     postings = rows.mapInArrow(_postings(frequency), "token long, doc_id long, info long")
@@ -309,11 +325,15 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     by_comp = labelled.groupBy("token", "comp").count()
     major = by_comp.groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("major"), F.count("*").alias("comps"))
     open_lists = major.where("comps > 1").select("token", "major")
-    rest = stored(labelled.join(open_lists, "token"), "open-lists")
+    # A document with several sets of one size has no bits.
+    alone = " AND ".join(f"min({c}) = max({c})" for c in _BITS)
+    bits = classes.where("rep IS NOT NULL").groupBy(F.col("rep").alias("doc_id"), "n")
+    bits = bits.agg(*(F.expr(f"CASE WHEN {alone} THEN min({c}) END").alias(c) for c in _BITS))
+    rest = stored(labelled.join(open_lists, "token").join(bits, ["doc_id", "n"], "left"), "open-lists")
     minor = rest.where("comp <> major")
     apart = (
         f"a.token = b.token AND a.comp <> b.comp AND (b.comp = b.major OR a.doc_id < b.doc_id) AND {_reach('a', 'b')} "
-        f"AND greatest({_depth('a')}, {_depth('b')}) <= least(a.level, b.level)"
+        f"AND greatest({_depth('a')}, {_depth('b')}) <= least(a.level, b.level) AND coalesce({_alike('a', 'b')}, true)"
     )
     shared = minor.alias("a").join(rest.alias("b"), F.expr(apart)).select(
         F.least("a.doc_id", "b.doc_id").alias("x"), F.greatest("a.doc_id", "b.doc_id").alias("y"), F.least("a.level", "b.level").alias("asked")

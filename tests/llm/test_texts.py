@@ -396,3 +396,20 @@ def test_stars_take_one_round(spark, monkeypatch):
     assert got == [(i, 7) for i in range(8, 40)] + [(51, 50)]
     assert len(rounds) == 1
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.integers(0, (1 << 64) - 1), max_size=300), st.sets(st.integers(0, 299), max_size=60), st.sets(st.integers(0, (1 << 64) - 1), max_size=40))
+def test_parities_bound_the_difference(first, gone, fresh):
+    second = {x for i, x in enumerate(sorted(first)) if i not in gone} | fresh
+    a, b = (np.array(sorted(s), np.uint64) for s in (first, second))
+    differ = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(jaccard.parities(a), jaccard.parities(b)))
+    assert differ <= len(first ^ second)
+
+
+def test_parities_part_texts_of_one_template():
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 1 << 63, 150).astype(np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, 100).astype(np.uint64)])) for _ in range(2)]
+    differ = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(*map(jaccard.parities, sets)))
+    assert 9 * differ > len(sets[0]) + len(sets[1])  # 150 of 350 shingles are shared: never compared
