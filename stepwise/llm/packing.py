@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepwise.llm.common import WORD_SLICE_BYTES, slices, text_rows
+from stepwise.llm.common import slices, text_rows
 from stepwise.session import stored
 
 CAPACITY = 4096
 GRID = 8
+#: Bytes of text encoded at once, and parts a worker keeps: it may share its memory with what earlier stages left.
+TEXT_BYTES, KEEP_PARTS = 2 << 20, 600_000
 #: A bundle may lose this share of its tokens to rounding; beyond ``BUNDLE_TOKENS`` pieces go alone.
 BUNDLE_LOSS, BUNDLE_TOKENS = 1 / 400, 256
 #: The linear program ends when no more than this share above its lower bound.
@@ -53,8 +55,8 @@ def token_pieces(
     def run(batches):
         from stepwise.llm.words import encoder, with_end
 
-        library = encoder(tokenizer)
-        for part in slices(batches, "text", WORD_SLICE_BYTES):
+        library = encoder(tokenizer, KEEP_PARTS)
+        for part in slices(batches, "text", TEXT_BYTES):
             ids, counts = with_end(*library.encode(part.column("text")), end)
             pieces = -(-counts // capacity)
             owner = np.repeat(np.arange(len(counts)), pieces)
@@ -68,6 +70,7 @@ def token_pieces(
             if with_ids:
                 cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids.astype(np.int64))))
             yield pa.RecordBatch.from_arrays(cols, names)
+            pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<long>" * with_ids
     return text_rows(docs, key, text).mapInArrow(run, schema)

@@ -37,30 +37,40 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in visible else next(hidden)) for b in range(256)]
 
 
-class PartTable:
+class IdRows:
     """Ids of parts in one flat array."""
 
     def __init__(self):
-        self.rows: dict[str, int] = {}
-        self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
+        self.flat, self.starts, self.sizes = array("I"), array("q"), array("I")
         self.whole = array("b")  # parts that a text must not be cut at
 
-    def add(self, part: str, ids: list[int], whole: bool = False) -> int:
-        row = self.rows[part] = len(self.starts)
+    def add(self, ids: list[int], whole: bool = False) -> int:
+        row = len(self.starts)
         self.starts.append(len(self.flat))
         self.sizes.append(len(ids))
         self.flat.fromlist(ids)
         self.whole.append(whole)
         return row
 
+    def ids(self, row: int) -> list[int]:
+        start = self.starts[row]
+        return self.flat[start : start + self.sizes[row]].tolist()
+
+    def views(self) -> tuple[np.ndarray, ...]:
+        """The arrays as they are, without a copy; no row can be added while a view lives."""
+        if not self.starts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int8)
+        flat = np.frombuffer(self.flat, np.uint32) if self.flat else np.zeros(0, np.uint32)
+        return flat, np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.uint32), np.frombuffer(self.whole, np.int8)
+
 
 class Encoder:
     """Encodes arrays of texts; keeps what it has learned for the batches to come."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = KEEP):
         from tokenizers import Tokenizer
 
-        self.path = path
+        self.path, self.keep = path, keep
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
         text = self.library.to_str()
@@ -70,12 +80,17 @@ class Encoder:
         self.letters = "".join(_byte_letters())
         self.tokenize = self.library.model.tokenize
         self.line_end = [] if self.drops_blanks else self.library_ids("\n")
-        self.inner, self.first = PartTable(), PartTable()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.inner: dict[str, int] = {}  # rows of parts behind a blank
+        self.first: dict[str, int] = {}  # rows of parts at the beginning of a text
+        self.known = IdRows()
 
     def library_ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _part_ids(self, table: PartTable, blank: str, part: str) -> list[int]:
+    def _part_ids(self, table: dict[str, int], blank: str, part: str) -> list[int]:
         """Ids of a part, with the blank before it if the tokenizer keeps blanks."""
         if part.isalpha() and (part.isascii() or _PLAIN.fullmatch(part)):
             return self._merged(blank + (part.lower() if self.drops_blanks else part))
@@ -93,35 +108,34 @@ class Encoder:
             return self._part_ids(table, blank, before) + self.line_end + self._part_ids(self.first, "", after)
         return self.library_ids(blank + part)
 
-    def _word(self, table: PartTable, blank: str, word: str) -> list[int]:
+    def _word(self, table: dict[str, int], blank: str, word: str) -> list[int]:
         """Ids of a word that is one pre-token; kept as a part of its own."""
-        row = table.rows.get(word)
+        row = table.get(word)
         if row is None:
             ids = self._merged(blank + word)
-            table.add(word, ids)
+            table[word] = self.known.add(ids)
             return ids
-        start = table.starts[row]
-        return table.flat[start : start + table.sizes[row]].tolist()
+        return self.known.ids(row)
 
     def _merged(self, token: str) -> list[int]:
         return [t.id for t in self.tokenize(charmap_decode(token.encode(), "strict", self.letters)[0])]
 
-    def _rows(self, table: PartTable, parts: np.ndarray, blank: str) -> np.ndarray:
-        get = table.rows.get
+    def _rows(self, table: dict[str, int], parts: np.ndarray, blank: str) -> np.ndarray:
+        get = table.get
         found = np.fromiter(map(get, parts, repeat(-1)), np.int64, len(parts))
         for i in np.flatnonzero(found < 0).tolist():
             part = parts[i]
             row = get(part)  # one met twice here, or as the word of another part
             if row is None:
                 whole = not self.drops_blanks and (not part or part[0].isspace() or part[-1].isspace())
-                row = table.add(part, [] if whole else self._part_ids(table, blank, part), whole)
+                row = table[part] = self.known.add([] if whole else self._part_ids(table, blank, part), whole)
             found[i] = row
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
-        if len(self.inner.rows) > KEEP or len(self.first.rows) > KEEP:
-            self.inner, self.first = PartTable(), PartTable()
+        if len(self.inner) > self.keep or len(self.first) > self.keep:
+            self._forget()
         cut = pc.split_pattern(texts, " ")
         offsets = np.asarray(cut.offsets).astype(np.int64)
         offsets = offsets - offsets[0]
@@ -136,18 +150,10 @@ class Encoder:
         rows = np.zeros(len(names), np.int64)
         at = np.flatnonzero(used)
         rows[at] = self._rows(self.inner, names[at], "" if self.drops_blanks else " ")
-        head_rows = self._rows(self.first, names[spots[heads]], "")
-        tables = (self.inner, self.first)
-        flat = np.concatenate([np.frombuffer(t.flat, np.uint32) if t.flat else np.zeros(0, np.uint32) for t in tables])
-        shift = len(self.inner.flat)
-        starts, sizes, whole = (
-            [np.array(getattr(t, n), np.int64) for t in tables] for n in ("starts", "sizes", "whole")
-        )
         row = rows[spots]
-        row[heads] = head_rows
-        begin, size, odd = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
-        for pick, k, add in ((inner, 0, 0), (~inner, 1, shift)):
-            begin[pick], size[pick], odd[pick] = starts[k][row[pick]] + add, sizes[k][row[pick]], whole[k][row[pick]]
+        row[heads] = self._rows(self.first, names[spots[heads]], "")
+        flat, starts, sizes, whole = self.known.views()
+        begin, size, odd = starts[row], sizes[row].astype(np.int64), whole[row].astype(np.int64)
         odd_texts = np.add.reduceat(odd, heads) > 0 if len(heads) else np.zeros(0, bool)
         if odd_texts.any():
             return self._mixed(texts, odd_texts, flat, begin, size, offsets)
@@ -171,9 +177,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """The worker's encoder of a tokenizer file; later tasks of the worker go on with it."""
-    return Encoder(path)
+    return Encoder(path, keep)
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import os
 import random
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -34,6 +35,29 @@ def split(ids, counts):
     return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
 
 
+def test_encoder_that_forgets_its_parts():
+    small = words.Encoder(P.path(FILES[1]), keep=3)
+    for _ in range(2):
+        assert split(*small.encode(pa.array(ODD))) == [small.library.encode(t, add_special_tokens=False).ids for t in ODD]
+
+
+def test_packing_encodes_in_little_memory(monkeypatch):
+    """Arrays of a task grow with its slice of text, not with its batch."""
+    kept = {}
+    stub = type("Rows", (), {"mapInArrow": lambda self, run, schema: kept.setdefault("run", run)})()
+    monkeypatch.setattr(packing, "text_rows", lambda *args: stub)
+    packing.token_pieces(None, P.path(FILES[1]), 2)
+    text = "the quick brown fox jumps over a lazy dog " * 50
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(4000)), "text": [text] * 4000})  # 8 MB
+    first = [b.num_rows for b in kept["run"](iter([batch.slice(0, 10)]))]  # loads the tokenizer
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in kept["run"](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (sum(first), rows) == (10, 4000)
+    assert peak < 64 << 20
+
+
 @pytest.mark.parametrize("file", FILES)
 def test_encoder_equals_the_library(encoders, file):
     e = encoders[file]
