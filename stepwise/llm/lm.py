@@ -21,6 +21,7 @@ import heapq
 import math
 import zlib
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -167,27 +168,28 @@ class Model:
     def steps(self, state: np.ndarray, inputs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         """Run a window [steps, slots]. Returns the states before each step, what backpropagation needs, and the last state."""
         h, (count, slots) = self.hidden, inputs.shape
-        before, gates = np.empty((count, slots, h), np.float32), np.empty((count, slots, 3 * h), np.float32)
+        before, gates = np.empty((count, slots, h), np.float32), np.empty((count, 3, slots, h), np.float32)
         carried = np.empty((count, slots, h), np.float32)
         fresh = ~starts[:, :, None]
-        fed = self.table[inputs]
+        fed = self.table[inputs].reshape(count, slots, 3, h).transpose(0, 2, 1, 3).copy()  # each gate in one piece
         for t in range(count):
             prior = np.multiply(state, fresh[t], out=before[t])
-            moved = prior @ self.recur
-            gate = gates[t]
-            np.add(fed[t], moved, out=gate)
-            first = gate[:, : 2 * h]
-            np.clip(first, -15, 15, out=first)
+            moved = (prior @ self.recur).reshape(slots, 3, h).transpose(1, 0, 2)
+            first, last = gates[t, :2], gates[t, 2]
+            np.add(fed[t, :2], moved[:2], out=first)
+            np.maximum(first, -15, out=first)
+            np.minimum(first, 15, out=first)
             np.negative(first, out=first)
             np.exp(first, out=first)
             first += 1
             np.reciprocal(first, out=first)
-            carried[t] = moved[:, 2 * h :]
-            last = gate[:, 2 * h :]
-            np.multiply(first[:, h:], carried[t], out=last)
-            last += fed[t, :, 2 * h :]
+            carried[t] = moved[2]
+            np.multiply(first[1], carried[t], out=last)
+            last += fed[t, 2]
             np.tanh(last, out=last)
-            state = last + first[:, :h] * (prior - last)
+            state = prior - last
+            state *= first[0]
+            state += last
         return before, gates, carried, state
 
     def loss(self, states: np.ndarray, tokens: np.ndarray, gradient: bool):
@@ -241,22 +243,29 @@ class Model:
     def backward(self, inputs, starts, before, gates, carried, from_output) -> dict[str, np.ndarray]:
         """Gradients of the recurrent part over one window."""
         h, (count, slots) = self.hidden, inputs.shape
-        fed_grad, moved_grad = np.empty_like(gates), np.empty_like(gates)
+        fed_grad, moved_grad = (np.empty((count, slots, 3 * h), gates.dtype) for _ in range(2))
         upper = np.zeros((slots, h), np.float32)
         back = self.recur.T.copy()
+        z, r, c = gates[:, 0], gates[:, 1], gates[:, 2]
+        not_z, not_r, slope, gap = 1 - z, 1 - r, 1 - c * c, before - c
+        going = ~starts[:, :, None]
         for t in range(count - 1, -1, -1):
-            z, r, c = gates[t, :, :h], gates[t, :, h : 2 * h], gates[t, :, 2 * h :]
-            prior = before[t]
-            candidate = upper * (1 - z) * (1 - c * c)
-            own = fed_grad[t]
-            own[:, :h] = upper * (prior - c) * z * (1 - z)
-            own[:, h : 2 * h] = candidate * carried[t] * r * (1 - r)
-            own[:, 2 * h :] = candidate
-            moved = moved_grad[t]
-            moved[:, : 2 * h] = own[:, : 2 * h]
-            moved[:, 2 * h :] = candidate * r
-            upper = upper * z + moved @ back + from_output[t]
-            upper *= ~starts[t][:, None]
+            candidate = upper * not_z[t]
+            candidate *= slope[t]
+            by_z = upper * gap[t]
+            by_z *= z[t]
+            by_z *= not_z[t]
+            by_r = candidate * carried[t]
+            by_r *= r[t]
+            by_r *= not_r[t]
+            own, moved = fed_grad[t], moved_grad[t]
+            own[:, :h], own[:, h : 2 * h], own[:, 2 * h :] = by_z, by_r, candidate
+            moved[:, :h], moved[:, h : 2 * h] = by_z, by_r
+            np.multiply(candidate, r[t], out=moved[:, 2 * h :])
+            upper = upper * z[t]
+            upper += moved @ back
+            upper += from_output[t]
+            upper *= going[t]
         flat = inputs.ravel()
         order = np.argsort(flat.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
@@ -327,27 +336,34 @@ def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Words of all texts as places in a list of distinct ones, with an end each, and their number per text."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     offsets = np.asarray(cut.offsets).astype(np.int64)
-    flat = cut.flatten()
-    real = np.asarray(pc.greater(pc.binary_length(flat), 0))  # white space at either end leaves an empty string
-    before = np.concatenate([[0], np.cumsum(real)])
-    coded = flat.filter(pa.array(real)).dictionary_encode()
-    distinct = [END, *coded.dictionary.cast(pa.binary()).to_pylist()]
+    coded = cut.flatten().dictionary_encode()
+    distinct, codes = coded.dictionary.cast(pa.binary()).to_pylist(), np.asarray(coded.indices)
+    before = np.arange(len(codes) + 1)
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # white space at either end leaves an empty string
+        del distinct[empty]
+        real = codes != empty
+        before = np.concatenate([[0], np.cumsum(real)])
+        codes = codes[real]
+        codes = codes - (codes > empty)
+    distinct.insert(0, END)
     stops = before[offsets[1:] - offsets[0]]
     lengths = np.diff(stops, prepend=0) + 1
     places = np.zeros(int(lengths.sum()), np.int64)
     words = np.ones(len(places), bool)
     words[np.cumsum(lengths) - 1] = False
-    places[words] = np.asarray(coded.indices).astype(np.int64) + 1
+    places[words] = codes.astype(np.int64) + 1
     return places, lengths, distinct
 
 
 def _model_ids(vocabulary: Vocabulary, distinct: list[bytes]) -> np.ndarray:
     """The model's number of each word: its own, or that of its suffix class."""
-    get, own = vocabulary.number.get, vocabulary.own
-    ids = np.empty(len(distinct), np.int64)
-    for i, word in enumerate(distinct):
-        n = get(word, own)
-        ids[i] = n if n < own else SOFTMAX_WORDS + suffix_class(word)
+    own = vocabulary.own
+    ids = np.fromiter(map(vocabulary.number.get, distinct, repeat(own)), np.int64, len(distinct))
+    other = np.flatnonzero(ids >= own)
+    ends = [distinct[i][-2:] for i in other.tolist()]
+    classes = {end: SOFTMAX_WORDS + suffix_class(end) for end in set(ends)}
+    ids[other] = np.fromiter(map(classes.get, ends), np.int64, len(ends))
     return ids
 
 

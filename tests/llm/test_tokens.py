@@ -397,6 +397,36 @@ def test_model_gradients(monkeypatch):
             assert abs((up - down) / (2 * step) - flat[k]) < 2e-2 + 2e-2 * abs(flat[k]), name
 
 
+def test_steps_equal_a_plain_unit():
+    """Each gate of a step stands in one piece, and the states are those of the plain formula."""
+    vocabulary = lm.Vocabulary([b"", b"a", b"b"], np.array([3, 2, 2]), 7, 3, np.zeros(lm.SUFFIX_CLASSES, int), np.zeros(lm.SUFFIX_CLASSES, int))
+    model = lm.Model(vocabulary)
+    r, h = np.random.default_rng(3), lm.HIDDEN
+    inputs, starts = r.integers(0, 3, (9, 5)), r.random((9, 5)) < 0.2
+    state = r.standard_normal((5, h)).astype(np.float32) / 4
+    before, gates, carried, last = model.steps(state, inputs, starts)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    now = state.astype(float)
+    for t in range(9):
+        now = now * ~starts[t][:, None]
+        assert np.allclose(before[t], now, atol=1e-5)
+        fed, moved = model.table[inputs[t]].astype(float), now @ model.recur
+        z, reset = sigmoid(fed[:, :h] + moved[:, :h]), sigmoid(fed[:, h : 2 * h] + moved[:, h : 2 * h])
+        new = np.tanh(fed[:, 2 * h :] + reset * moved[:, 2 * h :])
+        for k, gate in enumerate((z, reset, new)):
+            assert gates[t, k].flags.c_contiguous and np.allclose(gates[t, k], gate, atol=1e-5)
+        now = z * now + (1 - z) * new
+    assert np.allclose(last, now, atol=1e-5)
+
+
+def test_numbered_words_of_odd_texts():
+    texts = ["", " ", " B a", "a\tb\n", "A  c", "a b"]
+    places, lengths, distinct = lm.numbered(pa.array(texts))
+    got = [[distinct[i] for i in own] for own in np.split(places, np.cumsum(lengths)[:-1])]
+    assert got == [[*t.lower().encode().split(), lm.END] for t in texts]
+    assert len(set(distinct)) == len(distinct)
+
+
 def test_state_is_carried_through_windows(monkeypatch):
     vocabulary = lm.Vocabulary([b"", b"a", b"b"], np.array([3, 2, 2]), 7, 3, np.zeros(lm.SUFFIX_CLASSES, int), np.zeros(lm.SUFFIX_CLASSES, int))
     model = lm.Model(vocabulary)
