@@ -21,7 +21,6 @@ import heapq
 import math
 import zlib
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,12 +73,18 @@ class Vocabulary:
         share = np.minimum((mass / max(self.counts[:n].sum(), 1) * WORD_CLASSES).astype(np.int64), WORD_CLASSES - 1)
         self.word_class = share  # ascending, since words come by frequency
         self.bounds = np.searchsorted(share, np.arange(WORD_CLASSES + 1))
-        self.number = {w: i for i, w in enumerate(self.words)}
+        self.table = pa.array(self.words, pa.binary())
+
+    def ranks(self, words: pa.Array) -> np.ndarray:
+        """Place of each word in the table, -1 where it has none."""
+        return np.asarray(pc.index_in(words, value_set=self.table).fill_null(-1)).astype(np.int64)
+
+    def shares(self, groups, counts):
+        """log10 of the shares of words without a softmax, by suffix class and count."""
+        return np.log10((counts + 1) / (self.suffix_total[groups] + self.suffix_distinct[groups] + 1))
 
     def inside(self, word: bytes, count: int) -> float:
-        """log10 of the share of a word without a softmax in its class."""
-        g = suffix_class(word)
-        return math.log10((count + 1) / (self.suffix_total[g] + self.suffix_distinct[g] + 1))
+        return float(self.shares(suffix_class(word), count))
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -155,6 +160,8 @@ class Model:
         self.word_out = normal(SOFTMAX_WORDS, h, scale=0.05)
         self.word_bias = np.zeros(SOFTMAX_WORDS, np.float32)
         self.word_bias[: v.own] = np.log(np.maximum(v.counts[: v.own], 1))
+        self.class_of = np.zeros(SOFTMAX_WORDS + SUFFIX_CLASSES, np.int64)
+        self.class_of[: v.own], self.class_of[SOFTMAX_WORDS:] = v.word_class, WORD_CLASSES + np.arange(SUFFIX_CLASSES)
 
     def parameters(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -169,35 +176,42 @@ class Model:
         """Run a window [steps, slots]. Returns the states before each step, what backpropagation needs, and the last state."""
         h, (count, slots) = self.hidden, inputs.shape
         before, gates = np.empty((count, slots, h), np.float32), np.empty((count, 3, slots, h), np.float32)
-        carried = np.empty((count, slots, h), np.float32)
-        fresh = ~starts[:, :, None]
-        fed = self.table[inputs].reshape(count, slots, 3, h).transpose(0, 2, 1, 3).copy()  # each gate in one piece
-        for t in range(count):
-            prior = np.multiply(state, fresh[t], out=before[t])
-            moved = (prior @ self.recur).reshape(slots, 3, h).transpose(1, 0, 2)
-            first, last = gates[t, :2], gates[t, 2]
-            np.add(fed[t, :2], moved[:2], out=first)
-            np.maximum(first, -15, out=first)
-            np.minimum(first, 15, out=first)
-            np.negative(first, out=first)
+        moved = np.empty((count, 3, slots, h), np.float32)
+        low, high, one = np.float32([-15, 15, 1])
+        parts = np.arange(3)[None, :, None] + 3 * inputs[:, None, :]
+        fed = self.table.reshape(-1, h).take(parts, axis=0)  # each gate in one piece
+        recur = self.recur.reshape(h, 3, h).transpose(1, 0, 2).copy()
+        # The first two gates are summed with the other sign, as their exponential wants them.
+        np.negative(fed[:, :2], out=fed[:, :2])
+        np.negative(recur[:2], out=recur[:2])
+        # States lie in [-1, 1], so sums of weights bound what is added to the inputs.
+        wide = np.abs(fed[:, :2]).max(initial=0) + np.abs(recur[:2]).sum(axis=1).max() > 15
+        for prior, fresh, some, into, own, gate in zip(before, starts, starts.any(axis=1).tolist(), moved, fed, gates):
+            prior[...] = state
+            if some:
+                prior[fresh] = 0
+            np.matmul(prior, recur, out=into)
+            first, last = gate[:2], gate[2]
+            np.add(own[:2], into[:2], out=first)
+            if wide:
+                np.maximum(first, low, out=first)
+                np.minimum(first, high, out=first)
             np.exp(first, out=first)
-            first += 1
+            first += one
             np.reciprocal(first, out=first)
-            carried[t] = moved[2]
-            np.multiply(first[1], carried[t], out=last)
-            last += fed[t, 2]
+            np.multiply(first[1], into[2], out=last)
+            last += own[2]
             np.tanh(last, out=last)
             state = prior - last
             state *= first[0]
             state += last
-        return before, gates, carried, state
+        return before, gates, moved[:, 2], state
 
     def loss(self, states: np.ndarray, tokens: np.ndarray, gradient: bool):
         """Natural-log probabilities of tokens given states; with ``gradient`` also all output gradients."""
-        v = self.vocabulary
-        own = tokens < SOFTMAX_WORDS
-        target = np.where(own, 0, tokens - SOFTMAX_WORDS + WORD_CLASSES)
-        target[own] = v.word_class[tokens[own]] if v.own else 0
+        v, n, width = self.vocabulary, len(tokens), self.out.shape[1]
+        target = self.class_of[tokens]
+        at_target = np.arange(n) * width + target
         scores = states @ self.out
         # States lie in [-1, 1], so column sums bound the scores; the bound serves as the shift unless it is far off.
         reach = np.abs(self.out).sum(axis=0)
@@ -205,72 +219,82 @@ class Model:
         scores += self.out_bias - np.float32(top)
         if top - float((self.out_bias - reach).max()) > 60:
             scores -= scores.max(axis=1, keepdims=True)
-        picked = scores[np.arange(len(target)), target]
+        flat = scores.reshape(-1)
+        picked = flat[at_target]
         np.exp(scores, out=scores)
         sums = scores.sum(axis=1, keepdims=True)
         logp = picked - np.log(sums[:, 0])
         grads = None
         if gradient:
             scores /= sums
-            scores[np.arange(len(target)), target] -= 1
+            flat[at_target] -= 1
             grads = {"out": states.T @ scores, "out_bias": scores.sum(axis=0), "states": scores @ self.out.T}
             grads["word_out"], grads["word_bias"] = np.zeros_like(self.word_out), np.zeros_like(self.word_bias)
+        # Words with a softmax of their own, class by class.
         order = np.argsort(target.astype(np.int16), kind="stable")  # a radix sort for short integers
         ends = np.searchsorted(target[order], np.arange(WORD_CLASSES + 1))
-        for k in range(WORD_CLASSES):
-            a, b = v.bounds[k], v.bounds[k + 1]
-            at = order[ends[k] : ends[k + 1]]
-            if b - a < 2 or not len(at):
+        order = order[: ends[-1]]
+        group, mine = target[order], states[order]
+        place = (np.arange(len(order)) - ends[group]) * np.diff(v.bounds)[group] + tokens[order] - v.bounds[group]
+        hits, totals = np.zeros(len(order), states.dtype), np.ones((len(order), 1), states.dtype)
+        deep = np.zeros_like(mine) if gradient else None
+        for a, b, i, j in zip(v.bounds.tolist(), v.bounds[1:].tolist(), ends.tolist(), ends[1:].tolist()):
+            if b - a < 2 or i == j:
                 continue
-            mine = states[at]
-            inner = mine @ self.word_out[a:b].T
+            rows, weights, spots = mine[i:j], self.word_out[a:b], place[i:j]
+            inner = rows @ weights.T
             inner += self.word_bias[a:b]
-            inner -= inner.max(axis=1, keepdims=True)
-            place = tokens[at] - a
-            row = np.arange(len(at))
-            hit = inner[row, place]
+            inner -= np.maximum.reduce(inner, axis=1, keepdims=True)
+            flat = inner.reshape(-1)
+            hits[i:j] = flat[spots]
             np.exp(inner, out=inner)
-            total = inner.sum(axis=1, keepdims=True)
-            logp[at] += hit - np.log(total[:, 0])
+            total = np.add.reduce(inner, axis=1, keepdims=True, out=totals[i:j])
             if gradient:
                 inner /= total
-                inner[row, place] -= 1
-                grads["word_out"][a:b] = inner.T @ mine
-                grads["word_bias"][a:b] = inner.sum(axis=0)
-                grads["states"][at] += inner @ self.word_out[a:b]
+                flat[spots] -= 1
+                np.matmul(inner.T, rows, out=grads["word_out"][a:b])
+                np.add.reduce(inner, axis=0, out=grads["word_bias"][a:b])
+                np.matmul(inner, weights, out=deep[i:j])
+        logp[order] += hits - np.log(totals[:, 0])
+        if gradient:
+            grads["states"][order] += deep
         return logp, grads
 
     def backward(self, inputs, starts, before, gates, carried, from_output) -> dict[str, np.ndarray]:
         """Gradients of the recurrent part over one window."""
         h, (count, slots) = self.hidden, inputs.shape
-        fed_grad, moved_grad = (np.empty((count, slots, 3 * h), gates.dtype) for _ in range(2))
+        by_gate, moved_grad = np.empty((count, 3, slots, h), gates.dtype), np.empty((count, slots, 3 * h), gates.dtype)
         upper = np.zeros((slots, h), np.float32)
         back = self.recur.T.copy()
         z, r, c = gates[:, 0], gates[:, 1], gates[:, 2]
         not_z, not_r, slope, gap = 1 - z, 1 - r, 1 - c * c, before - c
-        going = ~starts[:, :, None]
+        some = starts.any(axis=1).tolist()
+        side_by_side = moved_grad.reshape(count, slots, 3, h).transpose(0, 2, 1, 3)
+        candidates = np.empty((count, slots, h), gates.dtype)
         for t in range(count - 1, -1, -1):
-            candidate = upper * not_z[t]
+            candidate, (by_z, by_r, by_c) = candidates[t], by_gate[t]
+            np.multiply(upper, not_z[t], out=candidate)
             candidate *= slope[t]
-            by_z = upper * gap[t]
+            np.multiply(upper, gap[t], out=by_z)
             by_z *= z[t]
             by_z *= not_z[t]
-            by_r = candidate * carried[t]
+            np.multiply(candidate, carried[t], out=by_r)
             by_r *= r[t]
             by_r *= not_r[t]
-            own, moved = fed_grad[t], moved_grad[t]
-            own[:, :h], own[:, h : 2 * h], own[:, 2 * h :] = by_z, by_r, candidate
-            moved[:, :h], moved[:, h : 2 * h] = by_z, by_r
-            np.multiply(candidate, r[t], out=moved[:, 2 * h :])
+            np.multiply(candidate, r[t], out=by_c)
+            side_by_side[t] = by_gate[t]
             upper = upper * z[t]
-            upper += moved @ back
+            upper += moved_grad[t] @ back
             upper += from_output[t]
-            upper *= going[t]
+            if some[t]:
+                upper[starts[t]] = 0
+        fed_grad = moved_grad.copy()
+        fed_grad[:, :, 2 * h :] = candidates
         flat = inputs.ravel()
         order = np.argsort(flat.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
         rows = flat[order[first]]
-        table = np.add.reduceat(fed_grad.reshape(-1, 3 * h)[order], first, axis=0)
+        table = np.add.reduceat(fed_grad.reshape(-1, 3 * h).take(order, axis=0), first, axis=0)
         return {"recur": before.reshape(-1, h).T @ moved_grad.reshape(-1, 3 * h), "rows": rows, "table": table}
 
 
@@ -290,11 +314,12 @@ def lay_out(lengths: np.ndarray, slots: int = SLOTS) -> tuple[np.ndarray, np.nda
 def grid(tokens: np.ndarray, lengths: np.ndarray):
     """Token, start and text matrices [steps, slots]; text is -1 where nothing stands."""
     slot, first, count, steps = lay_out(lengths)
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    step = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + first[text]
+    before = np.cumsum(lengths) - lengths
+    at = np.repeat((first - before) * count + slot, lengths) + np.arange(0, len(tokens) * count, count)
     inputs, texts = np.zeros((steps, count), np.int64), np.full((steps, count), -1, np.int64)
-    starts = np.ones((steps, count), bool)
-    inputs[step, slot[text]], texts[step, slot[text]], starts[step, slot[text]] = tokens, text, step == first[text]
+    inputs.reshape(-1)[at], texts.reshape(-1)[at] = tokens, np.repeat(np.arange(len(lengths)), lengths)
+    starts = texts < 0
+    starts[first, slot] = True
     return inputs, starts, texts
 
 
@@ -313,9 +338,15 @@ def train(model: Model, tokens: np.ndarray, lengths: np.ndarray, squares: dict[s
         rows, scale = deep.pop("rows"), np.float32(1 / max(len(at), 1))
         for name, value in {**grads, **deep}.items():
             where = rows if name == "table" else slice(None)
-            value = np.clip(value * scale, -1, 1)
-            squares[name][where] += value * value
-            getattr(model, name)[where] -= np.float32(RATE) * value / np.sqrt(squares[name][where] + np.float32(1e-10))
+            value *= scale
+            np.minimum(np.maximum(value, -1, out=value), 1, out=value)
+            past = squares[name][where]
+            past += value * value
+            value *= np.float32(RATE)
+            value /= np.sqrt(past + np.float32(1e-10))
+            getattr(model, name)[where] -= value
+            if name == "table":
+                squares[name][where] = past
 
 
 def score(model: Model, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -332,39 +363,48 @@ def score(model: Model, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return sums
 
 
-def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Words of all texts as places in a list of distinct ones, with an end each, and their number per text."""
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of all texts as places in an array of distinct ones, with an end each, and their number per text."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
     offsets = np.asarray(cut.offsets).astype(np.int64)
-    coded = cut.flatten().dictionary_encode()
-    distinct, codes = coded.dictionary.cast(pa.binary()).to_pylist(), np.asarray(coded.indices)
+    words = cut.flatten().dictionary_encode()
+    distinct, codes = words.dictionary.cast(pa.binary()), np.asarray(words.indices)
     before = np.arange(len(codes) + 1)
-    empty = pc.index(coded.dictionary, "").as_py()
+    empty = pc.index(words.dictionary, "").as_py()
     if empty >= 0:  # white space at either end leaves an empty string
-        del distinct[empty]
+        distinct = pa.concat_arrays([distinct[:empty], distinct[empty + 1 :]])
         real = codes != empty
         before = np.concatenate([[0], np.cumsum(real)])
         codes = codes[real]
         codes = codes - (codes > empty)
-    distinct.insert(0, END)
     stops = before[offsets[1:] - offsets[0]]
     lengths = np.diff(stops, prepend=0) + 1
     places = np.zeros(int(lengths.sum()), np.int64)
     words = np.ones(len(places), bool)
     words[np.cumsum(lengths) - 1] = False
-    places[words] = codes.astype(np.int64) + 1
-    return places, lengths, distinct
+    places[words] = codes + np.int64(1)
+    return places, lengths, pa.concat_arrays([pa.array([END], pa.binary()), distinct])
+
+
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The same with the distinct words as a list."""
+    places, lengths, distinct = coded(texts)
+    return places, lengths, distinct.to_pylist()
+
+
+def suffix_classes(words: pa.Array) -> np.ndarray:
+    ends = pc.binary_slice(words, -2).dictionary_encode()
+    classes = np.fromiter(map(suffix_class, ends.dictionary.to_pylist()), np.int64, len(ends.dictionary))
+    return classes[np.asarray(ends.indices)]
 
 
-def _model_ids(vocabulary: Vocabulary, distinct: list[bytes]) -> np.ndarray:
-    """The model's number of each word: its own, or that of its suffix class."""
-    own = vocabulary.own
-    ids = np.fromiter(map(vocabulary.number.get, distinct, repeat(own)), np.int64, len(distinct))
-    other = np.flatnonzero(ids >= own)
-    ends = [distinct[i][-2:] for i in other.tolist()]
-    classes = {end: SOFTMAX_WORDS + suffix_class(end) for end in set(ends)}
-    ids[other] = np.fromiter(map(classes.get, ends), np.int64, len(ends))
-    return ids
+def _model_ids(vocabulary: Vocabulary, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The model's number of each word, its own or that of its suffix class, and its place in the table or -1."""
+    ranks = vocabulary.ranks(distinct)
+    other = (ranks < 0) | (ranks >= vocabulary.own)
+    ids = ranks.copy()
+    ids[other] = SOFTMAX_WORDS + suffix_classes(distinct.filter(pa.array(other)))
+    return ids, ranks
 
 
 def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
@@ -377,8 +417,8 @@ def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
         for part in slices(batches, "text"):
             texts = part.column("text").filter(pa.array([not held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()))
             if len(texts):
-                places, lengths, distinct = numbered(texts)
-                train(model, _model_ids(vocabulary, distinct)[places], lengths, squares)
+                places, lengths, distinct = coded(texts)
+                train(model, _model_ids(vocabulary, distinct)[0][places], lengths, squares)
                 seen += len(places)
         if seen:
             pieces = np.array_split(model.parameters() * np.float64(seen), _PARTS)
@@ -417,17 +457,14 @@ def _score_rows(model: Model):
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
-        get = vocabulary.number.get
         for part in slices(batches, "text"):
-            places, lengths, distinct = numbered(part.column("text"))
-            ids = _model_ids(vocabulary, distinct)
-            rank = np.fromiter((get(w, -1) for w in distinct), np.int64, len(distinct))
+            places, lengths, distinct = coded(part.column("text"))
+            ids, rank = _model_ids(vocabulary, distinct)
             count = np.where(rank >= 0, vocabulary.counts[np.maximum(rank, 0)] if len(vocabulary.counts) else 0, 0)
             base = np.where(rank >= 0, np.log10(count + 1) - smooth, 0.0)
             listed = np.flatnonzero((rank >= 0) & (ids >= SOFTMAX_WORDS))
             inside = np.zeros(len(distinct))
-            for i in listed.tolist():
-                inside[i] = vocabulary.inside(distinct[i], int(count[i]))
+            inside[listed] = vocabulary.shares(ids[listed] - SOFTMAX_WORDS, count[listed])
             text = np.repeat(np.arange(len(lengths)), lengths)
             size = len(lengths)
             total = score(model, ids[places], lengths) / math.log(10) + np.bincount(text, inside[places], size)
@@ -441,7 +478,7 @@ def _score_rows(model: Model):
             other = rank[places] < 0
             pair, times = np.unique(text[other] * np.int64(len(distinct)) + places[other], return_counts=True)
             k = len(pair)
-            words = pa.array(distinct, pa.binary()).take(pa.array(pair % len(distinct)))
+            words = distinct.take(pa.array(pair % len(distinct)))
             none = [pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
             cols = [pa.array(["word"] * k), pa.array(rows[pair // len(distinct)]), *none, words, pa.array(times.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(cols, _NAMES)

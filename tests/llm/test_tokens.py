@@ -427,6 +427,55 @@ def test_numbered_words_of_odd_texts():
     assert len(set(distinct)) == len(distinct)
 
 
+def test_words_are_looked_up_all_at_once(monkeypatch):
+    """Numbers, table places and shares equal a plain lookup; a class is computed once per ending, not once per word."""
+    listed = [b"the", b"", b"of", "Ünï".encode(), b"x", b"rare"]
+    total, distinct = np.arange(lm.SUFFIX_CLASSES) + 40, np.arange(lm.SUFFIX_CLASSES) + 3
+    monkeypatch.setattr(lm, "SOFTMAX_WORDS", 3)
+    vocabulary = lm.Vocabulary(listed, np.array([9, 8, 7, 6, 5, 4]), 90, 20, total, distinct)
+    words = [b"", b"of", b"odd", b"x", b"rare", "Ünï".encode(), b"y", b"od", *(b"%d5%d" % (i, i % 3) for i in range(300))]
+    plain = lm.suffix_class
+    want = [listed.index(w) if w in listed[:3] else 3 + plain(w) for w in words]
+    calls = []
+    monkeypatch.setattr(lm, "suffix_class", lambda w: calls.append(w) or plain(w))
+    ids, ranks = lm._model_ids(vocabulary, pa.array(words, pa.binary()))
+    assert ids.tolist() == want and ranks.tolist() == [listed.index(w) if w in listed else -1 for w in words]
+    assert len(calls) == len({w[-2:] for w in words if w not in listed[:3]})
+    groups, counts = ids[3:6] - 3, vocabulary.counts[ranks[3:6]]
+    assert vocabulary.shares(groups, counts).tolist() == [math.log10((n + 1) / (total[g] + distinct[g] + 1)) for g, n in zip(groups, counts)]
+    empty = lm.Vocabulary([], np.array([], int), 0, 0, total, distinct)
+    assert lm._model_ids(empty, pa.array([b"a", b""], pa.binary()))[0].tolist() == [3 + plain(b"a"), 3 + plain(b"")]
+
+
+@pytest.mark.filterwarnings("error")
+@pytest.mark.parametrize("size", [1, 400])
+def test_gates_are_bounded_where_weights_are_large(size):
+    vocabulary = lm.Vocabulary([b"", b"a", b"b"], np.array([3, 2, 2]), 7, 3, np.zeros(lm.SUFFIX_CLASSES, int), np.zeros(lm.SUFFIX_CLASSES, int))
+    model = lm.Model(vocabulary)
+    model.table *= size
+    h, r = lm.HIDDEN, np.random.default_rng(5)
+    inputs, starts = r.integers(0, 3, (6, 4)), r.random((6, 4)) < 0.3
+    before, gates, carried, _ = model.steps(np.zeros((4, h), np.float32), inputs, starts)
+    for t in range(6):
+        assert not before[t][starts[t]].any()
+        moved = before[t] @ model.recur
+        summed = np.clip(model.table[inputs[t]][:, : 2 * h] + moved[:, : 2 * h], -15, 15).astype(float)
+        assert np.allclose(np.concatenate([gates[t, 0], gates[t, 1]], 1), 1 / (1 + np.exp(-summed)), atol=1e-6)
+        assert np.allclose(carried[t], moved[:, 2 * h :], atol=1e-6)
+
+
+def test_grid_holds_every_token_once(monkeypatch):
+    monkeypatch.setattr(lm, "SLOTS", 4)
+    lengths = np.array([5, 1, 7, 2, 3, 1])
+    tokens = np.arange(10, 10 + lengths.sum())
+    inputs, starts, texts = lm.grid(tokens, lengths)
+    for i, own in enumerate(np.split(tokens, np.cumsum(lengths)[:-1])):
+        step, slot = np.nonzero(texts == i)
+        assert len(set(slot)) == 1 and inputs[step, slot].tolist() == own.tolist()
+        assert starts[step, slot].tolist() == [True] + [False] * (len(own) - 1)
+    assert starts[texts < 0].all() and (texts >= 0).sum() == len(tokens)
+
+
 def test_state_is_carried_through_windows(monkeypatch):
     vocabulary = lm.Vocabulary([b"", b"a", b"b"], np.array([3, 2, 2]), 7, 3, np.zeros(lm.SUFFIX_CLASSES, int), np.zeros(lm.SUFFIX_CLASSES, int))
     model = lm.Model(vocabulary)
