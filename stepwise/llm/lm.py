@@ -87,25 +87,27 @@ class Vocabulary:
         return float(self.shares(suffix_class(word), count))
 
 
+def training_texts(part: pa.RecordBatch) -> pa.Array:
+    return part.column("text").filter(pa.array([not held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()))
+
+
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, n) over all training texts."""
 
-    def emit(seen):
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
-
     def run(batches):
-        seen: dict[bytes, int] = {}
+        seen = pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
         for part in slices(batches, "text"):
-            for ident, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                if held_out(ident):
-                    continue
-                for word in text.encode().lower().split():
-                    seen[word] = seen.get(word, 0) + 1
-                seen[END] = seen.get(END, 0) + 1
+            texts = training_texts(part)
+            if len(texts):
+                places, _, distinct = coded(texts)
+                more = pa.table({"word": distinct, "n": np.bincount(places, minlength=len(distinct))})
+                seen = pa.concat_tables([seen, more])
+                if len(seen) > len(more):
+                    seen = seen.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
             if len(seen) > FLUSH_WORDS:
-                yield emit(seen)
-                seen = {}
-        yield emit(seen)
+                yield from seen.to_batches()
+                seen = seen.slice(0, 0)
+        yield from seen.to_batches()
 
     return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -326,20 +328,24 @@ def grid(tokens: np.ndarray, lengths: np.ndarray):
 def train(model: Model, tokens: np.ndarray, lengths: np.ndarray, squares: dict[str, np.ndarray]) -> None:
     """One pass of truncated backpropagation with per-weight step sizes."""
     inputs, starts, texts = grid(tokens, lengths)
-    state = np.zeros((inputs.shape[1], model.hidden), np.float32)
+    state, one = np.zeros((inputs.shape[1], model.hidden), np.float32), np.float32(1)
     for s in range(0, len(inputs), TRAIN_STEPS):
         x, b, live = inputs[s : s + TRAIN_STEPS], starts[s : s + TRAIN_STEPS], texts[s : s + TRAIN_STEPS].ravel() >= 0
         before, gates, carried, state = model.steps(state, x, b)
-        at = np.flatnonzero(live)
+        count = np.count_nonzero(live)
+        at = slice(None) if count == x.size else np.flatnonzero(live)
         _, grads = model.loss(before.reshape(-1, model.hidden)[at], x.ravel()[at], True)
-        from_output = np.zeros((x.size, model.hidden), np.float32)
-        from_output[at] = grads.pop("states")
+        from_output = grads.pop("states")
+        if count < x.size:
+            from_output, some = np.zeros((x.size, model.hidden), np.float32), from_output
+            from_output[at] = some
         deep = model.backward(x, b, before, gates, carried, from_output.reshape(before.shape))
-        rows, scale = deep.pop("rows"), np.float32(1 / max(len(at), 1))
+        rows, scale = deep.pop("rows"), np.float32(1 / max(count, 1))
         for name, value in {**grads, **deep}.items():
             where = rows if name == "table" else slice(None)
             value *= scale
-            np.minimum(np.maximum(value, -1, out=value), 1, out=value)
+            np.maximum(value, -one, out=value)
+            np.minimum(value, one, out=value)
             past = squares[name][where]
             past += value * value
             value *= np.float32(RATE)
@@ -363,27 +369,33 @@ def score(model: Model, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return sums
 
 
-def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Words of all texts as places in an array of distinct ones, with an end each, and their number per text."""
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased words of all texts one after the other, and tokens per text, its end included."""
     cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    offsets = np.asarray(cut.offsets).astype(np.int64)
-    words = cut.flatten().dictionary_encode()
-    distinct, codes = words.dictionary.cast(pa.binary()), np.asarray(words.indices)
-    before = np.arange(len(codes) + 1)
-    empty = pc.index(words.dictionary, "").as_py()
-    if empty >= 0:  # white space at either end leaves an empty string
-        distinct = pa.concat_arrays([distinct[:empty], distinct[empty + 1 :]])
-        real = codes != empty
-        before = np.concatenate([[0], np.cumsum(real)])
-        codes = codes[real]
-        codes = codes - (codes > empty)
-    stops = before[offsets[1:] - offsets[0]]
-    lengths = np.diff(stops, prepend=0) + 1
-    places = np.zeros(int(lengths.sum()), np.int64)
-    words = np.ones(len(places), bool)
+    words = cut.flatten().cast(pa.binary())
+    stops = np.asarray(cut.offsets).astype(np.int64)[1:] - cut.offsets[0].as_py()
+    real = np.asarray(pc.binary_length(words)) > 0
+    if not real.all():  # white space at either end leaves an empty string
+        words = words.filter(pa.array(real))
+        stops = np.concatenate([[0], np.cumsum(real)])[stops]
+    return words, np.diff(stops, prepend=0) + 1
+
+
+def with_ends(values: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
+    """Values of the words of all texts with that of an end behind each text."""
+    out = np.full(int(lengths.sum()), end, np.int64)
+    words = np.ones(len(out), bool)
     words[np.cumsum(lengths) - 1] = False
-    places[words] = codes + np.int64(1)
-    return places, lengths, pa.concat_arrays([pa.array([END], pa.binary()), distinct])
+    out[words] = values
+    return out
+
+
+def coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Words of all texts as places in an array of distinct ones, with an end each, and their number per text."""
+    words, lengths = split_words(texts)
+    words = words.dictionary_encode()
+    places = with_ends(np.asarray(words.indices) + 1, lengths, 0)
+    return places, lengths, pa.concat_arrays([pa.array([END], pa.binary()), words.dictionary])
 
 
 def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -407,6 +419,15 @@ def _model_ids(vocabulary: Vocabulary, distinct: pa.Array) -> tuple[np.ndarray,
     return ids, ranks
 
 
+def training_ids(vocabulary: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The model's numbers of the tokens of all texts, and tokens per text."""
+    words, lengths = split_words(texts)
+    ids = np.asarray(pc.index_in(words, value_set=vocabulary.table[: vocabulary.own]).fill_null(-1)).astype(np.int64)
+    other = ids < 0
+    ids[other] = SOFTMAX_WORDS + suffix_classes(words.filter(pa.array(other)))
+    return with_ends(ids, lengths, _model_ids(vocabulary, pa.array([END], pa.binary()))[0][0]), lengths
+
+
 def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
     """Train on all training texts and average. Weights come back in ``_PARTS`` added-up pieces."""
 
@@ -415,11 +436,11 @@ def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:
         squares = {n: np.zeros_like(getattr(model, n)) for n in Model.NAMES}
         seen = 0
         for part in slices(batches, "text"):
-            texts = part.column("text").filter(pa.array([not held_out(i) for i in part.column("doc_id").to_pylist()], pa.bool_()))
+            texts = training_texts(part)
             if len(texts):
-                places, lengths, distinct = coded(texts)
-                train(model, _model_ids(vocabulary, distinct)[0][places], lengths, squares)
-                seen += len(places)
+                tokens, lengths = training_ids(vocabulary, texts)
+                train(model, tokens, lengths, squares)
+                seen += len(tokens)
         if seen:
             pieces = np.array_split(model.parameters() * np.float64(seen), _PARTS)
             cols = [pa.array(range(_PARTS), pa.int32()), pa.array([seen] * _PARTS, pa.int64()), pa.array([p.tobytes() for p in pieces], pa.binary())]

@@ -441,6 +441,11 @@ def test_words_are_looked_up_all_at_once(monkeypatch):
     ids, ranks = lm._model_ids(vocabulary, pa.array(words, pa.binary()))
     assert ids.tolist() == want and ranks.tolist() == [listed.index(w) if w in listed else -1 for w in words]
     assert len(calls) == len({w[-2:] for w in words if w not in listed[:3]})
+    texts = pa.array(["OF odd", "", " x\tÜnï  the"])
+    tokens, lengths = lm.training_ids(vocabulary, texts)
+    places, again, found = lm.coded(texts)
+    assert lengths.tolist() == again.tolist() == [3, 1, 4]
+    assert tokens.tolist() == lm._model_ids(vocabulary, found)[0][places].tolist()
     groups, counts = ids[3:6] - 3, vocabulary.counts[ranks[3:6]]
     assert vocabulary.shares(groups, counts).tolist() == [math.log10((n + 1) / (total[g] + distinct[g] + 1)) for g, n in zip(groups, counts)]
     empty = lm.Vocabulary([], np.array([], int), 0, 0, total, distinct)
@@ -476,6 +481,16 @@ def test_grid_holds_every_token_once(monkeypatch):
     assert starts[texts < 0].all() and (texts >= 0).sum() == len(tokens)
 
 
+def test_counted_words_are_handed_on(spark, monkeypatch):
+    """However many distinct words a task holds, each training word is counted."""
+    rows = odd_rows() + [(100 + i, prose(i, 40)) for i in range(60)]
+    want = Counter(w for i, t in rows if not lm.held_out(i) for w in [*(t or "").encode().lower().split(), lm.END])
+    docs = lm.text_rows(frame(spark, rows))
+    for limit in (5, 1 << 20):
+        monkeypatch.setattr(lm, "FLUSH_WORDS", limit)
+        assert {bytes(r["word"]): r["n"] for r in lm.count_words(docs).collect()} == want
+
+
 def test_state_is_carried_through_windows(monkeypatch):
     vocabulary = lm.Vocabulary([b"", b"a", b"b"], np.array([3, 2, 2]), 7, 3, np.zeros(lm.SUFFIX_CLASSES, int), np.zeros(lm.SUFFIX_CLASSES, int))
     model = lm.Model(vocabulary)
