@@ -94,20 +94,27 @@ def training_texts(part: pa.RecordBatch) -> pa.Array:
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, n) over all training texts."""
 
+    def merged(seen):
+        both = pa.concat_tables(seen)
+        return both if len(seen) < 2 else both.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
     def run(batches):
-        seen = pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
+        seen, held = [], 0
         for part in slices(batches, "text"):
             texts = training_texts(part)
-            if len(texts):
-                places, _, distinct = coded(texts)
-                more = pa.table({"word": distinct, "n": np.bincount(places, minlength=len(distinct))})
-                seen = pa.concat_tables([seen, more])
-                if len(seen) > len(more):
-                    seen = seen.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
-            if len(seen) > FLUSH_WORDS:
-                yield from seen.to_batches()
-                seen = seen.slice(0, 0)
-        yield from seen.to_batches()
+            if not len(texts):
+                continue
+            places, _, distinct = coded(texts)
+            seen.append(pa.table({"word": distinct, "n": np.bincount(places, minlength=len(distinct))}))
+            held += len(distinct)
+            if held > FLUSH_WORDS:
+                both = merged(seen)
+                seen, held = [both], len(both)
+                if held > FLUSH_WORDS // 2:  # merging again would gain little
+                    yield from both.to_batches()
+                    seen, held = [], 0
+        if seen:
+            yield from merged(seen).to_batches()
 
     return rows.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -422,10 +429,12 @@ def _model_ids(vocabulary: Vocabulary, distinct: pa.Array) -> tuple[np.ndarray,
 def training_ids(vocabulary: Vocabulary, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The model's numbers of the tokens of all texts, and tokens per text."""
     words, lengths = split_words(texts)
-    ids = np.asarray(pc.index_in(words, value_set=vocabulary.table[: vocabulary.own]).fill_null(-1)).astype(np.int64)
+    own = vocabulary.table[: vocabulary.own]
+    ids = np.asarray(pc.index_in(words, value_set=own).fill_null(-1)).astype(np.int64)
     other = ids < 0
     ids[other] = SOFTMAX_WORDS + suffix_classes(words.filter(pa.array(other)))
-    return with_ends(ids, lengths, _model_ids(vocabulary, pa.array([END], pa.binary()))[0][0]), lengths
+    end = pc.index(own, pa.scalar(END, pa.binary())).as_py()
+    return with_ends(ids, lengths, end if end >= 0 else SOFTMAX_WORDS + suffix_class(END)), lengths
 
 
 def train_model(rows: DataFrame, vocabulary: Vocabulary) -> Model:

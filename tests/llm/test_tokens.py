@@ -486,7 +486,7 @@ def test_counted_words_are_handed_on(spark, monkeypatch):
     rows = odd_rows() + [(100 + i, prose(i, 40)) for i in range(60)]
     want = Counter(w for i, t in rows if not lm.held_out(i) for w in [*(t or "").encode().lower().split(), lm.END])
     docs = lm.text_rows(frame(spark, rows))
-    for limit in (5, 1 << 20):
+    for limit in (5, 300, 1 << 20):
         monkeypatch.setattr(lm, "FLUSH_WORDS", limit)
         assert {bytes(r["word"]): r["n"] for r in lm.count_words(docs).collect()} == want
 
